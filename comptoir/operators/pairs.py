@@ -4,8 +4,10 @@ The score of a pair is the number of row pairs it forms inside the groups:
 the sum over groups of ``k_a * k_b``, with ``k`` the rows of the item in the
 group. Rows are therefore counted per group and item before anything is paired.
 
-A group with many items would still give a quadratic number of pairs, so pairs
-that cannot reach the result are left out beforehand, exactly:
+Groups with many items would still give a quadratic number of pairs. The number
+of pairs is known from the group sizes, so it is checked first. While it stays
+within ``PAIRS_PER_ROW`` times the rows, the groups are joined with themselves.
+Beyond, pairs that cannot reach the result are left out beforehand, exactly:
 
 1. An item's *bound* is the sum over its groups of ``k`` times the largest ``k``
    in the group. No pair with this item scores above it.
@@ -15,98 +17,95 @@ that cannot reach the result are left out beforehand, exactly:
 3. An item whose bound is under the bar is in no result pair. One whose bound
    equals the bar matters only in ties, which the item order settles.
 
-When counts are even there is little to leave out, but then groups are small;
-when one item or group dominates, the bar is high and few items remain.
+One item or group that dominates makes the bar high, so few items remain.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from comptoir.operators.lookups import lookup_join
+from comptoir.sources.stores import written
 
 SEEDS = 128
+PAIRS_PER_ROW = 64
+
+
+def item_counts(
+    rows: DataFrame, group: str, item: str, label: str, distinct_groups: bool = False
+) -> DataFrame:
+    """g, item (struct id, label) and k. ``distinct_groups`` sets every k to 1."""
+    known = rows.where(F.col(group).isNotNull() & F.col(item).isNotNull())
+    keys = known.groupBy(
+        F.col(group).alias("g"), F.struct(F.col(item).alias("id"), F.col(label).alias("label")).alias("item"))
+    k = F.lit(1).cast("long") if distinct_groups else F.count("*")
+    return keys.agg(k.alias("k"))
 
 
 def top_pairs(
-    rows: DataFrame,
-    group: str,
-    item: str,
-    label: str,
-    limit: int = 100,
-    at_least: int = 2,
-    distinct_groups: bool = False,
+    counts: DataFrame, limit: int = 100, at_least: int = 2, pairs_per_row: int = PAIRS_PER_ROW
 ) -> DataFrame:
-    """Columns a, label_a, b, label_b, score with a < b; best ``limit`` pairs.
+    """Columns a, label_a, b, label_b, score with a < b; the best ``limit`` pairs.
 
-    ``distinct_groups`` counts groups instead of row pairs.
+    ``counts`` comes from ``item_counts`` and is read several times, so it
+    should be a stored table. Group sizes are added up when this is called.
     """
-    rows = rows.where(F.col(group).isNotNull() & F.col(item).isNotNull()).select(
-        F.col(group).alias("g"), F.struct(F.col(item).alias("id"), F.col(label).alias("label")).alias("item")
-    )
-    if distinct_groups:
-        counts = rows.distinct().withColumn("k", F.lit(1).cast("long"))
-    else:
-        counts = rows.groupBy("g", "item").agg(F.count("*").alias("k"))
+    sizes = counts.groupBy("g").agg(F.count("*").cast("double").alias("n"))
+    rows, pairs = sizes.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
+    if (pairs or 0.0) <= pairs_per_row * (rows or 0.0):
+        return _best(_scored(_side(counts, "a"), _side(counts, "b")), limit, at_least)
+    return _top_pairs_by_bound(counts, limit, at_least)
 
-    bounds = _bounds(counts)
+
+def _top_pairs_by_bound(counts: DataFrame, limit: int, at_least: int) -> DataFrame:
+    bounds = written(_bounds(counts), "pair-bounds")
     bar = _bar(counts, bounds, limit, at_least)
     level = F.coalesce(bar["score"], F.lit(at_least - 1))
-    marked = (
-        bounds.withColumn("level", level)
-        .where("bound >= level")
-        .select(
-            "item",
-            (F.col("bound") > F.col("level")).alias("above"),
-            F.coalesce(F.col("item.id") < bar["a"], F.lit(False)).alias("before"),
-            F.coalesce(F.col("item.id") == bar["a"], F.lit(False)).alias("at"),
-            F.coalesce(F.col("item.id") <= bar["b"], F.lit(False)).alias("upto"),
-        )
+    tied = lambda condition: F.coalesce(condition, F.lit(False))
+    marked = bounds.withColumn("level", level).where("bound >= level").select(
+        "item",
+        (F.col("bound") > F.col("level")).alias("above"),
+        tied(F.col("item.id") < bar["a"]).alias("before"),
+        tied(F.col("item.id") == bar["a"]).alias("at"),
+        tied(F.col("item.id") <= bar["b"]).alias("upto"),
     )
-    kept = _with_item(counts, marked)
-    left = kept.where("above or before or at").select("g", *_renamed(kept, "a"))
-    right = kept.select("g", *_renamed(kept, "b"))
+    kept = lookup_join(counts, marked, "item", "inner")
     can_reach = (
-        (F.col("above_a") & F.col("above_b")) | F.col("before_a") | (F.col("at_a") & F.col("upto_b"))
-    )
-    return _best(_scored(left, right, can_reach), limit, at_least)
+        (F.col("above_a") & F.col("above_b")) | F.col("before_a") | (F.col("at_a") & F.col("upto_b")))
+    left = _side(kept.where("above or before or at"), "a")
+    return _best(_scored(left, _side(kept, "b"), can_reach), limit, at_least)
 
 
 def _bounds(counts: DataFrame) -> DataFrame:
     """item, bound. Groups with a single item form no pair and add nothing."""
-    largest = counts.groupBy("g").agg(F.max("k").alias("largest"), F.count("*").alias("items")).where("items > 1")
-    part = F.pmod(F.hash("g"), F.lit(1)).alias("_part")  # see lookup_join
-    both = counts.select("*", part).join(largest.select("g", "largest", part), ["g", "_part"])
+    groups = counts.groupBy("g").agg(F.max("k").alias("largest"), F.count("*").alias("items"))
+    largest = groups.where("items > 1").select("g", "largest")
+    both = lookup_join(counts, largest, "g", "inner")
     return both.groupBy("item").agg(F.sum(F.col("k") * F.col("largest")).alias("bound"))
 
 
-def _bar(counts: DataFrame, bounds: DataFrame, limit: int, at_least: int):
+def _bar(counts: DataFrame, bounds: DataFrame, limit: int, at_least: int) -> Column:
     """Scalar struct (score, a, b), null when the seeds form too few pairs."""
     order = [F.desc("bound"), F.asc("item")]
     seeds = bounds.orderBy(*order).limit(SEEDS)
     seeds = seeds.select("item", F.row_number().over(Window.orderBy(*order)).alias("place"))
     # At most SEEDS rows, so the broadcast is bounded; so are the rows per group.
     inside = counts.join(F.broadcast(seeds), "item")
-    left = inside.select("g", *_renamed(inside, "a"))
-    right = inside.select("g", *_renamed(inside, "b"))
     # The first seed meets all others, later ones fewer: about 300 pairs in all.
     near = F.col("place_a") * F.col("place_b") <= SEEDS
-    best = _best(_scored(left, right, near), limit, at_least)
+    best = _best(_scored(_side(inside, "a"), _side(inside, "b"), near), limit, at_least)
     nth = F.row_number().over(Window.orderBy(*_result_order()))
     last = best.select("*", nth.alias("nth")).where(F.col("nth") == limit)
     return last.agg(F.max(F.struct("score", "a", "b"))).scalar()
 
 
-def _with_item(counts: DataFrame, marked: DataFrame) -> DataFrame:
-    part = F.pmod(F.hash("item"), F.lit(1)).alias("_part")  # see lookup_join
-    return counts.select("*", part).join(marked.select("*", part), ["item", "_part"]).drop("_part")
-
-
-def _renamed(df: DataFrame, side: str):
-    return [F.col(c).alias(f"{c}_{side}") for c in df.columns if c != "g"]
+def _side(df: DataFrame, side: str) -> DataFrame:
+    return df.select("g", *(F.col(c).alias(f"{c}_{side}") for c in df.columns if c != "g"))
 
 
-def _scored(left: DataFrame, right: DataFrame, condition) -> DataFrame:
+def _scored(left: DataFrame, right: DataFrame, condition: Column | None = None) -> DataFrame:
     ordered = F.col("item_a.id") < F.col("item_b.id")
-    together = left.join(right, "g").where(ordered & condition)
+    together = left.join(right, "g").where(ordered if condition is None else ordered & condition)
     return together.groupBy("item_a", "item_b").agg(F.sum(F.col("k_a") * F.col("k_b")).alias("score"))
 
 

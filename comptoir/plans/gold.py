@@ -1,20 +1,22 @@
 """Gold layer: fifteen tables over silver.
 
-Builders are lazy and keep no row order; sort when reading. ``ventes`` is
-silver_ventes or, for the builders that only need sums, a roll-up of it from
+Builders keep no row order; sort when reading. ``ventes`` is silver_ventes or,
+for the builders that only need sums, a roll-up of it from
 ``comptoir.operators.totals.roll_up`` at the named grain or finer. Large tables
-are aggregated by their key first and joined to dimensions afterwards.
+are aggregated by their key first and joined to dimensions afterwards. All
+builders are lazy but product_affinity, which writes its counts first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from comptoir.functions.calendar import month_columns, month_start, week_columns
 from comptoir.functions.numbers import money, percent, ratio
 from comptoir.operators import totals as t
-from comptoir.operators.pairs import top_pairs
+from comptoir.operators.pairs import item_counts, top_pairs
 from comptoir.operators.quantiles import quantiles
+from comptoir.sources.stores import written
 
 # Labels as they are stored and filtered on.
 RUPTURE, CRITIQUE, FAIBLE, NORMAL, SUR_STOCK = (
@@ -121,49 +123,63 @@ def sales_by_segment(ventes: DataFrame, clients: DataFrame) -> DataFrame:
     return segments.select("segment", *t.four_measures(), "nb_clients_actifs")
 
 
-def client_rfm(ventes: DataFrame, clients: DataFrame, exact: bool = True) -> DataFrame:
+def client_rfm(per_client: DataFrame, clients: DataFrame, exact: bool = True) -> DataFrame:
     """Recency, frequency and spend, scored 1 to 4 by quartile.
 
-    A roll-up passed as ``ventes`` needs ``days=True``.
+    ``per_client`` is ``roll_up(ventes, "client_id", days=True)``. It is read
+    several times, so it should be a stored table.
     """
-    raw = rfm_measures(ventes)
-    cut = rfm_cuts(raw, exact)
-    spent = (F.col("spent") * 100).cast("long")
+    cut = rfm_cuts(per_client, exact)
+    raw = per_client.select(
+        "client_id", F.lit(_last_day(per_client)).alias("today"), t.LAST, t.SALES,
+        F.round(t.AMOUNT, 2).alias("spent"), cut.alias("cut"))
     scored = raw.withColumns({
-        "r_score": 5 - _quartile(F.col("recence_jours"), cut["recence"], reached=lambda v, q: v > q),
-        "f_score": _quartile(F.col("frequence"), cut["frequence"], reached=lambda v, q: v >= q),
-        "m_score": _quartile(spent, cut["montant"], reached=lambda v, q: v >= q),
+        "r_score": _quartile(F.unix_date(t.LAST), F.col("cut.last_day")),
+        "f_score": _quartile(F.col(t.SALES), F.col("cut.sales")),
+        "m_score": _quartile(F.col("spent") * 100, F.col("cut.cents")),
     }).withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
     return scored.join(clients.select("client_id", *CLIENT), "client_id", "left").select(
-        "client_id", "recence_jours", "frequence", money(F.col("spent")).alias("montant_total"),
-        "r_score", "f_score", "m_score", "rfm_score",
+        "client_id", F.datediff("today", t.LAST).alias("recence_jours"), t.sales("frequence"),
+        money(F.col("spent")).alias("montant_total"), "r_score", "f_score", "m_score", "rfm_score",
         rfm_segment(F.col("rfm_score"), F.col("r_score")).alias("rfm_segment"), *CLIENT,
     )
 
 
-def rfm_measures(ventes: DataFrame) -> DataFrame:
-    """Days since a client's last sale (counted from the last sale of all), sales, spend."""
-    per_client = t.roll_up(ventes, "client_id", days=True)
-    today = per_client.agg(F.max(t.LAST)).scalar()
-    return per_client.select(
-        "client_id", F.datediff(today, t.LAST).alias("recence_jours"), t.sales("frequence"),
-        F.round(t.AMOUNT, 2).alias("spent"))
-
+def _last_day(per_client: DataFrame) -> Column:
+    return per_client.agg(F.max(t.LAST)).scalar()
 
-def rfm_cuts(raw: DataFrame, exact: bool = True):
-    """Quartiles of the three measures as one scalar; spend in cents."""
-    measures = {
-        "recence": F.col("recence_jours"),
-        "frequence": F.col("frequence"),
-        "montant": F.col("spent") * 100,
-    }
-    return quantiles(raw, measures, [0.25, 0.5, 0.75], exact)
 
+def rfm_cuts(per_client: DataFrame, exact: bool = True) -> Column:
+    """Scalar struct of the quartiles: last sale as day number, sales, spend in cents.
 
-def _quartile(value, cuts, reached):
+    Recency is the distance to one fixed day, so its quartiles are those of the
+    last sale from the latest down: cut 0 of recency is the last of ``last_day``.
+    """
+    backwards = -F.unix_date(t.LAST)
+    found = quantiles(
+        per_client,
+        {"backwards": backwards, "sales": F.col(t.SALES), "cents": F.round(t.AMOUNT, 2) * 100},
+        [0.25, 0.5, 0.75], exact)
+    last_day = F.array(*(-found["backwards"][i] for i in (2, 1, 0)))
+    return F.struct(last_day.alias("last_day"), found["sales"].alias("sales"), found["cents"].alias("cents"))
+
+
+def rfm_quartiles(per_client: DataFrame) -> DataFrame:
+    """quartile, recence, frequence, montant: the cuts behind the scores."""
+    cuts = per_client.sparkSession.range(1).select(
+        rfm_cuts(per_client).alias("cut"), F.unix_date(_last_day(per_client)).alias("today"))
+    rows = [
+        F.struct(F.lit(i + 1).alias("quartile"), (F.col("today") - F.col("cut.last_day")[2 - i]).alias("recence"),
+                 F.col("cut.sales")[i].alias("frequence"), (F.col("cut.cents")[i] / 100).alias("montant"))
+        for i in range(3)
+    ]
+    return cuts.select(F.inline(F.array(*rows)))
+
+
+def _quartile(value: Column, cuts: Column) -> Column:
     """1 plus the number of quartile cuts that the value has reached."""
-    steps = [reached(value, cuts[i]).cast("int") for i in range(3)]
-    return F.lit(1) + steps[0] + steps[1] + steps[2]
+    reached = [(value >= cuts[i]).cast("int") for i in range(3)]
+    return F.lit(1) + reached[0] + reached[1] + reached[2]
 
 
 def rfm_segment(score, recency):
@@ -209,7 +225,8 @@ def return_rate(ventes: DataFrame, retours: DataFrame, produits: DataFrame) -> D
 def stock_alert(stocks: DataFrame, ventes: DataFrame, produits: DataFrame) -> DataFrame:
     """Products with stock, by how long the stock lasts at the mean daily pace.
 
-    A roll-up passed as ``ventes`` needs ``days=True``.
+    A roll-up passed as ``ventes`` needs ``days=True``. It is read twice, so it
+    should be a stored table.
     """
     held = stocks.groupBy("produit_id").agg(F.sum("quantite_disponible").alias("stock_total"))
     sold = t.roll_up(ventes, "produit_id", days=True)
@@ -248,9 +265,8 @@ def product_affinity(ventes: DataFrame, distinct_clients: bool = False) -> DataF
 
     Counts pairs of sales; ``distinct_clients=True`` counts clients.
     """
-    pairs = top_pairs(
-        ventes, group="client_id", item="produit_id", label="categorie_produit",
-        limit=100, at_least=2, distinct_groups=distinct_clients)
+    counts = item_counts(ventes, "client_id", "produit_id", "categorie_produit", distinct_clients)
+    pairs = top_pairs(written(counts, "pair-counts"), limit=100, at_least=2)
     return pairs.select(
         F.col("a").alias("produit_a"), F.col("label_a").alias("categorie_a"),
         F.col("b").alias("produit_b"), F.col("label_b").alias("categorie_b"),

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from comptoir.operators.totals import roll_up
 from comptoir.plans import gold, silver
+from comptoir.sources.stores import written
 
 BRONZE = ("clients", "produits", "ventes", "stocks", "retours", "canaux")
 SILVER = BRONZE
@@ -17,6 +19,14 @@ GOLD = (
 )
 
 
+# Twelve of the gold tables can be built from these.
+ROLLUPS = {
+    "by_day": lambda ventes: roll_up(ventes, "date_vente", "canal_id", "nom_canal", "categorie_produit"),
+    "by_client": lambda ventes: roll_up(ventes, "client_id", days=True),
+    "by_product": lambda ventes: roll_up(ventes, "produit_id", days=True),
+}
+
+
 class Tables:
     """Frames by name: ``tables["ventes"]`` or ``tables.ventes``."""
 
@@ -81,8 +91,8 @@ class Silver(Tables):
 
 
 class Gold(Tables):
-    """``by_day``, ``by_client`` and ``by_product`` are roll-ups of silver_ventes
-    to build from instead of the sales themselves; the runner passes written ones.
+    """``by_day``, ``by_client`` and ``by_product`` are stored roll-ups of
+    silver_ventes to build from instead of the sales; see ``rollups``.
     """
 
     def __init__(self, silver: Tables, by_day=None, by_client=None, by_product=None):
@@ -101,6 +111,17 @@ class Gold(Tables):
     def _product(self) -> DataFrame:
         return self._by_product if self._by_product is not None else self._silver.ventes
 
+    def stored_clients(self) -> DataFrame:
+        """The roll-up by client, written now if it was not given."""
+        if self._by_client is None:
+            self._by_client = written(ROLLUPS["by_client"](self._silver.ventes), "by-client")
+        return self._by_client
+
+    def stored_products(self) -> DataFrame:
+        if self._by_product is None:
+            self._by_product = written(ROLLUPS["by_product"](self._silver.ventes), "by-product")
+        return self._by_product
+
     @cached_property
     def ca_daily(self) -> DataFrame:
         return gold.ca_daily(self._day)
@@ -143,7 +164,7 @@ class Gold(Tables):
 
     @cached_property
     def client_rfm(self) -> DataFrame:
-        return gold.client_rfm(self._client, self._silver.clients)
+        return gold.client_rfm(self.stored_clients(), self._silver.clients)
 
     @cached_property
     def top_products(self) -> DataFrame:
@@ -155,7 +176,7 @@ class Gold(Tables):
 
     @cached_property
     def stock_alert(self) -> DataFrame:
-        return gold.stock_alert(self._silver.stocks, self._product, self._silver.produits)
+        return gold.stock_alert(self._silver.stocks, self.stored_products(), self._silver.produits)
 
     @cached_property
     def product_affinity(self) -> DataFrame:
@@ -166,7 +187,3 @@ def register_views(tables: Tables, names, prefix: str) -> None:
     """Temporary views such as gold_ca_daily, for use from ``spark.sql``."""
     for name in names:
         tables[name].createOrReplaceTempView(f"{prefix}_{name}")
-
-
-def spark_of(tables: Tables) -> SparkSession:
-    return tables[BRONZE[0]].sparkSession

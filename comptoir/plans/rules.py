@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from comptoir.functions import calendar, numbers, text
 from comptoir.functions.geography import region_of
-from comptoir.operators import totals as t
 from comptoir.operators.dedup import one_per_key
-from comptoir.plans import gold, silver
+from comptoir.plans import silver
 from comptoir.plans.layers import BRONZE, Tables
 
 
@@ -87,18 +86,6 @@ def returns_with_sale(bronze: Tables) -> DataFrame:
     return silver.with_sale(bronze.retours.select("retour_id", "vente_id"), bronze.ventes)
 
 
-def rfm_quartiles(silver_tables: Tables) -> DataFrame:
-    """The quartile cuts of the client scores, one row per quartile."""
-    raw = gold.rfm_measures(silver_tables.ventes)
-    cuts = raw.sparkSession.range(1).select(gold.rfm_cuts(raw).alias("cut"))
-    rows = [
-        F.struct(F.lit(i + 1).alias("quartile"), F.col("cut.recence")[i].alias("recence"),
-                 F.col("cut.frequence")[i].alias("frequence"), (F.col("cut.montant")[i] / 100).alias("montant"))
-        for i in range(3)
-    ]
-    return cuts.select(F.inline(F.array(*rows)))
-
-
 def row_counts(bronze: Tables, silver_tables: Tables) -> DataFrame:
     """Rows before and after cleaning, per table."""
     def counted(name: str) -> DataFrame:

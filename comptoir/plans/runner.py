@@ -12,8 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from comptoir.operators.totals import roll_up
-from comptoir.plans.layers import BRONZE, GOLD, SILVER, Gold, Silver, StoredTables, Tables
+from comptoir.plans.layers import BRONZE, GOLD, ROLLUPS, SILVER, Gold, Silver, StoredTables, Tables
 from comptoir.sources.landing import FILES, LandingTables
 from comptoir.sources.stores import TableStore, written
 
@@ -53,12 +52,7 @@ class Runner:
         silver = self.stored("silver")
         try:
             ventes = silver.ventes
-            rollups = {
-                "by_day": written(
-                    roll_up(ventes, "date_vente", "canal_id", "nom_canal", "categorie_produit"), "by-day"),
-                "by_client": written(roll_up(ventes, "client_id", days=True), "by-client"),
-                "by_product": written(roll_up(ventes, "produit_id", days=True), "by-product"),
-            }
+            rollups = {name: written(build(ventes), name) for name, build in ROLLUPS.items()}
         except Exception as error:
             self._lines.append(("gold", "rollups", "FAILED", 0, str(error)))
             rollups = {}

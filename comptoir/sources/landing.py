@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from comptoir.sources.lineage import with_lineage
@@ -44,17 +43,25 @@ class LandingTables:
 def manifest(spark: SparkSession, folder: str, expected: Mapping[str, str], format: str = "csv") -> DataFrame:
     """file, destination, found, n (rows) for each expected landing file.
 
-    A missing file is a row of its own, not an error.
+    A missing file is a row of its own, not an error. The folder is listed as
+    binary files, of which only the names are read.
     """
-    rows = []
-    for table, file in expected.items():
-        where = [F.lit(file).alias("file"), F.lit(f"raw/{table}/{file}").alias("destination")]
-        try:
-            found = spark.read.format(format).option("header", True).load(f"{folder}/{file}")
-            rows.append(found.agg(F.count("*").alias("n")).select(*where, F.lit(True).alias("found"), "n"))
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            nothing = F.lit(None).cast("long").alias("n")
-            rows.append(spark.range(1).select(*where, F.lit(False).alias("found"), nothing))
-    return reduce(DataFrame.unionAll, rows)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    path = F.col("path")
+    is_there = {
+        file: F.max(path.endswith(f"/{file}") | path.contains(f"/{file}/")).alias(file)
+        for file in expected.values()
+    }
+    there = listing.agg(*is_there.values()).first()
+
+    def line(table: str, file: str) -> DataFrame:
+        found = bool(there[file])
+        if found:
+            counted = spark.read.format(format).option("header", True).load(f"{folder}/{file}").agg(F.count("*").alias("n"))
+        else:
+            counted = spark.range(1).select(F.lit(None).cast("long").alias("n"))
+        return counted.select(
+            F.lit(file).alias("file"), F.lit(f"raw/{table}/{file}").alias("destination"),
+            F.lit(found).alias("found"), "n")
+
+    return reduce(DataFrame.unionAll, (line(*item) for item in expected.items()))

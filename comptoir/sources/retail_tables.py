@@ -6,6 +6,8 @@ blanks, bad numbers and repeated keys that the cleaning rules are there for.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from comptoir.functions.geography import REGION_CITIES
@@ -32,7 +34,7 @@ class RetailTables:
     """Bronze frames over ``{folder}/{name}.parquet``."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._read = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
+        self._read = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
     def ventes(self) -> DataFrame:
         lines = self._read("lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
