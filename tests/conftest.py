@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from pyspark.sql import SparkSession  # noqa: E402
+
+TESTDATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[8]").appName("tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-"))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def folder():
+    return TESTDATA
+
+
+@pytest.fixture(scope="session")
+def house(spark, folder):
+    from __spark_entry__ import Warehouse
+
+    return Warehouse(spark, folder)
+
+
+@pytest.fixture
+def conf(spark):
+    """Sets Spark options for one test."""
+    before = {}
+
+    def set_option(name: str, value: str) -> None:
+        before.setdefault(name, spark.conf.get(name, None))
+        spark.conf.set(name, value)
+
+    yield set_option
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def final_plan(df) -> str:
+    """Runs the plan and returns what was executed."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    return execution.executedPlan().toString()
