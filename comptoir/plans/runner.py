@@ -16,22 +16,21 @@ from comptoir.plans.layers import BRONZE, GOLD, ROLLUPS, SILVER, Gold, Silver, S
 from comptoir.sources.landing import FILES, LandingTables
 from comptoir.sources.stores import TableStore, written
 
-PARTITIONED = {
-    ("silver", "ventes"): "date_vente",
-    ("gold", "ca_daily"): "date_vente",
-    ("gold", "daily_trend"): "date_vente",
-}
+PARTITIONED = {("silver", "ventes"): "date_vente"}
+# These have one row per day, so by date they are one file per row: only on request.
+DAILY_BY_DATE = {("gold", "ca_daily"): "date_vente", ("gold", "daily_trend"): "date_vente"}
 REPORT = "layer STRING, table STRING, status STRING, rows BIGINT, error STRING"
 
 
 class Runner:
-    def __init__(self, store: TableStore):
+    def __init__(self, store: TableStore, daily_by_date: bool = False):
         self.store = store
+        self._partitioned = PARTITIONED | (DAILY_BY_DATE if daily_by_date else {})
         self._lines: list[tuple] = []
 
     def _attempt(self, layer: str, name: str, build: Callable[[], DataFrame], source: str | None = None) -> None:
         try:
-            rows = self.store.write(build(), layer, name, PARTITIONED.get((layer, name)), source)
+            rows = self.store.write(build(), layer, name, self._partitioned.get((layer, name)), source)
             self._lines.append((layer, name, "OK", rows, None))
         except Exception as error:  # one table's failure is reported, not raised
             self._lines.append((layer, name, "FAILED", 0, str(error)))
@@ -68,8 +67,10 @@ class Runner:
         return self.store.spark.createDataFrame(self._lines, REPORT)
 
 
-def run_pipeline(source, store: TableStore, files: dict[str, str] | None = None) -> DataFrame:
-    runner = Runner(store)
+def run_pipeline(
+    source, store: TableStore, files: dict[str, str] | None = None, daily_by_date: bool = False
+) -> DataFrame:
+    runner = Runner(store, daily_by_date)
     runner.bronze(source, files)
     runner.silver()
     runner.gold()
@@ -83,11 +84,13 @@ def main() -> None:
     arguments.add_argument("--catalog", help="v2 catalog to write to instead")
     arguments.add_argument("--format", default="iceberg", help="table format of the catalog")
     arguments.add_argument("--infer", action="store_true", help="infer column types from the CSV")
+    arguments.add_argument("--daily-by-date", action="store_true", help="partition the daily gold tables too")
     given = arguments.parse_args()
 
     spark = SparkSession.builder.appName("retail layers").getOrCreate()
     store = TableStore(spark, root=given.root, catalog=given.catalog, format=given.format)
-    report = run_pipeline(LandingTables(spark, given.landing, FILES, given.infer), store)
+    report = run_pipeline(LandingTables(spark, given.landing, FILES, given.infer), store,
+                          daily_by_date=given.daily_by_date)
     report.show(100, truncate=False)
     for layer in ("bronze", "silver", "gold"):
         store.list(layer).show(100, truncate=False)

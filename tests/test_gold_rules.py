@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from comptoir.operators.totals import roll_up
 from comptoir.plans import gold
 from comptoir.plans.layers import ROLLUPS, Gold
+from comptoir.sources.stores import written
 
 SALES = (
     "vente_id long, date_vente date, client_id long, produit_id long, canal_id int, quantite int,"
@@ -122,7 +123,7 @@ def test_silver_keys_are_unique(house):
 
 def test_builders_give_the_same_from_rollups(house):
     ventes = house.silver.ventes
-    rolled = Gold(house.silver, **{name: build(ventes) for name, build in ROLLUPS.items()})
+    rolled = Gold(house.silver, **{name: written(build(ventes), name) for name, build in ROLLUPS.items()})
     for name in ("ca_daily", "ca_weekly", "ca_monthly", "ca_by_canal", "sales_by_category", "sales_by_region",
                  "customer_basket", "sales_by_segment", "top_products", "return_rate", "stock_alert"):
         fresh = sorted(map(repr, Gold(house.silver)[name].collect()))
