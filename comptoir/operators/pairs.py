@@ -5,9 +5,10 @@ the sum over groups of ``k_a * k_b``, with ``k`` the rows of the item in the
 group. Rows are therefore counted per group and item before anything is paired.
 
 Groups with many items would still give a quadratic number of pairs. The number
-of pairs is known from the group sizes, so it is checked first. While it stays
-within ``PAIRS_PER_ROW`` times the rows, the groups are joined with themselves.
-Beyond, pairs that cannot reach the result are left out beforehand, exactly:
+of pairs is known from the group sizes, so it is checked first. While no group
+has more than ``GROUP_ITEMS`` items and all pairs together are no more than
+``PAIRS_PER_ROW`` times the rows, the groups are joined with themselves.
+Otherwise pairs that cannot reach the result are left out beforehand, exactly:
 
 1. An item's *bound* is the sum over its groups of ``k`` times the largest ``k``
    in the group. No pair with this item scores above it.
@@ -17,7 +18,8 @@ Beyond, pairs that cannot reach the result are left out beforehand, exactly:
 3. An item whose bound is under the bar is in no result pair. One whose bound
    equals the bar matters only in ties, which the item order settles.
 
-One item or group that dominates makes the bar high, so few items remain.
+One item or group that dominates makes the bar high, so few items remain. What
+remains of a large group is split over tasks.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from comptoir.sources.stores import written
 
 SEEDS = 128
 PAIRS_PER_ROW = 64
+GROUP_ITEMS = 4096
 
 
 def item_counts(
@@ -43,7 +46,8 @@ def item_counts(
 
 
 def top_pairs(
-    counts: DataFrame, limit: int = 100, at_least: int = 2, pairs_per_row: int = PAIRS_PER_ROW
+    counts: DataFrame, limit: int = 100, at_least: int = 2,
+    pairs_per_row: int = PAIRS_PER_ROW, group_items: int = GROUP_ITEMS,
 ) -> DataFrame:
     """Columns a, label_a, b, label_b, score with a < b; the best ``limit`` pairs.
 
@@ -51,13 +55,15 @@ def top_pairs(
     should be a stored table. Group sizes are added up when this is called.
     """
     sizes = counts.groupBy("g").agg(F.count("*").cast("double").alias("n"))
-    rows, pairs = sizes.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
-    if (pairs or 0.0) <= pairs_per_row * (rows or 0.0):
+    found = sizes.agg(
+        F.sum("n").alias("rows"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs"), F.max("n").alias("most")
+    ).na.fill(0.0).first()
+    if found.most <= group_items and found.pairs <= pairs_per_row * found.rows:
         return _best(_scored(_side(counts, "a"), _side(counts, "b")), limit, at_least)
-    return _top_pairs_by_bound(counts, limit, at_least)
+    return _top_pairs_by_bound(counts, limit, at_least, group_items)
 
 
-def _top_pairs_by_bound(counts: DataFrame, limit: int, at_least: int) -> DataFrame:
+def _top_pairs_by_bound(counts: DataFrame, limit: int, at_least: int, group_items: int) -> DataFrame:
     bounds = written(_bounds(counts), "pair-bounds")
     bar = _bar(counts, bounds, limit, at_least)
     level = F.coalesce(bar["score"], F.lit(at_least - 1))
@@ -69,11 +75,23 @@ def _top_pairs_by_bound(counts: DataFrame, limit: int, at_least: int) -> DataFra
         tied(F.col("item.id") == bar["a"]).alias("at"),
         tied(F.col("item.id") <= bar["b"]).alias("upto"),
     )
-    kept = lookup_join(counts, marked, "item", "inner")
+    kept = written(lookup_join(counts, marked, "item", "inner"), "pair-items")
     can_reach = (
         (F.col("above_a") & F.col("above_b")) | F.col("before_a") | (F.col("at_a") & F.col("upto_b")))
-    left = _side(kept.where("above or before or at"), "a")
-    return _best(_scored(left, _side(kept, "b"), can_reach), limit, at_least)
+    left, right = _split_large(kept.where("above or before or at"), kept, group_items)
+    return _best(_scored(left, right, can_reach, ["g", "part"]), limit, at_least)
+
+
+def _split_large(left: DataFrame, right: DataFrame, group_items: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a column ``part``: a left row of a group with more than
+    ``group_items`` items is in one part, a right row of it in all parts."""
+    sizes = right.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") > group_items)
+    parts = sizes.select("g", F.ceil(F.col("n") / group_items).cast("int").alias("parts"))
+    several = F.coalesce("parts", F.lit(1))
+    left, right = (lookup_join(side, parts, "g").withColumn("parts", several) for side in (left, right))
+    left = left.withColumn("part", F.pmod(F.xxhash64("item"), F.col("parts")).cast("int"))
+    right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return _side(left.drop("parts"), "a", ["g", "part"]), _side(right.drop("parts"), "b", ["g", "part"])
 
 
 def _bounds(counts: DataFrame) -> DataFrame:
@@ -99,13 +117,15 @@ def _bar(counts: DataFrame, bounds: DataFrame, limit: int, at_least: int) -> Col
     return last.agg(F.max(F.struct("score", "a", "b"))).scalar()
 
 
-def _side(df: DataFrame, side: str) -> DataFrame:
-    return df.select("g", *(F.col(c).alias(f"{c}_{side}") for c in df.columns if c != "g"))
+def _side(df: DataFrame, side: str, shared: list[str] = ["g"]) -> DataFrame:
+    return df.select(*shared, *(F.col(c).alias(f"{c}_{side}") for c in df.columns if c not in shared))
 
 
-def _scored(left: DataFrame, right: DataFrame, condition: Column | None = None) -> DataFrame:
+def _scored(
+    left: DataFrame, right: DataFrame, condition: Column | None = None, on: list[str] = ["g"]
+) -> DataFrame:
     ordered = F.col("item_a.id") < F.col("item_b.id")
-    together = left.join(right, "g").where(ordered if condition is None else ordered & condition)
+    together = left.join(right, on).where(ordered if condition is None else ordered & condition)
     return together.groupBy("item_a", "item_b").agg(F.sum(F.col("k_a") * F.col("k_b")).alias("score"))
 
 

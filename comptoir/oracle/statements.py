@@ -198,7 +198,7 @@ SELECTS["landing_manifest"] = " UNION ALL ".join(
     f"SELECT '{t}.parquet' AS file, '{d}/{t}.parquet' AS destination, true AS found, count(*) AS n FROM {t}"
     for t, d in [("customer", "raw/clients"), ("part", "raw/produits"), ("lineitem", "raw/ventes"),
                  ("orders", "raw/canaux")]
-) + " UNION ALL SELECT 'stocks.parquet', 'raw/stocks/stocks.parquet', false, NULL"
+) + " UNION ALL SELECT 'stocks.parquet', 'raw/stocks/stocks.parquet', false, 0"
 
 
 SELECTS["catalog_tables"] = " UNION ALL ".join(

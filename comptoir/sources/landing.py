@@ -59,7 +59,7 @@ def manifest(spark: SparkSession, folder: str, expected: Mapping[str, str], form
         if found:
             counted = spark.read.format(format).option("header", True).load(f"{folder}/{file}").agg(F.count("*").alias("n"))
         else:
-            counted = spark.range(1).select(F.lit(None).cast("long").alias("n"))
+            counted = spark.range(1).select(F.lit(0).cast("long").alias("n"))
         return counted.select(
             F.lit(file).alias("file"), F.lit(f"raw/{table}/{file}").alias("destination"),
             F.lit(found).alias("found"), "n")

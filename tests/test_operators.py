@@ -7,6 +7,8 @@ import random
 from collections import Counter
 from itertools import combinations
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,21 +75,30 @@ CASES = {
 
 
 @pytest.mark.parametrize("distinct", [False, True])
-@pytest.mark.parametrize("per_row", [0, 10**9], ids=["bounded", "joined"])
+@pytest.mark.parametrize("limits", [(0, 20), (0, 10**6), (10**9, 10**6)], ids=["split", "bounded", "joined"])
 @pytest.mark.parametrize("case", CASES)
-def test_pairs(spark, case, per_row, distinct):
+def test_pairs(spark, case, limits, distinct):
     rows = CASES[case]
     df = spark.createDataFrame(rows, "g long, i long, l string")
     counts = item_counts(df, "g", "i", "l", distinct).cache()
-    found = top_pairs(counts, limit=100, at_least=2, pairs_per_row=per_row)
+    per_row, group_items = limits
+    found = top_pairs(counts, 100, 2, pairs_per_row=per_row, group_items=group_items)
     assert [tuple(r) for r in found.collect()] == brute_pairs(rows, 100, 2, distinct)
 
 
-def test_bounds_leave_out_most_items_of_a_hot_group(spark):
-    rows = list(uneven(5, 800, 1200, 9_000, hot_group=0.4, hot_item=0.3))
+def test_one_large_group_is_not_paired_in_full(spark):
+    """4,200 items in one group: 9 million pairs, of which few can reach the top."""
+    rows = [(0, i, "x") for i in range(4200) for _ in range(1 + (i % 10 == 0) + (i % 50 == 0) * 5)]
+    rows += list(uneven(5, 800, 4200, 6_000))
     counts = item_counts(spark.createDataFrame(rows, "g long, i long, l string"), "g", "i", "l").cache()
-    found = top_pairs(counts, limit=100, at_least=2, pairs_per_row=0)
-    assert [tuple(r) for r in found.collect()] == brute_pairs(rows, 100, 2)
+    found = top_pairs(counts)
+    assert "pair-items" in found._jdf.queryExecution().toString()
+    duck = duckdb.connect()
+    duck.register("sold", pd.DataFrame(rows, columns=["g", "i", "l"]))
+    expected = duck.execute("""
+        SELECT a.i, a.l, b.i, b.l, count(*) AS n FROM sold a JOIN sold b ON a.g = b.g AND a.i < b.i
+        GROUP BY ALL ORDER BY n DESC, a.i, b.i, a.l, b.l LIMIT 100""").fetchall()
+    assert [tuple(r) for r in found.collect()] == expected
 
 
 def skewed(spark):

@@ -107,6 +107,6 @@ def test_manifest_reports_missing_files(spark, done):
     _, _, landing = done
     expected = {**FILES, "promos": "promos.csv"}
     found = {r.file: (r.destination, r.found, r.n) for r in manifest(spark, landing, expected).collect()}
-    assert found["promos.csv"] == ("raw/promos/promos.csv", False, None)
+    assert found["promos.csv"] == ("raw/promos/promos.csv", False, 0)
     assert found["canaux.csv"][:2] == ("raw/canaux/canaux.csv", True)
     assert found["canaux.csv"][2] == read_csv(spark, f"{landing}/canaux.csv", "canaux").count()
