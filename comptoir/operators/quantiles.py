@@ -13,8 +13,8 @@ SHIFTS = (40, 20, 0)
 
 def quantiles(
     df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float], exact: bool = True
-) -> Column:
-    """Scalar struct with, per name, the array of its quantiles as BIGINT.
+) -> DataFrame:
+    """One row with, per name, the array of its quantiles as BIGINT.
 
     A quantile is the smallest value whose cumulative share reaches the
     probability; nulls do not count. ``exact=False`` uses Spark's sketch.
@@ -29,7 +29,7 @@ def quantiles(
             F.percentile_approx(c.cast("long"), F.array(*map(F.lit, probs)), 10_000).alias(n)
             for n, c in columns.items()
         ]
-        return df.agg(*arrays).select(F.struct(*columns)).scalar()
+        return df.agg(*arrays)
 
     pairs = [F.struct(F.lit(n).alias("name"), c.cast("long").alias("v")) for n, c in columns.items()]
     values = df.select(F.inline(F.array(*pairs))).where("v is not null")
@@ -56,7 +56,7 @@ def quantiles(
 
     cell = lambda n, i: F.max(F.when((F.col("name") == n) & (F.col("i") == i), F.col("bits")))
     arrays = [F.array(*(cell(n, i) for i in range(len(probs)))).alias(n) for n in columns]
-    return found.agg(F.struct(*arrays).alias("quantiles")).scalar()
+    return found.agg(*arrays)
 
 
 def _group_of_rank(running: DataFrame) -> DataFrame:

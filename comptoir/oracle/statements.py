@@ -172,7 +172,7 @@ SELECTS["join_returns_sales"] = """
     SELECT retour_id, r.vente_id, CAST(coalesce(montant, 0) AS DOUBLE) AS montant_retour, canal_id, client_id
     FROM bronze_retours r LEFT JOIN one_vente v ON r.vente_id = v.vente_id"""
 SELECTS["agg_quartiles"] = """
-    SELECT i AS quartile, r[i] AS recence, f[i] AS frequence, CAST(m[i] AS DOUBLE) AS montant
+    SELECT CAST(i AS INTEGER) AS quartile, r[i] AS recence, f[i] AS frequence, CAST(m[i] AS DOUBLE) AS montant
     FROM rfm_cuts, range(1, 4) AS steps(i)"""
 SELECTS["gold_status_counts"] = " UNION ALL ".join(
     f"SELECT {text(t)} AS \"table\", {text(s)} AS statut, count(*) FILTER (WHERE {c} = {text(s)}) AS nb FROM {t}"

@@ -160,8 +160,8 @@ def rfm_cuts(per_client: DataFrame, exact: bool = True) -> Column:
         per_client,
         {"backwards": backwards, "sales": F.col(t.SALES), "cents": F.round(t.AMOUNT, 2) * 100},
         [0.25, 0.5, 0.75], exact)
-    last_day = F.array(*(-found["backwards"][i] for i in (2, 1, 0)))
-    return F.struct(last_day.alias("last_day"), found["sales"].alias("sales"), found["cents"].alias("cents"))
+    last_day = F.array(*(-F.col("backwards")[i] for i in (2, 1, 0))).alias("last_day")
+    return found.select(F.struct(last_day, "sales", "cents")).scalar()
 
 
 def rfm_quartiles(per_client: DataFrame) -> DataFrame:
@@ -169,7 +169,7 @@ def rfm_quartiles(per_client: DataFrame) -> DataFrame:
     cuts = per_client.sparkSession.range(1).select(
         rfm_cuts(per_client).alias("cut"), F.unix_date(_last_day(per_client)).alias("today"))
     rows = [
-        F.struct(F.lit(i + 1).alias("quartile"), (F.col("today") - F.col("cut.last_day")[2 - i]).alias("recence"),
+        F.struct(F.lit(i + 1).alias("quartile"), (F.col("today") - F.col("cut.last_day")[2 - i]).cast("int").alias("recence"),
                  F.col("cut.sales")[i].alias("frequence"), (F.col("cut.cents")[i] / 100).alias("montant"))
         for i in range(3)
     ]
@@ -199,9 +199,7 @@ def top_products(ventes: DataFrame, produits: DataFrame, k: int = 10) -> DataFra
     best_first = F.desc_nulls_last(t.UNITS)
     best = t.roll_up(ventes, "produit_id").orderBy(best_first, "produit_id").limit(k)
     ranked = best.withColumn("rang", F.rank().over(Window.orderBy(best_first)))
-    # k rows, so broadcasting them is bounded; the product table is only streamed.
-    details = produits.select("produit_id", *PRODUCT, "prix")
-    return details.join(F.broadcast(ranked), "produit_id", "right").select(
+    return ranked.join(produits.select("produit_id", *PRODUCT, "prix"), "produit_id", "left").select(
         "produit_id", *PRODUCT, F.col("prix").cast("double").alias("prix"),
         t.units("total_quantite_vendue"), t.revenue(), t.sales("nb_transactions"), t.basket(), "rang",
     )

@@ -1,6 +1,6 @@
 """Runs the layers one after the other, writing each table.
 
-    spark-submit -m comptoir.plans.runner --landing s3a://…/landing --root s3a://…/lakehouse
+    spark-submit run.py --landing s3a://bucket/landing --root s3a://bucket/tables
 
 A table that fails is reported and does not stop the others.
 """
@@ -13,12 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from comptoir.plans.layers import BRONZE, GOLD, ROLLUPS, SILVER, Gold, Silver, StoredTables, Tables
-from comptoir.sources.landing import FILES, LandingTables
+from comptoir.sources.landing import FILES, LandingTables, folder_bytes
 from comptoir.sources.stores import TableStore, written
 
 PARTITIONED = {("silver", "ventes"): "date_vente"}
 # These have one row per day, so by date they are one file per row: only on request.
 DAILY_BY_DATE = {("gold", "ca_daily"): "date_vente", ("gold", "daily_trend"): "date_vente"}
+# Shuffle partitions for an input size. AQE merges partitions that turn out small,
+# so too many cost little, while too few spill.
+PARTITION_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 50_000
 REPORT = "layer STRING, table STRING, status STRING, rows BIGINT, error STRING"
 
 
@@ -77,6 +81,14 @@ def run_pipeline(
     return runner.report()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Sets the shuffle partitions for an input, at least one per core."""
+    wanted = -(-input_bytes // PARTITION_BYTES)
+    partitions = max(spark.sparkContext.defaultParallelism, min(wanted, MOST_PARTITIONS))
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    return partitions
+
+
 def main() -> None:
     arguments = argparse.ArgumentParser(description=__doc__)
     arguments.add_argument("--landing", required=True, help="folder with the CSV tables")
@@ -88,10 +100,13 @@ def main() -> None:
     given = arguments.parse_args()
 
     spark = SparkSession.builder.appName("retail layers").getOrCreate()
+    size_shuffles(spark, folder_bytes(spark, given.landing))
     store = TableStore(spark, root=given.root, catalog=given.catalog, format=given.format)
     report = run_pipeline(LandingTables(spark, given.landing, FILES, given.infer), store,
                           daily_by_date=given.daily_by_date)
     report.show(100, truncate=False)
+    for line in report.where("status = 'OK' AND layer = 'bronze'").collect():
+        store.read("bronze", line.table, lineage=True).printSchema()
     for layer in ("bronze", "silver", "gold"):
         store.list(layer).show(100, truncate=False)
     if report.where("status <> 'OK'").count():

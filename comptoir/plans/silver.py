@@ -34,8 +34,8 @@ def clients(bronze: DataFrame) -> DataFrame:
 def median_price(bronze_produits: DataFrame, exact: bool = True):
     """Scalar: median of all prices that are not null, repeated rows included."""
     cents = (F.col("prix").cast(MONEY) * 100).cast("long")
-    middle = quantiles(bronze_produits, {"prix": cents}, [0.5], exact)
-    return (middle["prix"][0] / 100).cast(MONEY)
+    middle = quantiles(bronze_produits, {"cents": cents}, [0.5], exact)
+    return middle.select((F.col("cents")[0] / 100).cast(MONEY)).scalar()
 
 
 def produits(bronze: DataFrame, exact_median: bool = True) -> DataFrame:

@@ -40,19 +40,26 @@ class LandingTables:
         return load
 
 
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    """The files below a folder. Listed as binary files, whose content is not read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    return _files(spark, folder).agg(F.sum("length")).first()[0] or 0
+
+
 def manifest(spark: SparkSession, folder: str, expected: Mapping[str, str], format: str = "csv") -> DataFrame:
     """file, destination, found, n (rows) for each expected landing file.
 
-    A missing file is a row of its own, not an error. The folder is listed as
-    binary files, of which only the names are read.
+    A missing file is a row of its own, not an error.
     """
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     path = F.col("path")
     is_there = {
         file: F.max(path.endswith(f"/{file}") | path.contains(f"/{file}/")).alias(file)
         for file in expected.values()
     }
-    there = listing.agg(*is_there.values()).first()
+    there = _files(spark, folder).agg(*is_there.values()).first()
 
     def line(table: str, file: str) -> DataFrame:
         found = bool(there[file])

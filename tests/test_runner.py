@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from comptoir.plans.layers import BRONZE, GOLD, SILVER, register_views
-from comptoir.plans.runner import Runner, run_pipeline
+from comptoir.plans.runner import Runner, run_pipeline, size_shuffles
 from comptoir.plans.serving import REPORTS
 from comptoir.sources.landing import FILES, LandingTables, manifest, read_csv
 from comptoir.sources.retail_tables import RetailTables
@@ -110,3 +110,10 @@ def test_manifest_reports_missing_files(spark, done):
     assert found["promos.csv"] == ("raw/promos/promos.csv", False, 0)
     assert found["canaux.csv"][:2] == ("raw/canaux/canaux.csv", True)
     assert found["canaux.csv"][2] == read_csv(spark, f"{landing}/canaux.csv", "canaux").count()
+
+
+def test_shuffle_partitions_follow_the_input(spark, conf):
+    conf("spark.sql.shuffle.partitions", "8")
+    assert size_shuffles(spark, 1000) == spark.sparkContext.defaultParallelism
+    assert size_shuffles(spark, 100 * 1024**3) == 800
+    assert size_shuffles(spark, 100 * 1024**4) == 50_000
