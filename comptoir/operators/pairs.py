@@ -79,7 +79,7 @@ def _top_pairs_by_bound(counts: DataFrame, limit: int, at_least: int, group_item
     can_reach = (
         (F.col("above_a") & F.col("above_b")) | F.col("before_a") | (F.col("at_a") & F.col("upto_b")))
     left, right = _split_large(kept.where("above or before or at"), kept, group_items)
-    return _best(_scored(left, right, can_reach, ["g", "part"]), limit, at_least)
+    return _best(_scored(left, right, can_reach, ("g", "part")), limit, at_least)
 
 
 def _split_large(left: DataFrame, right: DataFrame, group_items: int) -> tuple[DataFrame, DataFrame]:
@@ -91,7 +91,7 @@ def _split_large(left: DataFrame, right: DataFrame, group_items: int) -> tuple[D
     left, right = (lookup_join(side, parts, "g").withColumn("parts", several) for side in (left, right))
     left = left.withColumn("part", F.pmod(F.xxhash64("item"), F.col("parts")).cast("int"))
     right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return _side(left.drop("parts"), "a", ["g", "part"]), _side(right.drop("parts"), "b", ["g", "part"])
+    return _side(left.drop("parts"), "a", ("g", "part")), _side(right.drop("parts"), "b", ("g", "part"))
 
 
 def _bounds(counts: DataFrame) -> DataFrame:
@@ -117,15 +117,15 @@ def _bar(counts: DataFrame, bounds: DataFrame, limit: int, at_least: int) -> Col
     return last.agg(F.max(F.struct("score", "a", "b"))).scalar()
 
 
-def _side(df: DataFrame, side: str, shared: list[str] = ["g"]) -> DataFrame:
+def _side(df: DataFrame, side: str, shared: tuple[str, ...] = ("g",)) -> DataFrame:
     return df.select(*shared, *(F.col(c).alias(f"{c}_{side}") for c in df.columns if c not in shared))
 
 
 def _scored(
-    left: DataFrame, right: DataFrame, condition: Column | None = None, on: list[str] = ["g"]
+    left: DataFrame, right: DataFrame, condition: Column | None = None, on: tuple[str, ...] = ("g",)
 ) -> DataFrame:
     ordered = F.col("item_a.id") < F.col("item_b.id")
-    together = left.join(right, on).where(ordered if condition is None else ordered & condition)
+    together = left.join(right, list(on)).where(ordered if condition is None else ordered & condition)
     return together.groupBy("item_a", "item_b").agg(F.sum(F.col("k_a") * F.col("k_b")).alias("score"))
 
 

@@ -27,14 +27,16 @@ REPORT = "layer STRING, table STRING, status STRING, rows BIGINT, error STRING"
 
 
 class Runner:
-    def __init__(self, store: TableStore, daily_by_date: bool = False):
+    """``partition_by`` gives the partition column of (layer, table)."""
+
+    def __init__(self, store: TableStore, partition_by: dict[tuple[str, str], str] = PARTITIONED):
         self.store = store
-        self._partitioned = PARTITIONED | (DAILY_BY_DATE if daily_by_date else {})
+        self._partition_by = partition_by
         self._lines: list[tuple] = []
 
     def _attempt(self, layer: str, name: str, build: Callable[[], DataFrame], source: str | None = None) -> None:
         try:
-            rows = self.store.write(build(), layer, name, self._partitioned.get((layer, name)), source)
+            rows = self.store.write(build(), layer, name, self._partition_by.get((layer, name)), source)
             self._lines.append((layer, name, "OK", rows, None))
         except Exception as error:  # one table's failure is reported, not raised
             self._lines.append((layer, name, "FAILED", 0, str(error)))
@@ -72,9 +74,10 @@ class Runner:
 
 
 def run_pipeline(
-    source, store: TableStore, files: dict[str, str] | None = None, daily_by_date: bool = False
+    source, store: TableStore, files: dict[str, str] | None = None,
+    partition_by: dict[tuple[str, str], str] = PARTITIONED,
 ) -> DataFrame:
-    runner = Runner(store, daily_by_date)
+    runner = Runner(store, partition_by)
     runner.bronze(source, files)
     runner.silver()
     runner.gold()
@@ -102,8 +105,9 @@ def main() -> None:
     spark = SparkSession.builder.appName("retail layers").getOrCreate()
     size_shuffles(spark, folder_bytes(spark, given.landing))
     store = TableStore(spark, root=given.root, catalog=given.catalog, format=given.format)
-    report = run_pipeline(LandingTables(spark, given.landing, FILES, given.infer), store,
-                          daily_by_date=given.daily_by_date)
+    partition_by = PARTITIONED | DAILY_BY_DATE if given.daily_by_date else PARTITIONED
+    source = LandingTables(spark, given.landing, FILES, given.infer)
+    report = run_pipeline(source, store, partition_by=partition_by)
     report.show(100, truncate=False)
     for line in report.where("status = 'OK' AND layer = 'bronze'").collect():
         store.read("bronze", line.table, lineage=True).printSchema()

@@ -12,9 +12,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from comptoir.operators.dedup import one_per_key
 from comptoir.operators.lookups import lookup_join
 from comptoir.operators.pairs import item_counts, top_pairs
 from comptoir.operators.quantiles import quantiles
+from comptoir.sources.stores import balanced
 from conftest import final_plan
 
 
@@ -120,6 +122,20 @@ def test_hot_key_of_a_large_lookup_is_split(spark, conf):
     assert joined.where("k IS NOT NULL AND v <> k OR k IS NULL AND v IS NOT NULL").count() == 0
 
 
+def test_hot_date_is_split_over_files(spark, conf):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50k")
+    day = F.when(F.col("id") % 3 > 0, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02")).cast("date")
+    rows = spark.range(300_000).select(day.alias("date_vente"), F.xxhash64("id").alias("x")).repartition(16)
+    assert "skewed" in final_plan(balanced(rows, "date_vente"))
+
+
+def test_copies_of_one_key_are_combined_before_the_shuffle(spark):
+    rows = spark.range(100_000).select(F.pmod("id", F.lit(1)).alias("k"), (F.col("id") % 5).alias("v"))
+    plan = one_per_key(rows, "k")._jdf.queryExecution().executedPlan().toString()
+    final, shuffle, partial = (plan.index(s) for s in ("[min(struct", "Exchange hashpartitioning(k", "partial_min(struct"))
+    assert final < shuffle < partial
+
+
 def test_small_lookup_is_broadcast_after_its_size_is_known(spark):
     left, right = skewed(spark)
     assert "BroadcastHashJoin" in final_plan(lookup_join(left, right, "k"))
