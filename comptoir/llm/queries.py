@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from comptoir.llm import language, mixing, ngram_join, sharding, url_filter
+from comptoir.llm import decontaminate, language, mixing, ngram_join, sharding, url_filter
 from comptoir.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,8 @@ def queries() -> dict[str, Query]:
     pages = lambda spark, folder: table(spark, folder, "pages")
     return {
         "op3_mix_sources": lambda spark, folder: mixing.mixed_words(documents(spark, folder)),
+        "op6_decontamination": lambda spark, folder: decontaminate.contained_items(
+            documents(spark, folder), table(spark, folder, "benchmark")),
         "op7_ngram_join": lambda spark, folder: ngram_join.join_documents(documents(spark, folder)),
         "op8_language_id": lambda spark, folder: language.document_languages(documents(spark, folder)),
         "op9_shards": lambda spark, folder: sharding.shard_of_documents(documents(spark, folder)),
@@ -25,4 +27,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mix_sources": mixing.MIXED_WORDS_SQL}
+    return {
+        "op3_mix_sources": mixing.MIXED_WORDS_SQL,
+        "op6_decontamination": decontaminate.CONTAINED_ITEMS_SQL,
+    }
