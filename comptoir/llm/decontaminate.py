@@ -25,7 +25,7 @@ together. Empty tables give no rows. Other columns pass through the filter.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from comptoir.llm.common import column, fresh
 from comptoir.sources.stores import written
@@ -39,15 +39,21 @@ GAPS = r"[^\p{L}\p{N}]+"
 BROADCAST_ROWS = 1_000_000
 
 
+def _hashes(words: Column) -> Column:
+    """Of an array of words, the array of hashed shingles, as often as they occur."""
+    starts = F.when(F.size(words) > 0, F.sequence(F.lit(1), F.greatest(F.size(words) - (WORDS - 1), F.lit(1))))
+    return F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, WORDS)))
+
+
 def _shingles(rows: DataFrame, id_column: str) -> DataFrame:
     """(id, size, hash): one row per shingle of a text, repeats included."""
-    # The split words get a column of their own, so that they are made once per text.
     words = F.filter(F.split(F.lower("text"), GAPS), lambda w: w != "")
-    split = rows.select(id_column, words.alias("words")).where(F.size("words") > 0)
-    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (WORDS - 1), F.lit(1)))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, WORDS)))
-    hashed = split.select(id_column, F.size(starts).alias("size"), hashes.alias("hashes"))
-    return hashed.select(id_column, "size", F.explode("hashes").alias("hash"))
+    # Bound to a lambda variable, the words are made once per text however the plan is rewritten.
+    hashes = F.transform(F.array(words), _hashes)[0]
+    # Outer, as an inner explode has Spark compute the array once more to filter empty ones.
+    exploded = rows.select(id_column, hashes.alias("hashes")).select(
+        id_column, F.size("hashes").alias("size"), F.explode_outer("hashes").alias("hash"))
+    return exploded.where("hash IS NOT NULL")
 
 
 def _sized(df: DataFrame, purpose: str) -> DataFrame:
@@ -98,10 +104,13 @@ CONTAINED_ITEMS_SQL = """
 WITH texts AS (
   SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
 split AS (
-  SELECT kind, id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS words FROM texts),
-shingles AS (
-  SELECT DISTINCT kind, id, unnest(list_transform(range(1, greatest(len(words) - 3, 2)), lambda i: array_to_string(words[i:i + 4], ' '))) AS shingle
-  FROM split WHERE len(words) > 0),
+  SELECT kind, id, row_number() OVER () AS row,
+         list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS words FROM texts),
+words AS (SELECT kind, id, row, len(words) AS n, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM split),
+runs AS (
+  SELECT kind, id, n, pos, string_agg(w, ' ') OVER (PARTITION BY row ORDER BY pos ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS shingle
+  FROM words),
+shingles AS (SELECT DISTINCT kind, id, shingle FROM runs WHERE pos <= greatest(n - 4, 1)),
 items AS (SELECT id, shingle, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 'i'),
 shared AS (
   SELECT d.id AS doc_id, i.id AS item_id, any_value(n) AS n_item, count(*) AS n_shared
