@@ -19,10 +19,12 @@ sets are joined as follows.
    (all of a small set in one segment), the set enters a group of its band
    for such sets.
 5. *Verification.* Sets that share a signature are candidates. Groups of up to
-   ``GROUP`` give pairs; the sets of larger groups are gathered by the
-   connected parts that these groups form and compared in blocks by matrix
-   products, so that common passages and thousands of near copies do not
-   become rows. Both compare whole sets, exactly.
+   ``GROUP`` give pairs; a pair whose parity sketches (a bit per hash bucket,
+   set if it holds an odd number of shingles) differ in more than H bits
+   differs in more than H shingles and is dropped. The sets of larger groups
+   are gathered by the connected parts that these groups form and compared in
+   blocks by matrix products, so that common passages and thousands of near
+   copies do not become rows. Both compare whole sets, exactly.
 
 Copies of one set are one class throughout. Frequencies only set the order in
 step 3: any values give the same links. Everything that grows with the input is
@@ -41,7 +43,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from comptoir.llm.components import components
 from comptoir.llm.shingles import mixed, shingle_sets
@@ -52,7 +54,9 @@ COMMON = 1 << 20
 #: A task reports a shingle that it saw so often in ``BUFFER`` shingles.
 REPORTED, BUFFER = 4, 1 << 22
 #: Signatures in one part of the index, about; and the least number of parts.
-PART, LEAST_PARTS = 1 << 20, 64
+PART, LEAST_PARTS = 1 << 21, 16
+#: Bytes of a signature that are stored beside its part: candidates are verified, so it may be cut.
+STORED_BYTES = 5
 #: A group with more sets is compared in blocks, not by pairs.
 GROUP = 64
 #: Sets on each side of a block.
@@ -99,6 +103,37 @@ def _identities(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.
     return first.view(np.int64), mixed(_sums(mixed(tokens, 13), bounds) + size, 14).view(np.int64)
 
 
+def _parities(tokens: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """Of each set the parity of its count in hash buckets, two to four per shingle, 64 to a number."""
+    size = np.diff(bounds)
+    bits = np.maximum(6, np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64) + 1)
+    starts = np.cumsum(1 << bits) - (1 << bits)
+    owner = np.repeat(np.arange(len(size)), size)
+    bucket = (mixed(tokens, 15) & ((1 << bits[owner]) - 1).astype(np.uint64)).astype(np.int64)
+    counts = np.bincount(starts[owner] + bucket, minlength=int((1 << bits).sum()))
+    words = np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+    return [words[a:b] for a, b in zip(starts // 64, (starts + (1 << bits)) // 64)]
+
+
+def _may_link(a: str, b: str) -> Column:
+    """False for pairs (columns ``{a}_n`` and ``{a}_parity``) whose sketches show too many differences.
+
+    A sketch twice as fine is first folded: a bucket's halves lie half the sketch apart.
+    """
+    fewer = F.least(F.size(f"{a}_parity"), F.size(f"{b}_parity"))
+
+    def folded(side: str) -> Column:
+        parity = F.col(f"{side}_parity")
+        halves = F.slice(parity, 1, fewer), F.slice(parity, fewer + 1, fewer)
+        return F.when(F.size(parity) == fewer, parity).otherwise(F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y)))
+
+    differing = F.aggregate(
+        F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    n = F.col(f"{a}_n") + F.col(f"{b}_n")
+    sizes = 4 * F.least(f"{a}_n", f"{b}_n") >= 3 * F.greatest(f"{a}_n", f"{b}_n")
+    return sizes & (F.coalesce(differing, F.lit(0)) <= F.floor(n / 7))
+
+
 # -- first pass: sizes, fingerprints, frequent shingles ----------------------------------
 
 def _measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,14 +144,15 @@ def _measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         often = counts >= REPORTED
         return pd.DataFrame({
             "doc_id": pd.Series([None] * int(often.sum()), dtype="Int64"), "n": counts[often].astype(np.int64),
-            "id": values[often].view(np.int64), "check": np.zeros(int(often.sum()), np.int64), "shingle": True})
+            "id": values[often].view(np.int64), "check": np.zeros(int(often.sum()), np.int64), "shingle": True,
+            "parity": pd.Series([None] * int(often.sum()), dtype=object)})
 
     for piece in _pieces(batches):
         tokens, bounds = shingle_sets(piece["text"])
         first, second = _identities(tokens, bounds)
         yield pd.DataFrame({
             "doc_id": piece["doc_id"].astype("Int64").to_numpy(), "n": np.diff(bounds), "id": first,
-            "check": second, "shingle": False})
+            "check": second, "shingle": False, "parity": _parities(tokens, bounds)})
         held, amount = [*held, tokens], amount + len(tokens)
         if amount >= BUFFER:
             yield frequent()
@@ -213,43 +249,43 @@ def _indexed(common, parts: int):
             of, signature = of[kept[of]], signature[kept[of]]
             part = signature % np.uint64(parts)
             order = np.argsort(part, kind="stable")
-            of, signature, part = of[order].astype(np.uint16), signature[order], part[order]
+            of, signature, part = of[order], signature[order], part[order]
             edges = np.flatnonzero(np.diff(part, prepend=np.uint64(parts), append=np.uint64(parts)))
-            sets = name.tobytes() + np.diff(bounds).astype(np.int64).tobytes()
-            yield pd.DataFrame({
-                "part": part[edges[:-1]].astype(np.int32), "sets": [sets] * (len(edges) - 1),
-                "of": [of[a:b].tobytes() for a, b in zip(edges, edges[1:])],
-                "signature": [signature[a:b].tobytes() for a, b in zip(edges, edges[1:])]})
+            packed = []
+            for start, end in zip(edges, edges[1:]):
+                held, at = np.unique(of[start:end], return_inverse=True)
+                bits = np.ascontiguousarray(signature[start:end] // np.uint64(parts)).view(np.uint8).reshape(-1, 8)
+                packed.append((
+                    int(part[start]), name[held].tobytes(), at.astype(np.uint16).tobytes(),
+                    np.ascontiguousarray(bits[:, :STORED_BYTES]).tobytes()))
+            yield pd.DataFrame(packed, columns=["part", "sets", "of", "signature"])
     return rows
 
 
 def _candidates(part: pd.DataFrame) -> pd.DataFrame:
     """Pairs of sets of one part that share a signature; stars in place of pairs for large groups."""
-    names, sizes, values = [], [], []
+    names, values = [], []
     for sets, of, signature in zip(part["sets"], part["of"], part["signature"]):
-        known, at = np.frombuffer(sets, np.int64).reshape(2, -1), np.frombuffer(of, np.uint16)
-        names.append(known[0][at])
-        sizes.append(known[1][at])
-        values.append(np.frombuffer(signature, np.uint64))
-    name, size, value = map(np.concatenate, (names, sizes, values))
-    del names, sizes, values
+        names.append(np.frombuffer(sets, np.int64)[np.frombuffer(of, np.uint16)])
+        cut = np.zeros((len(names[-1]), 8), np.uint8)
+        cut[:, :STORED_BYTES] = np.frombuffer(signature, np.uint8).reshape(-1, STORED_BYTES)
+        values.append(cut.view(np.uint64).ravel())
+    name, value = np.concatenate(names), np.concatenate(values)
+    del names, values
     order = np.lexsort((name, value))
-    name, size, value = name[order], size[order], value[order]
+    name, value = name[order], value[order]
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (name[1:] != name[:-1])
-    name, size, value = name[new], size[new], value[new]
+    name, value = name[new], value[new]
     first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
     length = np.diff(np.append(first, len(value)))
     left, right, large = [], [], []
     for n in np.unique(length[(length > 1) & (length <= GROUP)]):
         group = first[length == n][:, None] + np.arange(n)
         i, j = np.triu_indices(n, 1)
-        a, b = group[:, i].ravel(), group[:, j].ravel()
-        small, big = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
-        near = 4 * small >= 3 * big
-        left.append(name[a[near]])
-        right.append(name[b[near]])
-        large.append(np.zeros(near.sum(), bool))
+        left.append(name[group[:, i].ravel()])
+        right.append(name[group[:, j].ravel()])
+        large.append(np.zeros(len(left[-1]), bool))
     for start, n in zip(first[length > GROUP], length[length > GROUP]):
         left.append(np.full(n, name[start]))
         right.append(name[start:start + n])
@@ -318,6 +354,15 @@ def _block_links(sets: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": np.array(found_a, np.int64), "b": np.array(found_b, np.int64)})
 
 
+def _near_pairs(pairs: DataFrame, measured: DataFrame) -> DataFrame:
+    """The pairs without those that the sizes and sketches rule out."""
+    paired = pairs.select(F.col("a").alias("paired")).unionAll(pairs.select("b")).distinct()
+    sketches = measured.join(paired, F.col("id") == F.col("paired"), "left_semi").select("id", "n", "parity")
+    sketches = written(sketches.dropDuplicates(["id"]), "join-sketches")
+    side = lambda name: sketches.select(*(F.col(c).alias(name if c == "id" else f"{name}_{c}") for c in sketches.columns))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_may_link("a", "b")).select("a", "b")
+
+
 def _pair_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     side = lambda name: sets.select(F.col("id").alias(name), F.col("tokens").alias(f"{name}_tokens"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -360,7 +405,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
     ``component_id`` is the smallest id reachable by links.
     """
     spark, docs = docs.sparkSession, docs.select("doc_id", "text")
-    schema = "doc_id long, n long, id long, check long, shingle boolean"
+    schema = "doc_id long, n long, id long, check long, shingle boolean, parity array<long>"
     measured = written(docs.mapInPandas(_measured, schema), "join-sizes")
     known = measured.where("not shingle").select("doc_id", "n", "id", "check")
     often = measured.where("shingle").groupBy("id").agg(F.sum("n").alias("n"))
@@ -372,6 +417,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
     index = docs.mapInPandas(_indexed(frequent, parts), "part int, sets binary, of binary, signature binary")
     found = written(index.groupBy("part").applyInPandas(_candidates, "a long, b long, large boolean"), "join-candidates")
     pairs = written(found.where("not large").select("a", "b").distinct(), "join-pairs")
+    pairs = written(_near_pairs(pairs, measured.where("not shingle")), "join-near-pairs")
     stars = written(found.where("large").select("a", "b").distinct(), "join-stars")
 
     classes = written(known.where("n > 0").groupBy("id", "check").agg(F.min("doc_id").alias("rep")), "join-classes")
