@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from comptoir.llm import decontaminate, language, mixing, ngram_join, sharding, url_filter
+from comptoir.llm import decontaminate, language, mixing, ngram_join, pii, sharding, url_filter
 from comptoir.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
     documents = lambda spark, folder: table(spark, folder, "documents")
     pages = lambda spark, folder: table(spark, folder, "pages")
     return {
+        "op1_pii": lambda spark, folder: pii.document_identifiers(documents(spark, folder)),
         "op3_mix_sources": lambda spark, folder: mixing.mixed_words(documents(spark, folder)),
         "op6_decontamination": lambda spark, folder: decontaminate.contained_items(
             documents(spark, folder), table(spark, folder, "benchmark")),
@@ -28,6 +29,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_pii": lambda spark, folder: pii.document_identifiers(documents(spark, folder)),
         "op3_mix_sources": mixing.MIXED_WORDS_SQL,
         "op6_decontamination": decontaminate.CONTAINED_ITEMS_SQL,
     }
