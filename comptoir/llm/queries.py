@@ -1,4 +1,7 @@
-"""The registered queries of this package and their SQL twins."""
+"""The registered queries of this package and their SQL twins.
+
+Where there is no twin, tests/llm holds the query against a brute-force version.
+"""
 
 from __future__ import annotations
 
@@ -6,30 +9,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from comptoir.llm import decontaminate, language, mixing, ngram_join, pii, sharding, url_filter
+from comptoir.llm import (
+    ann, chat, decontaminate, language, mixing, ngram_join, pii, sharding, token_counts, url_filter,
+)
 from comptoir.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    documents = lambda spark, folder: table(spark, folder, "documents")
-    pages = lambda spark, folder: table(spark, folder, "pages")
+    def over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
+        return lambda spark, folder: operator(table(spark, folder, name))
+
+    def contained(spark: SparkSession, folder: str) -> DataFrame:
+        return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
     return {
-        "op1_pii": lambda spark, folder: pii.document_identifiers(documents(spark, folder)),
-        "op3_mix_sources": lambda spark, folder: mixing.mixed_words(documents(spark, folder)),
-        "op6_decontamination": lambda spark, folder: decontaminate.contained_items(
-            documents(spark, folder), table(spark, folder, "benchmark")),
-        "op7_ngram_join": lambda spark, folder: ngram_join.join_documents(documents(spark, folder)),
-        "op8_language_id": lambda spark, folder: language.document_languages(documents(spark, folder)),
-        "op9_shards": lambda spark, folder: sharding.shard_of_documents(documents(spark, folder)),
-        "op10_url_filter": lambda spark, folder: url_filter.judged_pages(pages(spark, folder)),
+        "op1_pii": over("documents", pii.document_identifiers),
+        "op2_token_counts": over("documents", token_counts.document_sections),
+        "op3_mix_sources": over("documents", mixing.mixed_words),
+        "op4_chat_format": over("conversations", chat.formatted_conversations),
+        "op5_nearest_vectors": over("embeddings", ann.nearest_vectors),
+        "op6_decontamination": contained,
+        "op7_ngram_join": over("documents", ngram_join.join_documents),
+        "op8_language_id": over("documents", language.document_languages),
+        "op9_shards": over("documents", sharding.shard_of_documents),
+        "op10_url_filter": over("pages", url_filter.judged_pages),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_pii": lambda spark, folder: pii.document_identifiers(documents(spark, folder)),
         "op3_mix_sources": mixing.MIXED_WORDS_SQL,
         "op6_decontamination": decontaminate.CONTAINED_ITEMS_SQL,
     }
