@@ -2,13 +2,16 @@
 
 ``STAGES`` holds (name, function) in order. Each function takes (spark, docs,
 sf_dir); the result is written and read again as the next one's ``docs``.
+
+Nulls, empty texts, repeated rows and other columns are treated as each
+operator's module says; all stages but the last keep every column.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from comptoir.llm import language, mixing, sharding
+from comptoir.llm import decontaminate, language, mixing, ngram_join, sharding
 from comptoir.llm.common import table
 from comptoir.sources.stores import written
 
@@ -18,6 +21,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language.in_known_language(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near copies."""
+    return ngram_join.one_of_each_group(docs)
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold an item of the benchmark."""
+    return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents so that each source meets its target."""
     return mixing.mix(docs)
@@ -30,6 +43,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", identify_language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminate_benchmark),
     ("mix", mix_sources),
     ("shard", shard),
 ]
