@@ -10,8 +10,10 @@ times the number of shards of them. All smaller groups are dealt by hash into
 as many crates, whole, and a crate is one item. The driver packs these items;
 everything that has one row per document or per text stays in Spark.
 
-A group that fits into no shard is divided over the emptiest ones: that takes a
-group nearly as large as a shard, such as one text in a third of all rows.
+A group larger than a shard, such as one text in a third of all rows, is
+divided over the emptiest ones. Other groups stay whole, unless shards would
+then differ by more than ``WHOLE_SLACK``: only then are those divided, too,
+that fit into no shard.
 
 Nulls: a null text has no bytes and CRC 0; all null texts are one group. Ids
 may be null or repeated. An empty table gives no rows. Other columns are not read.
@@ -29,6 +31,8 @@ from comptoir.sources.stores import written
 SHARDS = 40
 GRAIN = 256
 ROW_BYTES = 16
+#: Room over an even share, as a fraction, up to which groups stay whole.
+WHOLE_SLACK = 1 / 32
 #: Rows of a shard that one task numbers, about.
 PART_ROWS = 200_000
 
@@ -87,10 +91,11 @@ class CapacityTree:
         return self._take(low, taken, None)
 
 
-def best_fit(items: list[tuple[int, int, object]], shards: int, capacity: int) -> dict | None:
+def best_fit(items: list[tuple[int, int, object]], shards: int, capacity: int, whole: bool = False) -> dict | None:
     """key -> [(shard, copies)] for items (size of a copy, copies, key); None if they do not fit.
 
-    Items come in any order. ``shards`` bounds the bins that may be opened.
+    Items come in any order. ``shards`` bounds the bins that may be opened. With
+    ``whole``, only items larger than a bin may be divided.
     """
     tree, opened, places = CapacityTree(), 0, {}
     for each, count, key in sorted(items, key=lambda x: (-x[0] * x[1], str(x[2]))):
@@ -101,6 +106,8 @@ def best_fit(items: list[tuple[int, int, object]], shards: int, capacity: int) -
             places[key] = [(found[1], count)]
             tree.add(found[0] - each * count, found[1])
             continue
+        if whole and each * count <= capacity:
+            return None
         places[key] = []
         while count:  # divided
             if opened < shards:
@@ -129,9 +136,12 @@ def pack(items: list[tuple[int, int, object]], shards: int) -> dict:
         own, left = own + 1, left - each
         rest = ([(each, count - 1, key)] if count > 1 else []) + rest[1:]
     if rest:
-        even, slack = max(rest[0][0], -(-left // (shards - own))), 0
-        while (found := best_fit(rest, shards - own, even + slack)) is None:
+        even = max(rest[0][0], -(-left // (shards - own)))
+        slack, whole = 0, True
+        while (found := best_fit(rest, shards - own, even + slack, whole)) is None:
             slack = max(2 * slack, even >> 12, 1)
+            if whole and slack > even * WHOLE_SLACK:
+                slack, whole = 0, False
         for key, placed in found.items():
             places.setdefault(key, []).extend(placed)
     return places

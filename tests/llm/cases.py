@@ -1,0 +1,39 @@
+"""Rows that every operator must take: nulls, empty and long texts, ties, repeats, clashing names."""
+
+from __future__ import annotations
+
+import random
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, `id` string, _item int, copies int, `a.b` int"
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def words(seed: int, n: int) -> list[str]:
+    pick = random.Random(seed)
+    return ["".join(pick.choice(LETTERS) for _ in range(pick.randint(2, 7))) for _ in range(n)]
+
+
+def text(seed: int, n: int) -> str:
+    return " ".join(words(seed, n))
+
+
+def frame(spark, rows):
+    """rows: (doc_id, text, lang, source)"""
+    full = [(*row, len(row[1] or ""), 1, "x", 2, 3, 4) for row in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def edited(base: list[str], places: list[int]) -> str:
+    return " ".join(f"{w}x" if i in places else w for i, w in enumerate(base))
+
+
+def odd_rows():
+    """A hot source, a hot group of copies, near copies, long, empty and null texts, repeated rows."""
+    base = words(1, 120)
+    rows = [(i, text(100 + i, 30 + i), "en", "hot") for i in range(20)]
+    rows += [(100 + i, "same text for all of them here", "en", "hot") for i in range(25)]
+    rows += [(200 + i, edited(base, [i * 4]), "fr", "b") for i in range(12)]
+    rows += [(300, text(7, 5000), "de", "a"), (301, "", "de", "a"), (302, None, None, None), (303, "a b", "es", None)]
+    rows += [(304, "a b", "es", "a"), (304, "a b", "es", "a"), (None, "no id at all but some words", "en", "b")]
+    rows += [(305, "!!! ??? 123", "en", "a"), (306, " \t\r\n\x0b\x0c ", "en", "c"), (307, "é ü ñ 中文 😀", "fr", "c")]
+    return rows

@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from comptoir.llm import pii
+from llm.cases import frame, odd_rows
+
+
+def plain(text: str) -> dict[str, list]:
+    """The base spans, from the patterns as they are stated."""
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    spans = lambda pattern, good: [m.span() for m in re.finditer(pattern, text) if good(m)]
+
+    def luhn(number: str) -> bool:
+        total = 0
+        for i, d in enumerate(reversed(number)):
+            d = int(d) * (1 + i % 2)
+            total += d - 9 if d > 9 else d
+        return total % 10 == 0
+
+    return {
+        "email": spans(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        "ip": spans(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m[0].split("."))),
+        "card": spans(r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        "phone": spans(r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(digits(m)) <= 15),
+    }
+
+
+def test_base_spans_are_those_of_the_patterns():
+    pick = random.Random(3)
+    for _ in range(20_000):
+        text = "".join(pick.choice("a1@.-+ (%2é9)0x") for _ in range(pick.randint(0, 40)))
+        assert pii.detect(text) == plain(text), text
+    card = "4111 1111-1111 1111"
+    assert pii.detect(f"x {card} y")["card"] == [(2, 2 + len(card))]
+
+
+@pytest.mark.parametrize("text, kind, found", [
+    ("mail john.doe [at] example [dot] com now", "email", "john.doe [at] example [dot] com"),
+    ("write john dot doe at example dot com", "email", "john dot doe at example dot com"),
+    ("the jоhn@exаmple.com box", "email", "jоhn@exаmple.com"),
+    ("a j​o@ex.com b", "email", "j​o@ex.com"),
+    ("user @ mail . example . com", "email", "user @ mail . example . com"),
+    ("call plus four nine one seven six five five five one two", "phone", "plus four nine one seven six five five five one two"),
+    ("is +1 (２３４) 555-１２３４ ok", "phone", "+1 (２３４) 555-１２３４"),
+    ("is 41ll-1111-1l11-1111 ok", "card", "41ll-1111-1l11-1111"),
+    ("vier eins eins eins eins eins eins eins eins eins eins eins eins eins eins eins", "card",
+     "vier eins eins eins eins eins eins eins eins eins eins eins eins eins eins eins"),
+    ("host one nine two dot one six eight dot one dot one.", "ip", "one nine two dot one six eight dot one dot one"),
+])
+def test_disguises_are_found_at_their_source(text, kind, found):
+    base, every = pii.find(text)
+    assert found in [text[a:b] for a, b in every[kind]]
+    assert set(base[kind]) <= set(every[kind])
+
+
+@pytest.mark.parametrize("text", [
+    "look at google.com", "we met at noon. Then we left", "one two or three (at) most", "un un un un un", "", None,
+    "The dot at the end.", "№ 5 · 6 – 7",
+])
+def test_clean_text_stays_clean(text):
+    base, every = pii.find(text)
+    assert not any(base.values()) and not any(every.values())
+
+
+def test_long_texts_take_time_in_proportion():
+    for piece in ("a", "1", "a.a", " at ", "one ", "(", "@", "+1 "):
+        pii.find(piece * 20_000)
+
+
+def test_frame(spark):
+    rows = odd_rows() + [(400, "x a@b.co +1 234 567 8901", "en", "a")]
+    got = pii.document_identifiers(frame(spark, rows)).collect()
+    digest = lambda spans: hashlib.sha256(",".join(f"{k}:{a}:{b}" for k in pii.KINDS for a, b in spans[k]).encode()).hexdigest()
+    expected = sorted((repr(i), *(len(plain(t or "")[k]) for k in pii.KINDS), digest(plain(t or ""))) for i, t, *_ in rows)
+    assert sorted((repr(r.doc_id), r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got) == expected
+    assert pii.document_identifiers(frame(spark, rows).limit(0)).count() == 0
