@@ -1,16 +1,18 @@
 """Approximate nearest neighbours by inner product: robust-pruned directed graphs, one per shard.
 
-Vectors are dealt by hash into shards of a bounded size. A task builds the
+Vectors are dealt by hash into shards of a bounded size; in a shard, vectors of
+similar length (by a factor of 2) form a graph of their own. A task builds the
 graph of its shard: points enter in batches, a greedy search from the entry
 point proposes neighbours, and robust pruning keeps a candidate only if no kept
 one is closer to it by the factor ``ALPHA``, so edges stay diverse. Kept
 neighbours get the reverse edge and are pruned again when they have too many.
+Points to which no path leads in the end (far outliers) become further entries.
 The index (vectors, nodes, edges) is a table. A query visits every shard by
 beam search; queries come in blocks, so a task holds one shard and one block.
 
 Largest inner product becomes smallest distance by one more component,
-``sqrt(M^2 - |x|^2)`` with M the shard's longest vector, and 0 in queries. Beams
-are scored again on the original vectors in double precision.
+``sqrt(M^2 - |x|^2)`` with M the graph's longest vector, and 0 in queries; that
+needs lengths that are alike. Beams are scored again on the original vectors in double precision.
 
 Vectors that are null, zero or hold null or non-finite components take no part,
 nor do rows without id. Equal vectors share a node, so copies cannot crowd it.
@@ -37,20 +39,21 @@ TOGETHER, EXPANDED = 256, 4
 class Graph:
     """Vamana-style graph over the rows of ``points``, by Euclidean distance."""
 
-    def __init__(self, points: np.ndarray, edges: np.ndarray | None = None, entry: int | None = None):
+    def __init__(self, points: np.ndarray, edges: np.ndarray | None = None, entries: np.ndarray | None = None):
         self.points = points.astype(np.float32)
         self.norms = np.einsum("ij,ij->i", self.points, self.points)
         if edges is None:
             centre = self.points.mean(axis=0)
-            self.entry = int((self.norms - 2 * (self.points @ centre)).argmin()) if len(points) else 0
+            self.entries = np.array([(self.norms - 2 * (self.points @ centre)).argmin()])
             self.edges = np.full((len(points), DEGREE), -1, np.int32)
             self._build()
+            self._reach_all()
         else:
-            self.edges, self.entry = edges, entry
+            self.edges, self.entries = edges, entries
 
     def _build(self) -> None:
         order = np.random.default_rng(len(self.points)).permutation(len(self.points))
-        order = order[order != self.entry]
+        order = order[order != self.entries[0]]
         done = 0
         while done < len(order):
             batch = order[done:done + min(TOGETHER, max(1, done))]
@@ -58,6 +61,21 @@ class Graph:
             self._connect(batch, found, distances)
             done += len(batch)
 
+    def _reach_all(self) -> None:
+        """Makes the longest point that no path leads to one more entry, until there is none."""
+        reached, fresh = np.zeros(len(self.points), bool), self.entries
+        outermost = np.argsort(-self.norms, kind="stable")
+        while True:
+            while len(fresh):
+                reached[fresh] = True
+                fresh = np.unique(self.edges[fresh])
+                fresh = fresh[(fresh >= 0) & ~reached[fresh]]
+            outermost = outermost[~reached[outermost]]
+            if not len(outermost):
+                return
+            fresh = outermost[:1]
+            self.entries = np.append(self.entries, fresh)
+
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """The nodes of each query's final beam and their distances (less the query's norm), nearest first; -1 pads."""
         queries = queries.astype(np.float32)
@@ -68,8 +86,12 @@ class Graph:
         expanded = np.ones((n, beam), bool)
         seen = np.zeros((n, len(self.points) + 1), bool)  # the last column takes the padding
         seen[:, -1] = True
-        ids[:, 0], expanded[:, 0], seen[:, self.entry] = self.entry, False, True
-        distances[:, 0] = self.norms[self.entry] - 2 * (queries @ self.points[self.entry])
+        far = self.norms[self.entries] - 2 * (queries @ self.points[self.entries].T)
+        nearest = far.argsort(axis=1, kind="stable")[:, :beam]
+        width = nearest.shape[1]
+        ids[:, :width], distances[:, :width] = self.entries[nearest], np.take_along_axis(far, nearest, 1)
+        expanded[:, :width] = False
+        seen[:, self.entries] = True
         while not expanded.all():
             active = np.flatnonzero(~expanded.all(axis=1))
             rank = np.argsort(expanded[active], axis=1, kind="stable")[:, :EXPANDED]
@@ -156,8 +178,8 @@ def _indexed(shard: pd.DataFrame) -> pd.DataFrame:
     node = node.ravel()
     edges = [graph.edges[i] if leads else None for i, leads in zip(node, lead)]
     return pd.DataFrame({
-        "dim": shard["dim"].to_numpy(), "shard": shard["shard"].to_numpy(), "vec_id": shard["vec_id"].to_numpy(),
-        "vector": list(vectors), "node": node, "edges": edges, "entry": graph.entry})
+        "dim": shard["dim"].to_numpy(), "band": shard["band"].to_numpy(), "shard": shard["shard"].to_numpy(), "vec_id": shard["vec_id"].to_numpy(),
+        "vector": list(vectors), "node": node, "edges": edges, "entry": np.isin(node, graph.entries)})
 
 
 def _searched(key: tuple, index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
@@ -169,7 +191,7 @@ def _searched(key: tuple, index: pd.DataFrame, queries: pd.DataFrame) -> pd.Data
         copies = np.diff(np.append(first, len(node)))
         lead = index[index["edges"].notna()].drop_duplicates("node")
         points = np.stack(lead["vector"].to_numpy())
-        graph = Graph(_augmented(points), np.stack(lead["edges"].to_numpy()).astype(np.int32), int(index["entry"].iloc[0]))
+        graph = Graph(_augmented(points), np.stack(lead["edges"].to_numpy()).astype(np.int32), lead["node"].to_numpy()[lead["entry"].to_numpy()])
         asked = np.stack(queries["vector"].to_numpy()).astype(np.float64)
         names = queries["query_id"].to_numpy()
         for start in range(0, len(asked), TOGETHER):
@@ -192,32 +214,34 @@ def _searched(key: tuple, index: pd.DataFrame, queries: pd.DataFrame) -> pd.Data
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, vector (double) and dim of the rows that take part."""
+    """vec_id, vector (double), dim and band (of its length) of the rows that take part."""
     rows = vectors.where("vec_id IS NOT NULL").select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
     odd = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(F.col("vector").isNotNull() & ~odd).where(F.exists("vector", lambda x: x != 0))
-    return rows.withColumn("dim", F.size("vector"))
+    squared = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
+    length = F.log2(F.least(F.greatest(squared, F.lit(1e-300)), F.lit(1e300))) / 2
+    return rows.select("*", F.size("vector").alias("dim"), F.floor(length + 0.5).cast("int").alias("band"))
 
 
 def build_index(rows: DataFrame) -> DataFrame:
     """The stored index of ``usable`` rows: one row per vector, edges on the first of equal ones."""
     shards = max(LEAST_SHARDS, -(-rows.count() // SHARD_ROWS))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    schema = "dim int, shard int, vec_id long, vector array<double>, node int, edges array<int>, entry int"
-    return written(dealt.groupBy("dim", "shard").applyInPandas(_indexed, schema), "vector-index")
+    schema = "dim int, band int, shard int, vec_id long, vector array<double>, node int, edges array<int>, entry boolean"
+    return written(dealt.groupBy("dim", "band", "shard").applyInPandas(_indexed, schema), "vector-index")
 
 
 def search(index: DataFrame, queries: DataFrame) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest of each query (query_id, vector, dim)."""
     queries = written(queries, "vector-queries")
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    shards = index.groupBy("dim").agg(F.collect_set("shard").alias("shards"))
-    asked = queries.join(shards, "dim").select(
-        "dim", F.explode("shards").alias("shard"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"),
+    graphs = index.select("dim", "band", "shard").distinct().withColumnRenamed("dim", "of")
+    asked = queries.select("query_id", "vector", "dim").join(graphs, F.col("dim") == F.col("of")).select(
+        "dim", "band", "shard", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"),
         "query_id", "vector")
     held = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    key = ("dim", "shard", "block")
+    key = ("dim", "band", "shard", "block")
     found = held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(
         _searched, "query_id long, vec_id long, score double")
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

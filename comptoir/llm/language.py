@@ -85,7 +85,7 @@ def _bundles(texts: list[str | None]) -> np.ndarray:
     joined = _letters()[np.concatenate([part for c in codes for part in (gap, c, gap[:1])])]
     owner = np.repeat(np.arange(len(texts)), [len(c) + N for c in codes])
     kept = np.ones(len(joined), bool)  # a run of boundaries counts as one
-    kept[1:] = (joined[1:] != 0) | (joined[:-1] != 0)
+    kept[1:] = (joined[1:] != 0) | (joined[:-1] != 0) | (owner[1:] != owner[:-1])
     joined, owner = joined[kept].astype(np.int64), owner[kept]
     if len(joined) < N:
         return bundled
@@ -122,7 +122,8 @@ def _bundled_languages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
         for lang in batch["lang"].unique():
             total = rows[(batch["lang"] == lang).to_numpy()].sum(axis=0)
             sums[lang] = sums[lang] + total if lang in sums else total
-    yield pd.DataFrame({"lang": list(sums), "bundle": [list(v) for v in sums.values()]})
+    if sums:
+        yield pd.DataFrame({"lang": list(sums), "bundle": [list(v) for v in sums.values()]})
 
 
 class Profiles:
