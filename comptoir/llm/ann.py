@@ -236,7 +236,7 @@ def search(index: DataFrame, queries: DataFrame) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest of each query (query_id, vector, dim)."""
     queries = written(queries, "vector-queries")
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    graphs = index.select("dim", "band", "shard").distinct().withColumnRenamed("dim", "of")
+    graphs = written(index.select("dim", "band", "shard").distinct(), "vector-graphs").withColumnRenamed("dim", "of")
     asked = queries.select("query_id", "vector", "dim").join(graphs, F.col("dim") == F.col("of")).select(
         "dim", "band", "shard", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"),
         "query_id", "vector")
