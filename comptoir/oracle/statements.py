@@ -187,9 +187,11 @@ SELECTS["quality_report"] = " UNION ALL ".join(
 # -- sources and sinks --------------------------------------------------------------
 
 SELECTS["bronze_audit"] = """
-    SELECT produit_id, nom, categorie, CAST(prix AS DOUBLE) AS prix, marque,
-        'part.parquet' AS _source_file, 'bronze' AS _layer FROM bronze_produits"""
+    SELECT produit_id, nullif(nom, '') AS nom, nullif(categorie, '') AS categorie, CAST(prix AS DOUBLE) AS prix,
+        nullif(marque, '') AS marque,  -- CSV does not tell an empty text from none
+        'part.csv' AS _source_file, 'bronze' AS _layer FROM bronze_produits"""
 SELECTS["src_csv_roundtrip"] = SELECTS["bronze_ventes"]
+SELECTS["src_csv_other_layout"] = SELECTS["bronze_ventes"]
 SELECTS["sink_overwrite_roundtrip"] = "SELECT *, 'silver' AS _layer FROM silver_clients"
 SELECTS["sink_partitioned_pruned_read"] = """
     SELECT date_vente, count(*) AS n, CAST(sum(montant) AS DOUBLE) AS montant FROM silver_ventes
@@ -198,11 +200,11 @@ SELECTS["landing_manifest"] = " UNION ALL ".join(
     f"SELECT '{t}.parquet' AS file, '{d}/{t}.parquet' AS destination, true AS found, count(*) AS n FROM {t}"
     for t, d in [("customer", "raw/clients"), ("part", "raw/produits"), ("lineitem", "raw/ventes"),
                  ("orders", "raw/canaux")]
-) + " UNION ALL SELECT 'stocks.parquet', 'raw/stocks/stocks.parquet', false, 0"
+) + "".join(f" UNION ALL SELECT '{t}.parquet', 'raw/{t}/{t}.parquet', false, 0" for t in ("stocks", "retours"))
 
 
 SELECTS["catalog_tables"] = " UNION ALL ".join(
-    f"SELECT 'silver_{t}' AS \"table\", count(*) AS n FROM silver_{t}" for t in ["clients", "produits", "stocks", "canaux"])
+    f"SELECT 'silver_{t}' AS \"table\", count(*) AS n FROM silver_{t}" for t in ["clients", "produits", "ventes", "stocks", "retours", "canaux"])
 
 
 def oracle_sql() -> dict[str, str]:

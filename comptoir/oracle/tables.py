@@ -46,8 +46,10 @@ def blank_as(column: str, default: str) -> str:
     return f"CASE WHEN {column} IS NULL OR trim({column}) = '' THEN {text(default)} ELSE {column} END"
 
 
-def first_copy(table: str, keys: str, others: str) -> str:
-    order = ", ".join(f"{c.strip()} ASC NULLS FIRST" for c in others.split(","))
+def first_copy(table: str, keys: str, others: str, required: tuple[str, ...] = ()) -> str:
+    """The copy that lacks the fewest required columns, then the smallest with nulls last."""
+    lacking = [" + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in required)] if required else []
+    order = ", ".join([*lacking, *(f"{c.strip()} ASC NULLS LAST" for c in others.split(","))])
     return f"""
         SELECT * EXCLUDE (copy_no) FROM (
             SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS copy_no FROM {table})
@@ -131,7 +133,8 @@ TABLES["bronze_canaux"] = """
 TABLES["one_client"] = first_copy("bronze_clients", "client_id", "nom, prenom, ville, segment, date_inscription")
 TABLES["one_produit"] = first_copy("bronze_produits", "produit_id", "nom, categorie, prix, marque")
 TABLES["one_vente"] = first_copy(
-    "bronze_ventes", "vente_id", "date_vente, client_id, produit_id, canal_id, quantite, montant")
+    "bronze_ventes", "vente_id", "date_vente, client_id, produit_id, canal_id, quantite, montant",
+    required=("date_vente", "client_id", "produit_id"))
 TABLES["one_stock"] = first_copy("bronze_stocks", "produit_id, depot", "quantite_disponible")
 TABLES["one_retour"] = first_copy("bronze_retours", "retour_id", "vente_id, produit_id, motif, date_retour")
 TABLES["one_canal"] = first_copy("bronze_canaux", "canal_id", "nom")

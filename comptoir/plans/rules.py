@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from comptoir.functions import calendar, numbers, text
 from comptoir.functions.geography import region_of
-from comptoir.operators.dedup import one_per_key
 from comptoir.plans import silver
 from comptoir.plans.layers import BRONZE, Tables
 
@@ -67,7 +66,7 @@ def regions(bronze: Tables) -> DataFrame:
 
 
 def deduplicated_sales(bronze: Tables) -> DataFrame:
-    return one_per_key(bronze.ventes, "vente_id")
+    return silver.survivors(bronze.ventes, "ventes", "vente_id")
 
 
 def valid_sales(bronze: Tables) -> DataFrame:

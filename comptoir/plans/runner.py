@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from comptoir.plans.layers import BRONZE, GOLD, ROLLUPS, SILVER, Gold, Silver, StoredTables, Tables
-from comptoir.sources.landing import FILES, LandingTables, folder_bytes
+from comptoir.sources.landing import FILES, RAW_FILES, LandingTables, folder_bytes
 from comptoir.sources.stores import TableStore, written
 
 PARTITIONED = {("silver", "ventes"): "date_vente"}
@@ -22,7 +22,6 @@ DAILY_BY_DATE = {("gold", "ca_daily"): "date_vente", ("gold", "daily_trend"): "d
 # Shuffle partitions for an input size. AQE merges partitions that turn out small,
 # so too many cost little, while too few spill.
 PARTITION_BYTES = 128 * 1024 * 1024
-MOST_PARTITIONS = 50_000
 REPORT = "layer STRING, table STRING, status STRING, rows BIGINT, error STRING"
 
 
@@ -75,8 +74,11 @@ class Runner:
 
 def run_pipeline(
     source, store: TableStore, files: dict[str, str] | None = None,
-    partition_by: dict[tuple[str, str], str] = PARTITIONED,
+    partition_by: dict[tuple[str, str], str] = PARTITIONED, input_bytes: int | None = None,
 ) -> DataFrame:
+    """Runs all layers. With ``input_bytes`` the shuffles are sized for that input first."""
+    if input_bytes is not None:
+        size_shuffles(store.spark, input_bytes)
     runner = Runner(store, partition_by)
     runner.bronze(source, files)
     runner.silver()
@@ -87,7 +89,7 @@ def run_pipeline(
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Sets the shuffle partitions for an input, at least one per core."""
     wanted = -(-input_bytes // PARTITION_BYTES)
-    partitions = max(spark.sparkContext.defaultParallelism, min(wanted, MOST_PARTITIONS))
+    partitions = max(spark.sparkContext.defaultParallelism, wanted)
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     return partitions
 
@@ -98,19 +100,22 @@ def main() -> None:
     arguments.add_argument("--root", help="folder to write Parquet tables to")
     arguments.add_argument("--catalog", help="v2 catalog to write to instead")
     arguments.add_argument("--format", default="iceberg", help="table format of the catalog")
+    arguments.add_argument("--by-table", action="store_true", help="landing files lie in raw/{table}/")
     arguments.add_argument("--infer", action="store_true", help="infer column types from the CSV")
     arguments.add_argument("--daily-by-date", action="store_true", help="partition the daily gold tables too")
     given = arguments.parse_args()
 
     spark = SparkSession.builder.appName("retail layers").getOrCreate()
-    size_shuffles(spark, folder_bytes(spark, given.landing))
     store = TableStore(spark, root=given.root, catalog=given.catalog, format=given.format)
     partition_by = PARTITIONED | DAILY_BY_DATE if given.daily_by_date else PARTITIONED
-    source = LandingTables(spark, given.landing, FILES, given.infer)
-    report = run_pipeline(source, store, partition_by=partition_by)
+    source = LandingTables(spark, given.landing, RAW_FILES if given.by_table else FILES, given.infer)
+    report = run_pipeline(source, store, partition_by=partition_by, input_bytes=folder_bytes(spark, given.landing))
     report.show(100, truncate=False)
+    if not given.infer:
+        source.rejects().where("n > 0").show(100, truncate=False)
     for line in report.where("status = 'OK' AND layer = 'bronze'").collect():
         store.read("bronze", line.table, lineage=True).printSchema()
+    store.schemas().show(100, truncate=False)
     for layer in ("bronze", "silver", "gold"):
         store.list(layer).show(100, truncate=False)
     if report.where("status <> 'OK'").count():

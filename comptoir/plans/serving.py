@@ -56,7 +56,7 @@ def global_totals(gold: Tables) -> DataFrame:
 # -- channels -------------------------------------------------------------------
 
 def by_channel(gold: Tables) -> DataFrame:
-    return gold.ca_by_canal.orderBy(F.desc("ca_total")).select("nom_canal", *REVENUE, "part_ca_pct")
+    return gold.ca_by_canal.orderBy(F.desc("ca_total"), F.asc_nulls_last("nom_canal")).select("nom_canal", *REVENUE, "part_ca_pct")
 
 
 def channel_growth(gold: Tables) -> DataFrame:
@@ -84,7 +84,7 @@ def by_region(gold: Tables) -> DataFrame:
         gold.sales_by_region.groupBy("region")
         .agg(_total("ca_total", "ca_region"), F.sum("nb_ventes").alias("nb_ventes"),
              mean(F.col("panier_moyen")).alias("panier_moyen"))
-        .orderBy(F.desc("ca_region"))
+        .orderBy(F.desc("ca_region"), F.asc_nulls_last("region"))
     )
 
 
@@ -108,7 +108,7 @@ def segment_share(gold: Tables) -> DataFrame:
     shares = gold.sales_by_segment.select(
         "segment", "ca_total", "nb_ventes", "nb_clients_actifs", "panier_moyen",
         percent(F.col("ca_total"), whole).alias("part_pct"))
-    return shares.orderBy(F.desc("ca_total"))
+    return shares.orderBy(F.desc("ca_total"), F.asc_nulls_last("segment"))
 
 
 def rfm_summary(gold: Tables) -> DataFrame:
@@ -122,20 +122,20 @@ def rfm_summary(gold: Tables) -> DataFrame:
             mean(F.col("frequence"), 1).alias("frequence_moyenne"),
             _total("montant_total", "ca_segment"),
         )
-        .orderBy(F.desc("ca_segment"))
+        .orderBy(F.desc("ca_segment"), F.asc_nulls_last("rfm_segment"))
     )
 
 
 def champions(gold: Tables) -> DataFrame:
     best = gold.client_rfm.where(F.col("rfm_segment") == CHAMPION)
-    return best.orderBy(F.desc("montant_total")).select(
+    return best.orderBy(F.desc("montant_total"), F.asc_nulls_last("client_id")).select(
         "nom", "prenom", "ville", "region", "recence_jours", "frequence",
         "montant_total", "rfm_score", "rfm_segment")
 
 
 def win_back(gold: Tables) -> DataFrame:
     leaving = gold.client_rfm.where(F.col("rfm_segment").isin(A_RISQUE, PERDU))
-    return leaving.orderBy(F.desc("montant_total")).select(
+    return leaving.orderBy(F.desc("montant_total"), F.asc_nulls_last("client_id")).select(
         "nom", "prenom", "ville", "recence_jours", "frequence", "montant_total", "rfm_segment")
 
 
@@ -164,14 +164,14 @@ def return_by_category(gold: Tables) -> DataFrame:
             percent(F.sum("nb_retours"), F.sum("nb_ventes")).alias("taux_retour_pct"),
             _total("montant_retours", "montant_total_retours"),
         )
-        .orderBy(F.desc("taux_retour_pct"))
+        .orderBy(F.desc("taux_retour_pct"), F.asc_nulls_last("categorie"))
     )
 
 
 # -- stock ----------------------------------------------------------------------
 
 def _short_of_stock(gold: Tables) -> DataFrame:
-    return gold.stock_alert.where(F.col("alerte").isin(RUPTURE, CRITIQUE)).orderBy("jours_de_stock")
+    return gold.stock_alert.where(F.col("alerte").isin(RUPTURE, CRITIQUE)).orderBy("jours_de_stock", F.asc_nulls_last("produit_id"))
 
 
 def stock_critical(gold: Tables) -> DataFrame:

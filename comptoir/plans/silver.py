@@ -17,10 +17,16 @@ from comptoir.operators.dedup import one_per_key
 from comptoir.operators.lookups import lookup_join
 from comptoir.operators.quantiles import quantiles
 from comptoir.sources.lineage import without_lineage
+from comptoir.sources.schemas import REQUIRED, columns_of
+
+
+def survivors(bronze: DataFrame, table: str, *keys: str) -> DataFrame:
+    """One row per key of a bronze table, the most complete one."""
+    return one_per_key(without_lineage(bronze), *keys, required=REQUIRED.get(table, ()), order=columns_of(table))
 
 
 def clients(bronze: DataFrame) -> DataFrame:
-    known = one_per_key(without_lineage(bronze), "client_id")
+    known = survivors(bronze, "clients", "client_id")
     cleaned = known.withColumns({
         "ville": title(or_default(F.col("ville"), "Inconnu")),
         "segment": capitals(or_default(F.col("segment"), "Standard")),
@@ -40,7 +46,7 @@ def median_price(bronze_produits: DataFrame, exact: bool = True):
 
 def produits(bronze: DataFrame, exact_median: bool = True) -> DataFrame:
     price = F.col("prix").cast(MONEY)
-    return one_per_key(without_lineage(bronze), "produit_id").withColumns({
+    return survivors(bronze, "produits", "produit_id").withColumns({
         "categorie": title(or_default(F.col("categorie"), "Non classé")),
         "marque": title(or_default(F.col("marque"), "Inconnue")),
         "nom": F.trim(or_default(F.col("nom"), "Produit Inconnu")),
@@ -50,7 +56,7 @@ def produits(bronze: DataFrame, exact_median: bool = True) -> DataFrame:
 
 def sales_without_lookups(bronze: DataFrame) -> DataFrame:
     """Deduplicated, repaired sales that have a date, a client and a product."""
-    repaired = one_per_key(without_lineage(bronze), "vente_id").withColumns({
+    repaired = survivors(bronze, "ventes", "vente_id").withColumns({
         "date_vente": to_day(F.col("date_vente")),
         "montant": positive_or(F.col("montant").cast(MONEY), F.lit(0).cast(MONEY)),
         "quantite": positive_or(F.col("quantite"), F.lit(1)),
@@ -59,13 +65,13 @@ def sales_without_lookups(bronze: DataFrame) -> DataFrame:
 
 
 def with_channel(ventes: DataFrame, bronze_canaux: DataFrame) -> DataFrame:
-    known = one_per_key(without_lineage(bronze_canaux), "canal_id")
+    known = survivors(bronze_canaux, "canaux", "canal_id")
     names = known.select("canal_id", capitals(F.col("nom")).alias("nom_canal"))
     return lookup_join(ventes, names, "canal_id").fillna("INCONNU", "nom_canal")
 
 
 def with_product(ventes: DataFrame, bronze_produits: DataFrame) -> DataFrame:
-    known = one_per_key(without_lineage(bronze_produits), "produit_id")
+    known = survivors(bronze_produits, "produits", "produit_id")
     goods = known.select(
         "produit_id", title(F.col("categorie")).alias("categorie_produit"), F.col("prix").alias("prix_unitaire")
     )
@@ -78,26 +84,33 @@ def ventes(bronze: DataFrame, bronze_canaux: DataFrame, bronze_produits: DataFra
 
 
 def stocks(bronze: DataFrame) -> DataFrame:
-    return one_per_key(without_lineage(bronze), "produit_id", "depot").withColumns({
+    return survivors(bronze, "stocks", "produit_id", "depot").withColumns({
         "depot": title(or_default(F.col("depot"), "Dépôt Inconnu")),
         "quantite_disponible": not_negative(F.col("quantite_disponible")),
     })
 
 
 def returns_without_lookups(bronze: DataFrame) -> DataFrame:
-    return one_per_key(without_lineage(bronze), "retour_id").withColumns({
+    return survivors(bronze, "retours", "retour_id").withColumns({
         "date_retour": to_day(F.col("date_retour")),
         "motif": title(or_default(F.col("motif"), "Non spécifié")),
     })
 
 
 def with_sale(retours: DataFrame, bronze_ventes: DataFrame) -> DataFrame:
-    """The raw sale of each return, chosen as in silver_ventes when repeated."""
-    sold = one_per_key(without_lineage(bronze_ventes), "vente_id").select(
+    """The raw sale of each return, chosen as in silver_ventes when repeated.
+
+    Few sales are returned, so the others go before the survivors are chosen.
+    Both sides of the last join are nearly unique by key and are placed by it
+    already, so it needs no shuffle of the sales.
+    """
+    wanted = retours.select("vente_id").distinct()
+    sold = survivors(bronze_ventes.join(wanted, "vente_id", "left_semi"), "ventes", "vente_id").select(
         "vente_id", F.col("montant").cast(MONEY).alias("montant_retour"), "canal_id", "client_id"
     )
     zero = F.lit(0).cast(MONEY)
-    return lookup_join(retours, sold, "vente_id").withColumn("montant_retour", F.coalesce("montant_retour", zero))
+    joined = retours.join(sold, "vente_id", "left").withColumn("montant_retour", F.coalesce("montant_retour", zero))
+    return joined.select(*retours.columns, "montant_retour", "canal_id", "client_id")
 
 
 def retours(bronze: DataFrame, bronze_ventes: DataFrame) -> DataFrame:
@@ -105,5 +118,5 @@ def retours(bronze: DataFrame, bronze_ventes: DataFrame) -> DataFrame:
 
 
 def canaux(bronze: DataFrame) -> DataFrame:
-    known = one_per_key(without_lineage(bronze), "canal_id")
+    known = survivors(bronze, "canaux", "canal_id")
     return known.withColumn("nom", or_default(capitals(F.col("nom")), "INCONNU"))

@@ -5,22 +5,71 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from comptoir.sources.lineage import with_lineage
-from comptoir.sources.schemas import SCHEMAS
+from comptoir.sources.schemas import SCHEMAS, columns_of, type_of
 
 FILES = {name: f"{name}.csv" for name in SCHEMAS}
+#: The same files with a folder per table, as the upload lays them out.
+RAW_FILES = {name: f"raw/{name}/{name}.csv" for name in SCHEMAS}
+WHOLE = ("BIGINT", "INT")
+
+
+def _text(spark: SparkSession, path: str) -> DataFrame:
+    """All columns of the header, as text. Files whose header differs are an error."""
+    reader = spark.read.option("header", True).option("encoding", "UTF-8")
+    return reader.option("inferSchema", False).option("enforceSchema", False).csv(path)
+
+
+def _as_declared(name: str, kind: str) -> Column:
+    """The text column as its declared type, null if it is not of that type.
+
+    Whole numbers may be written with a decimal point, as some writers do for
+    columns with gaps; they must have no fraction.
+    """
+    cell = F.trim(F.col(f"`{name}`"))
+    if kind == "STRING":
+        return F.col(f"`{name}`")
+    if kind in WHOLE:
+        number = cell.try_cast("decimal(38,6)")
+        return F.when(number == F.floor(number), number.try_cast(kind))
+    return cell.try_cast(kind)
 
 
 def read_csv(spark: SparkSession, path: str, table: str, infer: bool = False) -> DataFrame:
-    """A landing table with its declared schema, or with inferred types.
+    """A landing table with its declared columns and types, or with inferred types.
 
-    Inference reads the whole input once more, and the types then depend on it.
+    Columns are found by the header's names, in any order; other columns are
+    left out and a missing one is an error. Inference reads the whole input
+    once more, and the types then depend on it.
     """
-    reader = spark.read.option("header", True).option("encoding", "UTF-8")
-    reader = reader.option("inferSchema", True) if infer else reader.schema(SCHEMAS[table])
-    return reader.csv(path)
+    if infer:
+        return spark.read.option("header", True).option("encoding", "UTF-8").option("inferSchema", True).csv(path)
+    return declared(_text(spark, path), table)
+
+
+def _check_header(text: DataFrame, table: str) -> None:
+    missing = [c for c in columns_of(table) if c not in text.columns]
+    if missing:
+        raise ValueError(f"{table}: the header lacks {', '.join(missing)}; it has {', '.join(text.columns)}")
+
+
+def declared(text: DataFrame, table: str, *kept: str) -> DataFrame:
+    """The declared columns of a table of text columns, and those to keep as they are."""
+    _check_header(text, table)
+    return text.select(*(_as_declared(c, type_of(table, c)).alias(c) for c in columns_of(table)), *kept)
+
+
+def rejects(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """column, n: cells that hold something which is not of the declared type, by column."""
+    text = _text(spark, path)
+    _check_header(text, table)
+    columns = [c for c in columns_of(table) if type_of(table, c) != "STRING"]
+    bad = {c: (F.trim(F.col(f"`{c}`")) != "") & _as_declared(c, type_of(table, c)).isNull() for c in columns}
+    counted = text.agg(*(F.count_if(condition).alias(c) for c, condition in bad.items()))
+    return counted.select(F.explode(F.array(*(
+        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("n")) for c in columns))).alias("found")).select("found.*")
 
 
 class LandingTables:
@@ -34,11 +83,24 @@ class LandingTables:
             raise AttributeError(table)
 
         def load() -> DataFrame:
-            raw = read_csv(self._spark, f"{self._folder}/{self._files[table]}", table, self._infer)
-            return with_lineage(raw, "bronze", F.col("_metadata.file_name"))
+            path = f"{self._folder}/{self._files[table]}"
+            if self._infer:
+                raw = read_csv(self._spark, path, table, infer=True)
+                return with_lineage(raw, "bronze", F.col("_metadata.file_name"))
+            text = _text(self._spark, path)
+            typed = declared(text.select("*", F.col("_metadata.file_name").alias("_read_from")), table, "_read_from")
+            return with_lineage(typed, "bronze", F.col("_read_from")).drop("_read_from")
 
         return load
 
+    def rejects(self) -> DataFrame:
+        """table, column, n over all landing files: what the types cost."""
+        each = [
+            rejects(self._spark, f"{self._folder}/{file}", table).select(F.lit(table).alias("table"), "column", "n")
+            for table, file in self._files.items()
+        ]
+        return reduce(DataFrame.unionAll, each)
+
 
 def _files(spark: SparkSession, folder: str) -> DataFrame:
     """The files below a folder. Listed as binary files, whose content is not read."""
@@ -52,12 +114,14 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
 def manifest(spark: SparkSession, folder: str, expected: Mapping[str, str], format: str = "csv") -> DataFrame:
     """file, destination, found, n (rows) for each expected landing file.
 
-    A missing file is a row of its own, not an error.
+    A missing file is a row of its own, not an error. A file of the same name in
+    another folder below is not the expected one.
     """
-    path = F.col("path")
+    # Paths are listed in full, with a scheme; the folder may be given without.
+    root = F.regexp_replace(F.lit(folder.rstrip("/")), "^[a-zA-Z0-9+.-]+:/+", "/")
+    below = F.substring(F.regexp_replace("path", "^[a-zA-Z0-9+.-]+:/+", "/"), F.length(root) + 2, F.length("path"))
     is_there = {
-        file: F.max(path.endswith(f"/{file}") | path.contains(f"/{file}/")).alias(file)
-        for file in expected.values()
+        file: F.max((below == file) | below.startswith(f"{file}/")).alias(file) for file in expected.values()
     }
     there = _files(spark, folder).agg(*is_there.values()).first()
 

@@ -31,14 +31,31 @@ def test_blank_default(spark, given, kept):
     assert df.first()[0] == kept
 
 
-def test_dedup_keeps_the_smallest_row_nulls_first(spark):
+def test_dedup_keeps_the_smallest_row_nulls_last(spark):
     df = spark.createDataFrame(
-        [(1, "b", 2), (1, "a", 9), (1, "a", 3), (2, None, 5), (2, "a", 1), (None, "z", 1), (None, "y", 2)],
+        [(1, "b", 2), (1, "a", 9), (1, "a", 3), (2, None, 5), (2, "a", 1), (None, "z", 1), (None, "y", 2), (3, None, 4)],
         "k int, s string, n int")
-    assert rows(one_per_key(df, "k")) == sorted([(1, "a", 3), (2, None, 5), (None, "y", 2)], key=repr)
+    assert rows(one_per_key(df, "k")) == sorted([(1, "a", 3), (2, "a", 1), (None, "y", 2), (3, None, 4)], key=repr)
     assert one_per_key(df, "k").columns == df.columns
 
 
+def test_dedup_prefers_the_complete_copy(spark):
+    """A gap in a required column weighs more than any order of the others."""
+    df = spark.createDataFrame(
+        [(1, "a", None, 9), (1, "z", 5, None), (2, None, None, 1), (2, None, 7, 8), (2, "b", None, 3)], "k int, s string, n int, m int")
+    kept = one_per_key(df, "k", required=("s", "n"))
+    assert rows(kept) == sorted([(1, "z", 5, None), (2, "b", None, 3)], key=repr)
+    # The comparison follows the declared order, not the frame's.
+    ties = spark.createDataFrame([(1, 1, 2), (1, 2, 1)], "k int, x int, y int")
+    assert rows(one_per_key(ties, "k", order=("y", "x"))) == [(1, 2, 1)]
+
+
+def test_a_complete_sale_survives_a_gappy_copy(spark):
+    day = dt.date(2024, 1, 31)
+    bronze = table(spark, "ventes", *((i, d, c, 8, 1, 2, Decimal(3)) for i, d, c in ((1, None, 7), (1, day, 7), (2, day, None), (2, None, None))))
+    assert [r.vente_id for r in silver.sales_without_lookups(bronze).collect()] == [1]
+
+
 def test_clients(spark):
     day = dt.date(2024, 1, 31)
     bronze = table(
