@@ -4,11 +4,8 @@ The score of a pair is the number of row pairs it forms inside the groups:
 the sum over groups of ``k_a * k_b``, with ``k`` the rows of the item in the
 group. Rows are therefore counted per group and item before anything is paired.
 
-Groups with many items would still give a quadratic number of pairs. The number
-of pairs is known from the group sizes, so it is checked first. While no group
-has more than ``GROUP_ITEMS`` items and all pairs together are no more than
-``PAIRS_PER_ROW`` times the rows, the groups are joined with themselves.
-Otherwise pairs that cannot reach the result are left out beforehand, exactly:
+Groups with many items give a quadratic number of pairs, so pairs that cannot
+reach the result are left out beforehand, exactly, by one plan at every size:
 
 1. An item's *bound* is the sum over its groups of ``k`` times the largest ``k``
    in the group. No pair with this item scores above it.
@@ -17,9 +14,13 @@ Otherwise pairs that cannot reach the result are left out beforehand, exactly:
    pair that sorts after it.
 3. An item whose bound is under the bar is in no result pair. One whose bound
    equals the bar matters only in ties, which the item order settles.
+4. What remains of a group is dealt into blocks of ``BLOCK_ITEMS`` items, so a
+   large group is paired by many tasks.
 
-One item or group that dominates makes the bar high, so few items remain. What
-remains of a large group is split over tasks.
+One item or group that dominates makes the bar high, so few items remain. Where
+items are evenly popular the bar prunes little, and what is then summed up is
+still every pair that occurs in a group: that part is quadratic in the items of
+a group.
 """
 
 from __future__ import annotations
@@ -27,11 +28,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from comptoir.operators.lookups import lookup_join
-from comptoir.sources.stores import written
 
-SEEDS = 128
-PAIRS_PER_ROW = 64
-GROUP_ITEMS = 4096
+#: Items whose pairs give the bar; more if the limit is larger.
+LEAST_SEEDS = 128
+BLOCK_ITEMS = 4096
 
 
 def item_counts(
@@ -45,26 +45,13 @@ def item_counts(
     return keys.agg(k.alias("k"))
 
 
-def top_pairs(
-    counts: DataFrame, limit: int = 100, at_least: int = 2,
-    pairs_per_row: int = PAIRS_PER_ROW, group_items: int = GROUP_ITEMS,
-) -> DataFrame:
+def top_pairs(counts: DataFrame, limit: int = 100, at_least: int = 2, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Columns a, label_a, b, label_b, score with a < b; the best ``limit`` pairs.
 
     ``counts`` comes from ``item_counts`` and is read several times, so it
-    should be a stored table. Group sizes are added up when this is called.
+    should be a stored table. Nothing is run when this is called.
     """
-    sizes = counts.groupBy("g").agg(F.count("*").cast("double").alias("n"))
-    found = sizes.agg(
-        F.sum("n").alias("rows"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs"), F.max("n").alias("most")
-    ).na.fill(0.0).first()
-    if found.most <= group_items and found.pairs <= pairs_per_row * found.rows:
-        return _best(_scored(_side(counts, "a"), _side(counts, "b")), limit, at_least)
-    return _top_pairs_by_bound(counts, limit, at_least, group_items)
-
-
-def _top_pairs_by_bound(counts: DataFrame, limit: int, at_least: int, group_items: int) -> DataFrame:
-    bounds = written(_bounds(counts), "pair-bounds")
+    bounds = _bounds(counts)
     bar = _bar(counts, bounds, limit, at_least)
     level = F.coalesce(bar["score"], F.lit(at_least - 1))
     tied = lambda condition: F.coalesce(condition, F.lit(False))
@@ -75,20 +62,18 @@ def _top_pairs_by_bound(counts: DataFrame, limit: int, at_least: int, group_item
         tied(F.col("item.id") == bar["a"]).alias("at"),
         tied(F.col("item.id") <= bar["b"]).alias("upto"),
     )
-    kept = written(lookup_join(counts, marked, "item", "inner"), "pair-items")
+    kept = lookup_join(counts, marked, "item", "inner")
     can_reach = (
         (F.col("above_a") & F.col("above_b")) | F.col("before_a") | (F.col("at_a") & F.col("upto_b")))
-    left, right = _split_large(kept.where("above or before or at"), kept, group_items)
+    left, right = _in_blocks(kept.where("above or before or at"), kept, block_items)
     return _best(_scored(left, right, can_reach, ("g", "part")), limit, at_least)
 
 
-def _split_large(left: DataFrame, right: DataFrame, group_items: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a column ``part``: a left row of a group with more than
-    ``group_items`` items is in one part, a right row of it in all parts."""
-    sizes = right.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") > group_items)
-    parts = sizes.select("g", F.ceil(F.col("n") / group_items).cast("int").alias("parts"))
-    several = F.coalesce("parts", F.lit(1))
-    left, right = (lookup_join(side, parts, "g").withColumn("parts", several) for side in (left, right))
+def _in_blocks(left: DataFrame, right: DataFrame, block_items: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a column ``part``: a left row is in one block of its group, a right row in all of them."""
+    sizes = right.groupBy("g").agg(F.count("*").alias("n"))
+    parts = sizes.select("g", F.ceil(F.col("n") / block_items).cast("int").alias("parts"))
+    left, right = (lookup_join(side, parts, "g", "inner") for side in (left, right))
     left = left.withColumn("part", F.pmod(F.xxhash64("item"), F.col("parts")).cast("int"))
     right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     return _side(left.drop("parts"), "a", ("g", "part")), _side(right.drop("parts"), "b", ("g", "part"))
@@ -105,12 +90,13 @@ def _bounds(counts: DataFrame) -> DataFrame:
 def _bar(counts: DataFrame, bounds: DataFrame, limit: int, at_least: int) -> Column:
     """Scalar struct (score, a, b), null when the seeds form too few pairs."""
     order = [F.desc("bound"), F.asc("item")]
-    seeds = bounds.orderBy(*order).limit(SEEDS)
+    count = max(LEAST_SEEDS, limit)
+    seeds = bounds.orderBy(*order).limit(count)
     seeds = seeds.select("item", F.row_number().over(Window.orderBy(*order)).alias("place"))
-    # At most SEEDS rows, so the broadcast is bounded; so are the rows per group.
+    # At most max(LEAST_SEEDS, limit) rows, so the broadcast is bounded; so are the rows per group.
     inside = counts.join(F.broadcast(seeds), "item")
-    # The first seed meets all others, later ones fewer: about 300 pairs in all.
-    near = F.col("place_a") * F.col("place_b") <= SEEDS
+    # The first seed meets all others, later ones fewer: about count * ln(count) / 2 pairs, over twice the limit.
+    near = F.col("place_a") * F.col("place_b") <= count
     best = _best(_scored(_side(inside, "a"), _side(inside, "b"), near), limit, at_least)
     nth = F.row_number().over(Window.orderBy(*_result_order()))
     last = best.select("*", nth.alias("nth")).where(F.col("nth") == limit)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from comptoir.operators.dedup import one_per_key
 from comptoir.operators.lookups import lookup_join
+from comptoir.operators import pairs
 from comptoir.operators.pairs import item_counts, top_pairs
 from comptoir.operators.quantiles import quantiles
 from comptoir.sources.stores import balanced
@@ -77,24 +78,43 @@ CASES = {
 
 
 @pytest.mark.parametrize("distinct", [False, True])
-@pytest.mark.parametrize("limits", [(0, 20), (0, 10**6), (10**9, 10**6)], ids=["split", "bounded", "joined"])
+@pytest.mark.parametrize("block_items", [20, 10**6])
 @pytest.mark.parametrize("case", CASES)
-def test_pairs(spark, case, limits, distinct):
+def test_pairs(spark, case, block_items, distinct):
     rows = CASES[case]
     df = spark.createDataFrame(rows, "g long, i long, l string")
     counts = item_counts(df, "g", "i", "l", distinct).cache()
-    per_row, group_items = limits
-    found = top_pairs(counts, 100, 2, pairs_per_row=per_row, group_items=group_items)
+    found = top_pairs(counts, 100, 2, block_items=block_items)
     assert [tuple(r) for r in found.collect()] == brute_pairs(rows, 100, 2, distinct)
 
 
+def test_a_larger_limit_has_its_own_bar(spark):
+    """With more rows asked for than the first seeds form pairs, items are still left out."""
+    rows = list(uneven(6, 60, 2000, 20_000, hot_item=0.1))
+    counts = item_counts(spark.createDataFrame(rows, "g long, i long, l string"), "g", "i", "l").cache()
+    bounds = pairs._bounds(counts)
+    bar = pairs._bar(counts, bounds, 1000, 2)
+    score = spark.range(1).select(bar.alias("bar")).first().bar.score
+    assert score > 1 and bounds.where(F.col("bound") < score).count() > 0
+    found = [tuple(r) for r in top_pairs(counts, 1000).collect()]
+    assert found == brute_pairs(rows, 1000, 2, False)
+
+
+def test_building_the_pairs_runs_nothing(spark):
+    counts = item_counts(spark.createDataFrame([(1, 1, "a"), (1, 2, "b")] * 2, "g long, i long, l string"), "g", "i", "l")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("pairs", "building")
+    top_pairs(counts)
+    assert list(tracker.getJobIdsForGroup("pairs")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_one_large_group_is_not_paired_in_full(spark):
     """4,200 items in one group: 9 million pairs, of which few can reach the top."""
     rows = [(0, i, "x") for i in range(4200) for _ in range(1 + (i % 10 == 0) + (i % 50 == 0) * 5)]
     rows += list(uneven(5, 800, 4200, 6_000))
     counts = item_counts(spark.createDataFrame(rows, "g long, i long, l string"), "g", "i", "l").cache()
     found = top_pairs(counts)
-    assert "pair-items" in found._jdf.queryExecution().toString()
     duck = duckdb.connect()
     duck.register("sold", pd.DataFrame(rows, columns=["g", "i", "l"]))
     expected = duck.execute("""
