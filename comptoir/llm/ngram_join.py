@@ -54,7 +54,7 @@ COMMON = 1 << 20
 #: A task reports a shingle that it saw so often in ``BUFFER`` shingles.
 REPORTED, BUFFER = 4, 1 << 22
 #: Signatures in one part of the index, about; and the least number of parts.
-PART, LEAST_PARTS = 1 << 21, 16
+PART, LEAST_PARTS = 1 << 20, 16
 #: Bytes of a signature that are stored beside its part: candidates are verified, so it may be cut.
 STORED_BYTES = 5
 #: A group with more sets is compared in blocks, not by pairs.
