@@ -357,8 +357,9 @@ def _block_links(sets: pd.DataFrame) -> pd.DataFrame:
 def _near_pairs(pairs: DataFrame, measured: DataFrame) -> DataFrame:
     """The pairs without those that the sizes and sketches rule out."""
     paired = pairs.select(F.col("a").alias("paired")).unionAll(pairs.select("b")).distinct()
-    sketches = measured.join(paired, F.col("id") == F.col("paired"), "left_semi").select("id", "n", "parity")
-    sketches = written(sketches.dropDuplicates(["id"]), "join-sketches")
+    # One row per class before the join, so that a large class does not meet in one task.
+    classes = measured.groupBy("id").agg(F.first("n").alias("n"), F.first("parity").alias("parity"))
+    sketches = written(classes.join(paired, F.col("id") == F.col("paired"), "left_semi"), "join-sketches")
     side = lambda name: sketches.select(*(F.col(c).alias(name if c == "id" else f"{name}_{c}") for c in sketches.columns))
     return pairs.join(side("a"), "a").join(side("b"), "b").where(_may_link("a", "b")).select("a", "b")
 
