@@ -42,4 +42,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_mix_sources": mixing.MIXED_WORDS_SQL,
         "op6_decontamination": decontaminate.CONTAINED_ITEMS_SQL,
+        "op10_url_filter": url_filter.JUDGED_PAGES_SQL,
     }

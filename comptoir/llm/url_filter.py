@@ -190,3 +190,25 @@ def judged_pages(pages: DataFrame) -> DataFrame:
         "page_id", "host", "path",
         F.when(F.col("found.list") == 0, F.col("found.rule")).alias("rule"),
         F.coalesce("found.verdict", F.lit(ALLOW)).alias("verdict"))
+
+
+_FITS = "(u.host = e.host OR ends_with(u.host, '.' || e.host)) AND u.host <> '' AND starts_with(u.path, e.path)"
+JUDGED_PAGES_SQL = f"""
+WITH rests AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hosts AS (SELECT page_id, rest, regexp_extract(rest, '\\A[^/?#]*') AS raw FROM rests),
+u AS (
+  SELECT row_number() OVER () AS row, page_id, translate(raw, '{_CAPITALS}', '{_SMALL}') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '\\A[^?#]*') AS path FROM hosts),
+rules(host, path, action) AS (VALUES {', '.join(map(str, RULES))}),
+listed AS (
+  SELECT DISTINCT host, '' AS path FROM u
+  WHERE regexp_matches(host, '(\\A|[.-])({'|'.join(BLOCKED_WORDS)})([.-]|\\z)')),
+ruled AS (
+  SELECT row, arg_max(e.host || e.path, length(e.host || e.path)) AS rule, arg_max(e.action, length(e.host || e.path)) AS action
+  FROM u JOIN rules e ON {_FITS} GROUP BY row),
+blocked AS (SELECT DISTINCT row FROM u JOIN listed e ON {_FITS})
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IS NOT NULL THEN action WHEN row IN (SELECT row FROM blocked) THEN '{BLOCK}' ELSE '{ALLOW}' END AS verdict
+FROM u LEFT JOIN ruled USING (row)
+"""
