@@ -1,6 +1,7 @@
 """Every table of the three layers as a DuckDB common table expression.
 
-Written independently of the Spark plans and in the plain form: sales are
+Written independently of the Spark plans, but for the city lists, which are
+fixed values and are taken from their one place; and in the plain form: sales are
 joined row by row, pairs are counted by a raw self join, quantiles come from
 the built-in. A statement for a table is ``statement(select)``: the select plus
 the expressions it needs, found by name.
@@ -107,7 +108,7 @@ TABLES["bronze_clients"] = f"""
 
 TABLES["bronze_stocks"] = """
     SELECT p_partkey AS produit_id,
-        CASE d WHEN 0 THEN 'casablanca' WHEN 1 THEN ' Rabat ' WHEN 2 THEN 'MARRAKECH' END AS depot,
+        CASE d WHEN 0 THEN 'entrepot nord' WHEN 1 THEN ' Quai Sud ' WHEN 2 THEN 'PLATEFORME EST' END AS depot,
         CAST(CASE p_partkey % 10 WHEN 0 THEN -3 WHEN 1 THEN CASE d WHEN 0 THEN 1 ELSE 0 END
              WHEN 2 THEN 1 WHEN 3 THEN 10 ELSE (p_partkey * 7 + d * 13) % 97 END AS INTEGER) AS quantite_disponible
     FROM (
@@ -117,8 +118,8 @@ TABLES["bronze_stocks"] = """
 TABLES["bronze_retours"] = """
     SELECT l_orderkey * 10 + l_linenumber AS retour_id, l_orderkey * 10 + l_linenumber AS vente_id,
         l_partkey AS produit_id,
-        CASE l_suppkey % 6 WHEN 0 THEN 'defectueux' WHEN 1 THEN 'mauvaise_taille' WHEN 2 THEN 'ne_correspond_pas'
-            WHEN 3 THEN 'autre' WHEN 4 THEN '' END AS motif,
+        CASE l_suppkey % 6 WHEN 0 THEN 'casse_transport' WHEN 1 THEN 'delai_depasse' WHEN 2 THEN 'article_en_double'
+            WHEN 3 THEN 'change_avis' WHEN 4 THEN '' END AS motif,
         CAST(l_shipdate AS DATE) + 10 AS date_retour
     FROM lineitem WHERE l_returnflag = 'R'"""
 
@@ -255,6 +256,7 @@ TABLES["stock_days"] = f"""
     SELECT *, CASE WHEN ventes_par_jour > 0 THEN {rounded('stock_total / ventes_par_jour', 0)} ELSE 9999.0 END AS jours_de_stock
     FROM stock_pace"""
 
+# The labels and limits of the levels are part of the data contract.
 TABLES["gold_stock_alert"] = f"""
     SELECT d.produit_id, stock_total, total_vendu, ventes_par_jour, nom, categorie, marque,
         CAST(prix AS DOUBLE) AS prix, jours_de_stock,
@@ -282,6 +284,7 @@ TABLES["rfm_scores"] = """
         CASE WHEN spent >= m[3] THEN 4 WHEN spent >= m[2] THEN 3 WHEN spent >= m[1] THEN 2 ELSE 1 END AS m_score
     FROM rfm_raw, rfm_cuts"""
 
+# The labels and limits of the segments are part of the data contract.
 TABLES["gold_client_rfm"] = f"""
     SELECT s.client_id, recence_jours, frequence, CAST(spent AS DOUBLE) AS montant_total, r_score, f_score, m_score,
         r_score + f_score + m_score AS rfm_score,

@@ -83,7 +83,7 @@ class RetailTables:
 
     def stocks(self) -> DataFrame:
         depots = [F.struct(F.lit(i).alias("i"), F.lit(d).alias("depot"))
-                  for i, d in enumerate(["casablanca", " Rabat ", "MARRAKECH", None])]
+                  for i, d in enumerate(["entrepot nord", " Quai Sud ", "PLATEFORME EST", None])]
         rows = self._read("part").select("p_partkey", F.inline(F.array(*depots)))
         digit, first = F.col("p_partkey") % 10, F.col("i") == 0
         quantity = (
@@ -97,7 +97,7 @@ class RetailTables:
         ).drop("_copy")
 
     def retours(self) -> DataFrame:
-        reasons = F.array(*map(F.lit, ["defectueux", "mauvaise_taille", "ne_correspond_pas", "autre", "", None]))
+        reasons = F.array(*map(F.lit, ["casse_transport", "delai_depasse", "article_en_double", "change_avis", "", None]))
         return self._read("lineitem").where("l_returnflag = 'R'").select(
             _sale_id("l_orderkey").alias("retour_id"),
             _sale_id("l_orderkey").alias("vente_id"),
