@@ -45,8 +45,8 @@ def balanced(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 class TableStore:
     """Create-or-replace tables named ``{layer}.{layer}_{name}``.
 
-    Without ``catalog``: Parquet under ``root``, registered in the session
-    catalog. With ``catalog``: a table of that (v2) catalog in its format, which
+    Without ``catalog``: Parquet under ``root``, one folder per version, registered
+    in the session catalog. With ``catalog``: a table of that (v2) catalog in its format, which
     replaces tables atomically.
     """
 
@@ -91,13 +91,34 @@ class TableStore:
                 writer = writer.partitionedBy(F.col(partition_by))
             writer.createOrReplace()
         else:
-            writer = rows.write.mode("overwrite").format("parquet").option("compression", COMPRESSION)
-            writer = writer.option("path", f"{self.root}/{layer}/{layer}_{name}")
-            if partition_by:
-                writer = writer.partitionBy(partition_by)
-            writer.saveAsTable(self.table(layer, name))
+            self._replace(rows, layer, name, partition_by)
         return seen.get["rows"]
 
+    def _replace(self, rows: DataFrame, layer: str, name: str, partition_by: str | None) -> None:
+        """Writes a new version beside the old one and then points the table to it.
+
+        A write that fails leaves the table as it was. The old version's files
+        are removed at the end.
+        """
+        table = self.table(layer, name)
+        path = f"{self.root}/{layer}/{layer}_{name}/{uuid.uuid4().hex}"
+        writer = rows.write.format("parquet").option("compression", COMPRESSION)
+        (writer.partitionBy(partition_by) if partition_by else writer).save(path)
+        before = self._location(table)
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+        if partition_by:
+            self.spark.catalog.recoverPartitions(table)
+        if before:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(before)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def _location(self, table: str) -> str | None:
+        if not self.spark.catalog.tableExists(table):
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+        return rows[0].data_type if rows else None
+
     def read(self, layer: str, name: str, lineage: bool = False) -> DataFrame:
         stored = self.spark.table(self.table(layer, name))
         return stored if lineage else without_lineage(stored)

@@ -103,6 +103,18 @@ def test_csv_types_declared_or_inferred(spark, done):
     assert declared.count() == inferred.count()
 
 
+def test_a_failed_write_leaves_the_table(spark, tmp_path):
+    store = TableStore(spark, root=str(tmp_path), database_prefix="keep_")
+    store.write(spark.range(5), "silver", "x")
+    with pytest.raises(Exception):
+        store.write(spark.range(5).selectExpr("raise_error('no') AS id"), "silver", "x")
+    assert store.read("silver", "x").count() == 5
+    store.write(spark.range(4), "silver", "x")
+    assert store.read("silver", "x").count() == 4
+    versions = [p for p in (tmp_path / "silver" / "silver_x").iterdir() if list(p.glob("_SUCCESS"))]
+    assert len(versions) == 1
+
+
 def landed(tmp_path, name, *lines):
     (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
     (tmp_path / name).write_text("\n".join(lines) + "\n")
