@@ -52,7 +52,7 @@ from comptoir.sources.stores import written
 #: Shingles whose frequency is known to all tasks; others count as rare.
 COMMON = 1 << 20
 #: A task reports a shingle that it saw so often in ``BUFFER`` shingles.
-REPORTED, BUFFER = 4, 1 << 22
+REPORTED, BUFFER = 4, 1 << 21
 #: Signatures in one part of the index, about; and the least number of parts.
 PART, LEAST_PARTS = 1 << 20, 16
 #: Bytes of a signature that are stored beside its part: candidates are verified, so it may be cut.

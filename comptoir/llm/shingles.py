@@ -9,7 +9,7 @@ import xxhash
 
 WORDS = 5
 #: Distinct words whose hashes a worker remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 #: Odd multipliers that tie a word to its place in the shingle.
 _PLACES = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 2**64) | 1 for i in range(WORDS)], np.uint64)
 
