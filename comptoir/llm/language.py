@@ -31,9 +31,9 @@ N = 3
 UNKNOWN = "und"
 FOLDS = 5
 #: Characters that are bundled at a time, so that a batch's matrices stay small.
-CHUNK_CHARS = 150_000
+CHUNK_CHARS = 100_000
 #: n-grams whose vectors are in memory at a time.
-BLOCK = 8192
+BLOCK = 4096
 _UNIT = 1 << 20
 
 
