@@ -143,7 +143,7 @@ def _measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64),) * 2
         often = counts >= REPORTED
         return pd.DataFrame({
-            "doc_id": pd.Series([None] * int(often.sum()), dtype="Int64"), "n": counts[often].astype(np.int64),
+            "doc_id": pd.Series([None] * int(often.sum()), dtype=object), "n": counts[often].astype(np.int64),
             "id": values[often].view(np.int64), "check": np.zeros(int(often.sum()), np.int64), "shingle": True,
             "parity": pd.Series([None] * int(often.sum()), dtype=object)})
 
@@ -151,7 +151,7 @@ def _measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens, bounds = shingle_sets(piece["text"])
         first, second = _identities(tokens, bounds)
         yield pd.DataFrame({
-            "doc_id": piece["doc_id"].astype("Int64").to_numpy(), "n": np.diff(bounds), "id": first,
+            "doc_id": piece["doc_id"].to_numpy(), "n": np.diff(bounds), "id": first,
             "check": second, "shingle": False, "parity": _parities(tokens, bounds)})
         held, amount = [*held, tokens], amount + len(tokens)
         if amount >= BUFFER:
@@ -406,24 +406,26 @@ def join_documents(docs: DataFrame) -> DataFrame:
     ``component_id`` is the smallest id reachable by links.
     """
     spark, docs = docs.sparkSession, docs.select("doc_id", "text")
-    schema = "doc_id long, n long, id long, check long, shingle boolean, parity array<long>"
-    measured = written(docs.mapInPandas(_measured, schema), "join-sizes")
-    known = measured.where("not shingle").select("doc_id", "n", "id", "check")
+    # Ids travel as text, as pandas would round large ones beside a null.
+    named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    schema = "doc_id string, n long, id long, check long, shingle boolean, parity array<long>"
+    measured = written(named.mapInPandas(_measured, schema), "join-sizes")
+    known = measured.where("not shingle").select(F.col("doc_id").cast("long").alias("doc_id"), "n", "id", "check")
     often = measured.where("shingle").groupBy("id").agg(F.sum("n").alias("n"))
     common = often.orderBy(F.desc("n"), "id").limit(COMMON).toPandas()  # at most 16 bytes times COMMON
     frequent = spark.sparkContext.broadcast((common["id"].to_numpy(np.int64).view(np.uint64), common["n"].to_numpy(np.int64)))
     shingles = known.agg(F.sum("n")).first()[0] or 0
     parts = max(LEAST_PARTS, shingles // (2 * PART))
 
-    index = docs.mapInPandas(_indexed(frequent, parts), "part int, sets binary, of binary, signature binary")
+    index = docs.select("text").mapInPandas(_indexed(frequent, parts), "part int, sets binary, of binary, signature binary")
     found = written(index.groupBy("part").applyInPandas(_candidates, "a long, b long, large boolean"), "join-candidates")
     pairs = written(found.where("not large").select("a", "b").distinct(), "join-pairs")
     pairs = written(_near_pairs(pairs, measured.where("not shingle")), "join-near-pairs")
     stars = written(found.where("large").select("a", "b").distinct(), "join-stars")
 
     classes = written(known.where("n > 0").groupBy("id", "check").agg(F.min("doc_id").alias("rep")), "join-classes")
-    named = pairs.select("a").unionAll(pairs.select("b")).unionAll(stars.select("a")).unionAll(stars.select("b"))
-    wanted = named.distinct().join(classes.groupBy("id").agg(F.min("rep").alias("rep")), F.col("a") == F.col("id"))
+    involved = pairs.select("a").unionAll(pairs.select("b")).unionAll(stars.select("a")).unionAll(stars.select("b"))
+    wanted = involved.distinct().join(classes.groupBy("id").agg(F.min("rep").alias("rep")), F.col("a") == F.col("id"))
     sets = written(_of_candidates(docs, wanted.select("id", "rep")), "join-sets")
     links = written(_pair_links(pairs, sets).unionAll(_group_links(stars, sets)), "join-links")
 
@@ -432,8 +434,8 @@ def join_documents(docs: DataFrame) -> DataFrame:
     labelled = labelled.select("id", "check", "rep", F.coalesce("component", "id").alias("component"))
     labelled = written(labelled, "join-labels")
     least = labelled.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = labelled.join(least, "component").select("id", "check", "component_id")
-    of = known.join(named, ["id", "check"], "left")
+    placed = labelled.join(least, "component").select("id", "check", "component_id")
+    of = known.join(placed, ["id", "check"], "left")
     return of.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

@@ -64,6 +64,11 @@ def test_odd_rows(spark):
     assert joined(frame(spark, rows).limit(0)) == []
 
 
+def test_large_ids_beside_a_null(spark):
+    rows = [(2**60 + i, "the same few words again and again", "en", "a") for i in (1, 3)] + [(None, "x y z", None, None)]
+    assert joined(frame(spark, rows)) == brute(rows)
+
+
 def near_copies(seed: int, n: int):
     """Copies of a few texts of all lengths with edits around the threshold, and passages that many share."""
     pick = random.Random(seed)
