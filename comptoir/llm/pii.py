@@ -131,6 +131,9 @@ _LETTERED = re.compile(r"(?<![A-Za-z0-9])\+?[0-9OoIl](?:[ ().-]{0,2}[0-9OoIl]){8
 _LIKE_DIGITS = str.maketrans("OoIl", "0011")
 _BRACKETED = re.compile(rf"{_OPEN}\s*(?:{_any((*AT_NAMES, *DOT_NAMES))}|[.@])\s*{_CLOSE}", re.I)
 _SPACED_AT = re.compile(r"\s@|@\s")
+#: Begins with the dot, as a search for a fixed character is fast.
+_SPACED_DOT = re.compile(r"\.(?<=\s\.)\s")
+_DOTS = frozenset(DOT_NAMES)
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -216,16 +219,25 @@ def deobfuscated(text: str) -> Rewritten:
 
 
 def _disguised(text: str) -> bool:
-    """Whether any transducer may find something; cheap signs first, as most texts have none."""
-    if len(_foreign(text)) or "@" in text and _SPACED_AT.search(text):
+    """Whether any transducer finds a disguise, or may find one; cheap signs first, as most texts have none.
+
+    Each sign covers all that its transducer matches, so a text without a sign
+    is the same with and without the cascade. A weak "at" is no disguise by itself.
+    """
+    # "İ" is an "i" where case is ignored, and lower() makes two characters of it.
+    if len(_foreign(text)) or "İ" in text or "@" in text and _SPACED_AT.search(text) or _SPACED_DOT.search(text):
         return True
     digits = bool(_DIGIT.search(text))
-    words = set(_WORDS.findall(text.lower()))
-    if not words.isdisjoint(DOT_NAMES) or len(words & _DIGITS.keys()) + digits >= 2:
+    words = _WORDS.findall(text.lower())
+    if not _DOTS.isdisjoint(words):
         return True
     if any(c in text for c in "[({<") and _BRACKETED.search(text):
         return True
-    return digits and bool(_LETTERED.search(text))
+    if digits and _LETTERED.search(text):
+        return True
+    # Three digits, one of them spelled: three names, repeats counted, or a name beside digits.
+    names = sum(w in _DIGITS for w in words)
+    return (names >= 3 or names > 0 and digits) and bool(_SPELLED.search(text))
 
 
 def find(text: str | None) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:

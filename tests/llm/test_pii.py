@@ -67,6 +67,30 @@ def test_clean_text_stays_clean(text):
     assert not any(base.values()) and not any(every.values())
 
 
+@pytest.mark.parametrize("text, kind, found", [
+    ("mail jane@example . com now", "email", "jane@example . com"),
+    ("host 10 . 0 . 0 . 1 is up", "ip", "10 . 0 . 0 . 1"),
+    ("call plus one one one one one one one one one one", "phone", "plus one one one one one one one one one one"),
+])
+def test_one_disguise_is_found_whatever_else_the_text_holds(text, kind, found):
+    for around in ("", " – ", " dot ", " x @ y "):
+        _, every = pii.find(f"{text}{around}")
+        assert found in [text[a:b] for a, b in every[kind]]
+
+
+def test_the_gate_changes_nothing(monkeypatch):
+    pick, pieces = random.Random(9), [
+        "jane", "@", " @ ", " at ", "(at)", "[ . ]", " . ", ".", " dot ", " DOT ", " poİnt ", "example", "com", "plus ", "más ", "+", "one ", "One, ",
+        "un ", "zéro ", "sİx ", "ocho-", "1", "10", "255", "4111", "O", "l", " ", "\n", "-", "(", ")", "é", "\u00a0", "\u2028", "о", "–", "\u200b"]
+    texts = ["".join(pick.choice(few) for _ in range(pick.randint(1, 24))) for few in (pick.sample(pieces, pick.randint(2, 6)) for _ in range(15_000))]
+    gated = [pii.find(t) for t in texts]
+    assert sum(base != every for base, every in gated) > 100
+    monkeypatch.setattr(pii, "_disguised", lambda text: True)
+    for text, got in zip(texts, gated):
+        every = pii.find(text)
+        assert got == every, text
+
+
 def test_long_texts_take_time_in_proportion():
     for piece in ("a", "1", "a.a", " at ", "one ", "(", "@", "+1 "):
         pii.find(piece * 20_000)
