@@ -37,8 +37,19 @@ RULES = (
     ("com", "/", ALLOW), ("example.com", "/en/", BLOCK), ("www.example.com", "/en/", ALLOW),
     ("net", "/es/", BLOCK), ("net", "/fr/", BLOCK),
 )
-#: Host labels of gambling, drug, advertising and spam sites hold one of these words.
-BLOCKED_WORDS = ("ads", "bets", "casino", "pills", "poker", "porn", "spam", "viagra")
+#: By category, what a part of a host label between dashes may be, whole.
+WORDS = {
+    "adult": ("adult", "adults", "sex", "xxx", "porn", "porno"),
+    "gambling": ("bet", "bets", "betting", "casino", "casinos", "gambling", "poker"),
+    "drugs": ("pill", "pills", "viagra"),
+    "advertising": ("ads", "adserver"),
+    "spam": ("spam",),
+}
+#: Words that mark a label part wherever they stand in it, as no innocent word holds them ("porn" is
+#: in Pornic and Pornichet only). The others are in padspace, essex, alphabet, adulthood or spills.
+GLUED = ("[^.-]*casino[^.-]*", "[^.-]*poker[^.-]*", "[^.-]*porn([^.i-][^.-]*)?", "[^.-]*viagra[^.-]*")
+#: As alternatives of a regular expression that Java and RE2 read alike.
+BLOCKED_WORDS = (*sorted(word for words in WORDS.values() for word in words), *GLUED)
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -168,7 +179,7 @@ def judged_with(names: tuple[str, ...], host: Column, path: Column) -> Column:
 
 
 def blocked_hosts(pages: DataFrame, words: tuple[str, ...] = BLOCKED_WORDS) -> DataFrame:
-    """The distinct hosts of the pages with a label that holds one of the words."""
+    """The distinct hosts of the pages with a label part that is one of the words."""
     host, _ = host_and_path(F.col("url"))
     return pages.select(host.alias("host")).where(F.col("host").rlike(rf"(\A|[.-])({'|'.join(words)})([.-]|\Z)")).distinct()
 

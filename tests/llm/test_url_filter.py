@@ -48,6 +48,21 @@ def test_pages(spark):
     assert url_filter.judged_pages(pages.limit(0)).count() == 0
 
 
+def test_listed_hosts_are_these(spark):
+    """Written out, so that a word that is missing from the list is seen."""
+    blocked = [
+        "adult-x.example.net", "www.adult-x.example.net", "sex.example.org", "a.xxx", "free-porn.example.org", "pornhouse.example.net",
+        "ads-track.example.net", "free-bets.example.net", "bet.example.net", "casino-win.example.org", "bestcasino.example.net",
+        "casinos24.net", "poker24.net", "cheap-pills.example.org", "buyviagra.net", "m.spam-farm.example.org"]
+    allowed = [
+        "padspace.org", "essex.example.net", "alphabet.example.net", "adulthood.example.org", "spills.example.net", "pornic.example.org",
+        "pornichet.net", "antispam.example.org", "example.org", "blog.example.net", "downloads.example.net", "xxxl.example.net"]
+    rows = [(i, f"https://{h}/de/1") for i, h in enumerate(blocked + allowed)]
+    got = url_filter.judged_pages(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert {r.host for r in got if r.verdict == BLOCK} == set(blocked)
+    assert {r.host for r in got if r.verdict == ALLOW} == set(allowed)
+
+
 def test_random_lists(tmp_path):
     pick = np.random.default_rng(6)
     label = lambda: pick.choice(["a", "bb", "c-c", "d"])
