@@ -9,7 +9,7 @@ what counts is containment in the item.
 partition of size n an item's MinHash sketch is its ``n - ceil(0.75 n) + 1``
 shingles of smallest hash, the fewest of which a containing document must hold
 one. A document's sketch are its shingles whose hash is at most the largest
-sketched one. Documents smaller than a partition needs are not matched with it.
+sketched one.
 
 *Search.* Sketches meet in one equality join on the hash: the items' side is
 broadcast if its counted rows are few, otherwise both are shuffled.
@@ -18,9 +18,11 @@ broadcast if its counted rows are few, otherwise both are shuffled.
 compared with all of the item's. Hashes of 64 bits stand for shingles.
 
 DataFrame functions only. Nulls: a null text, and one without a word, has no
-shingle, so it contains nothing and is contained nowhere. Repeated items and
-documents each count for themselves; with a repeated id the texts count
-together. Empty tables give no rows. Other columns pass through the filter.
+shingles, so it contains nothing and is contained nowhere. The filter judges
+each text of a document by each text of an item, whatever their ids: null and
+repeated ids neither hide nor drop anything. The report is by id and, as its SQL
+twin has it, takes null as an id and counts the texts of one id together. Empty
+tables give no rows. Other columns pass through the filter.
 """
 
 from __future__ import annotations
@@ -46,13 +48,12 @@ def _hashes(words: Column) -> Column:
 
 
 def _shingles(rows: DataFrame, id_column: str) -> DataFrame:
-    """(id, size, hash): one row per shingle of a text, repeats included."""
+    """(id, hash): one row per shingle of a text, repeats included."""
     words = F.filter(F.split(F.lower("text"), GAPS), lambda w: w != "")
     # Bound to a lambda variable, the words are made once per text however the plan is rewritten.
     hashes = F.transform(F.array(words), _hashes)[0]
     # Outer, as an inner explode has Spark compute the array once more to filter empty ones.
-    exploded = rows.select(id_column, hashes.alias("hashes")).select(
-        id_column, F.size("hashes").alias("size"), F.explode_outer("hashes").alias("hash"))
+    exploded = rows.select(id_column, hashes.alias("hashes")).select(id_column, F.explode_outer("hashes").alias("hash"))
     return exploded.where("hash IS NOT NULL")
 
 
@@ -64,7 +65,7 @@ def _sized(df: DataFrame, purpose: str) -> DataFrame:
 
 def item_shingles(items: DataFrame) -> DataFrame:
     """item_id, hash, n (shingles of the item), needed (to contain it), rank by hash."""
-    distinct = _shingles(items.select("item_id", "text"), "item_id").select("item_id", "hash").distinct()
+    distinct = _shingles(items.select("item_id", "text"), "item_id").distinct()
     of = Window.partitionBy("item_id")
     up, down = LEAST
     numbered = distinct.select("item_id", "hash", F.count(F.lit(1)).over(of).alias("n"), F.row_number().over(of.orderBy("hash")).alias("rank"))
@@ -73,31 +74,38 @@ def item_shingles(items: DataFrame) -> DataFrame:
 
 def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, n_item, n_shared, containment of every item in every document that holds it."""
-    docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+    docs = docs.select("doc_id", "text")
     all_shingles = written(item_shingles(items), "item-shingles")
     sketch = all_shingles.where("rank <= n - needed + 1").select("hash", "item_id", "n", "needed")
     bound = sketch.agg(F.max("hash")).scalar()  # the largest bound of all partitions
     found = _shingles(docs, "doc_id").where(F.col("hash") <= bound)
-    candidates = found.join(_sized(sketch, "item-sketches"), "hash").where("size >= needed")
-    candidates = candidates.select("doc_id", "item_id").distinct()
+    candidates = found.join(_sized(sketch, "item-sketches"), "hash")
+    candidates = candidates.select(F.col("doc_id").alias("wanted"), F.col("item_id").alias("wanted_item")).distinct()
     candidates = written(candidates, "leak-candidates")
 
-    ids = _sized(candidates.select(F.col("doc_id").alias("wanted")).distinct(), "leak-documents")
-    texts = docs.join(ids, F.col("doc_id") == F.col("wanted"), "left_semi")
+    ids = _sized(candidates.select("wanted").distinct(), "leak-documents")
+    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
     items_of = all_shingles.select("hash", "item_id", "n", "needed")
-    shared = _shingles(texts, "doc_id").join(_sized(items_of, "item-hashes"), "hash").drop("size").distinct()
+    shared = _shingles(texts, "doc_id").join(_sized(items_of, "item-hashes"), "hash").distinct()
     counted = shared.groupBy("doc_id", "item_id").agg(
         F.max("n").alias("n_item"), F.max("needed").alias("needed"), F.count(F.lit(1)).alias("n_shared"))
-    held = counted.join(candidates, ["doc_id", "item_id"]).where("n_shared >= needed")
+    same = F.col("doc_id").eqNullSafe(F.col("wanted")) & F.col("item_id").eqNullSafe(F.col("wanted_item"))
+    held = counted.join(candidates, same, "left_semi").where("n_shared >= needed")
     return held.select("doc_id", "item_id", "n_item", "n_shared", (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
 
 def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no item; columns as in ``docs``."""
+    """The documents that hold no item; columns as in ``docs``.
+
+    Texts go by a key of their own, so that ids do not matter.
+    """
     (of,) = fresh(docs, "_held_in")
-    held = written(contained_items(docs, items).select(F.col("doc_id").alias(of)).distinct(), "leaks")
+    key = F.unhex(F.md5("text"))
+    by_text = lambda rows, name: rows.select(key.alias(name), "text")
+    found = contained_items(by_text(docs, "doc_id"), by_text(items, "item_id"))
+    held = written(found.select(F.col("doc_id").alias(of)).distinct(), "leaks")
     small = F.broadcast(held) if held.count() <= BROADCAST_ROWS else held
-    return docs.join(small, F.col("doc_id") == column(of), "left_anti")
+    return docs.join(small, key == column(of), "left_anti")
 
 
 CONTAINED_ITEMS_SQL = """

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import re
 
+import duckdb
+
 from comptoir.llm import decontaminate
 from llm.cases import frame, odd_rows, text, words
 
@@ -44,6 +46,29 @@ def test_short_items_in_long_documents(spark):
     assert sorted(map(repr, (r.doc_id for r in kept.collect()))) == sorted(repr(i) for i, *_ in rows if i not in held)
 
 
+def test_null_and_repeated_ids(spark):
+    """The filter goes by texts; the report by ids, null among them, as the SQL twin does."""
+    a, b, c, d = (text(700 + i, 30) for i in range(4))
+    within = lambda k, passage: f"{text(k, 200)} {passage} {text(k + 50, 200)}"
+    items = [(1, a), (1, b), (None, c), (None, d), (2, text(710, 30))]
+    dirty = [(10, within(1, a)), (None, within(2, b)), (11, within(3, c)), (12, within(4, a + " " + b)), (None, within(5, c + " " + d)), (13, within(6, text(710, 30)))]
+    half = words(710, 30)
+    clean = [(13, text(8, 300)), (None, text(9, 300)), (14, None), (None, None), (15, within(10, " ".join(half[:15]))), (15, within(11, " ".join(half[15:])))]
+    docs = frame(spark, [(*row, "en", "x") for row in dirty + clean])
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    kept = decontaminate.without_items(docs, benchmark).collect()
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in kept))) == sorted(map(repr, clean))
+
+    connection = duckdb.connect()
+    for name, rows in (("documents", dirty + clean), ("benchmark", items)):
+        connection.execute(f"CREATE TABLE {name} ({'doc_id' if name == 'documents' else 'item_id'} BIGINT, text VARCHAR)")
+        connection.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    twin = connection.execute(decontaminate.CONTAINED_ITEMS_SQL).fetchall()
+    got = decontaminate.contained_items(docs, benchmark).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, twin))
+    assert {(12, 1), (None, None), (13, 2), (15, 2)} <= {(r.doc_id, r.item_id) for r in got}
+
+
 def test_empty_tables(spark):
     docs, items = frame(spark, odd_rows()), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert decontaminate.contained_items(docs.limit(0), items).count() == 0
