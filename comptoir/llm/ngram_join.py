@@ -32,7 +32,8 @@ dealt by hash into parts of a bounded size, and what a task needs of the corpus
 as a whole are at most ``COMMON`` frequent shingles.
 
 Nulls: a null text, and one without words, has an empty set and is linked with
-nothing. A null id stays null; it never names a component that has another id.
+nothing. A null id stays null; it never names a component that has another id,
+and of a group's rows one without an id is kept only if no row has one.
 Repeated rows are copies. An empty table gives no rows. Other columns are not read.
 """
 
@@ -137,21 +138,24 @@ def _may_link(a: str, b: str) -> Column:
 # -- first pass: sizes, fingerprints, frequent shingles ----------------------------------
 
 def _measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held, amount = [], 0
+    """One row per document, and rows of frequent shingles. A column ``key`` goes along if there is one."""
+    held, amount, keyed = [], 0, False
 
     def frequent() -> pd.DataFrame:
         values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64),) * 2
         often = counts >= REPORTED
+        nothing = pd.Series([None] * int(often.sum()), dtype=object)
         return pd.DataFrame({
-            "doc_id": pd.Series([None] * int(often.sum()), dtype=object), "n": counts[often].astype(np.int64),
+            "doc_id": nothing, **({"key": nothing} if keyed else {}), "n": counts[often].astype(np.int64),
             "id": values[often].view(np.int64), "check": np.zeros(int(often.sum()), np.int64), "shingle": True,
-            "parity": pd.Series([None] * int(often.sum()), dtype=object)})
+            "parity": nothing})
 
     for piece in _pieces(batches):
+        keyed = "key" in piece.columns
         tokens, bounds = shingle_sets(piece["text"])
         first, second = _identities(tokens, bounds)
         yield pd.DataFrame({
-            "doc_id": piece["doc_id"].to_numpy(), "n": np.diff(bounds), "id": first,
+            "doc_id": piece["doc_id"].to_numpy(), **({"key": piece["key"].to_numpy()} if keyed else {}), "n": np.diff(bounds), "id": first,
             "check": second, "shingle": False, "parity": _parities(tokens, bounds)})
         held, amount = [*held, tokens], amount + len(tokens)
         if amount >= BUFFER:
@@ -400,17 +404,18 @@ def _of_candidates(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 # -- the operator -----------------------------------------------------------------------------
 
-def join_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per document.
+def _labelled(docs: DataFrame, key: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The documents as (doc_id, n, id, check) and their classes as (id, check, rep, component), both stored.
 
-    ``component_id`` is the smallest id reachable by links.
+    With ``key`` the documents carry a column of that name too.
     """
-    spark, docs = docs.sparkSession, docs.select("doc_id", "text")
+    carried = [] if key is None else ["key"]
+    spark, docs = docs.sparkSession, docs.select("doc_id", "text", *(key.alias(c) for c in carried))
     # Ids travel as text, as pandas would round large ones beside a null.
-    named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    schema = "doc_id string, n long, id long, check long, shingle boolean, parity array<long>"
+    named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), *carried, "text")
+    schema = f"doc_id string, {'key string, ' if carried else ''}n long, id long, check long, shingle boolean, parity array<long>"
     measured = written(named.mapInPandas(_measured, schema), "join-sizes")
-    known = measured.where("not shingle").select(F.col("doc_id").cast("long").alias("doc_id"), "n", "id", "check")
+    known = measured.where("not shingle").select(F.col("doc_id").cast("long").alias("doc_id"), *carried, "n", "id", "check")
     often = measured.where("shingle").groupBy("id").agg(F.sum("n").alias("n"))
     common = often.orderBy(F.desc("n"), "id").limit(COMMON).toPandas()  # at most 16 bytes times COMMON
     frequent = spark.sparkContext.broadcast((common["id"].to_numpy(np.int64).view(np.uint64), common["n"].to_numpy(np.int64)))
@@ -432,7 +437,15 @@ def join_documents(docs: DataFrame) -> DataFrame:
     part = components(links)
     labelled = classes.join(part, F.col("id") == F.col("node"), "left")
     labelled = labelled.select("id", "check", "rep", F.coalesce("component", "id").alias("component"))
-    labelled = written(labelled, "join-labels")
+    return known, written(labelled, "join-labels")
+
+
+def join_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id: one row per document.
+
+    ``component_id`` is the smallest id reachable by links.
+    """
+    known, labelled = _labelled(docs)
     least = labelled.groupBy("component").agg(F.min("rep").alias("component_id"))
     placed = labelled.join(least, "component").select("id", "check", "component_id")
     of = known.join(placed, ["id", "check"], "left")
@@ -440,18 +453,32 @@ def join_documents(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The documents without those that are linked to one with a smaller id; columns as in ``docs``.
+    """One document of each group of linked ones; columns as in ``docs``.
 
-    Of repeated rows with one id, one stays.
+    It is the one with the smallest id, rows without an id last; then the class
+    and the text's hash decide. Ids do not link: another text under the id of a
+    linked one is judged by itself. Of rows with one id and one text one stays,
+    but texts without a word are linked with nothing, so without an id all stay.
     """
-    joined = written(join_documents(docs), "join-documents")
-    away = written(joined.where("component_id < doc_id").select(F.col("doc_id").alias("away")).distinct(), "join-away")
-    few = away.count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(away) if few else away, docs["doc_id"] == away["away"], "left_anti")
-    repeated = joined.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
-    repeated = written(repeated.select(F.col("doc_id").alias("again")), "join-repeated")
-    if repeated.isEmpty():
+    key = F.coalesce(F.md5("text"), F.lit(""))
+    known, labelled = _labelled(docs, key)
+    rows = known.join(labelled.select("id", "check", "component"), ["id", "check"], "left")
+    rows = written(rows.groupBy("doc_id", "key", "n", "id", "check", "component").agg(F.count(F.lit(1)).alias("times")), "join-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "id", "check", "key")
+    first = rows.where("n > 0").groupBy("component").agg(F.min(order).alias("first"))
+    placed = rows.where("n > 0").join(first, "component")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
+    names = lambda df: df.select(F.col("doc_id").alias("_of"), F.col("key").alias("_key"))
+    away = written(names(placed.where(~stays)), "join-away")
+    again = names(placed.where(stays).where("times > 1").select("doc_id", "key")).unionAll(
+        names(rows.where("n = 0 AND doc_id IS NOT NULL AND times > 1")))
+    again = written(again, "join-repeated")
+
+    def met(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        right = F.broadcast(right) if right.count() <= BROADCAST_IDS // 4 else right
+        return left.join(right, F.col("doc_id").eqNullSafe(F.col("_of")) & (key == F.col("_key")), how)
+
+    kept = met(docs, away, "left_anti")
+    if again.isEmpty():
         return kept
-    small = F.broadcast(repeated) if repeated.count() <= BROADCAST_IDS else repeated
-    once = kept.join(small, kept["doc_id"] == repeated["again"], "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(small, kept["doc_id"] == repeated["again"], "left_anti").unionAll(once)
+    return met(kept, again, "left_anti").unionAll(met(kept, again, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -159,3 +159,21 @@ def test_one_of_each_group(spark):
     groups = ngram_join.join_documents(docs).select("doc_id", "component_id").distinct().collect()
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in groups if r.doc_id == r.component_id)
     assert ngram_join.one_of_each_group(docs.limit(0)).count() == 0
+
+
+def test_one_of_each_group_goes_by_rows_not_ids(spark):
+    base, other, third = words(1, 120), words(2, 120), words(3, 120)
+    near = lambda of, k: edited(of, [k])
+    rows = [
+        (5, " ".join(base)), (None, near(base, 3)), (None, " ".join(base)), (7, near(base, 9)),  # 5 stays
+        (7, text(50, 60)),  # another text under the id of a copy
+        (8, " ".join(other)), (8, near(other, 4)),  # near copies under one id
+        (None, " ".join(third)), (None, " ".join(third)), (None, near(third, 5)),  # a group without ids
+        (None, text(51, 60)), (None, None), (None, None), (9, ""), (9, "")]
+    docs = frame(spark, [(*row, "en", "x") for row in rows])
+    got = [(r.doc_id, r.text) for r in ngram_join.one_of_each_group(docs).collect()]
+    for one in ((5, " ".join(base)), (7, text(50, 60)), (None, text(51, 60)), (9, "")):
+        assert got.count(one) == 1
+    assert sum(i == 8 for i, _ in got) == 1
+    assert sum(t in (" ".join(third), near(third, 5)) for _, t in got) == 1
+    assert got.count((None, None)) == 2 and len(got) == 8
