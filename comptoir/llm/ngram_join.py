@@ -137,31 +137,32 @@ def _may_link(a: str, b: str) -> Column:
 
 # -- first pass: sizes, fingerprints, frequent shingles ----------------------------------
 
-def _measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per document, and rows of frequent shingles. A column ``key`` goes along if there is one."""
-    held, amount, keyed = [], 0, False
-
-    def frequent() -> pd.DataFrame:
-        values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64),) * 2
-        often = counts >= REPORTED
-        nothing = pd.Series([None] * int(often.sum()), dtype=object)
-        return pd.DataFrame({
-            "doc_id": nothing, **({"key": nothing} if keyed else {}), "n": counts[often].astype(np.int64),
-            "id": values[often].view(np.int64), "check": np.zeros(int(often.sum()), np.int64), "shingle": True,
-            "parity": nothing})
+def _measured(keyed: bool):
+    """One row per document, and rows of frequent shingles; if ``keyed``, the column ``key`` goes along."""
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, amount = [], 0
 
-    for piece in _pieces(batches):
-        keyed = "key" in piece.columns
-        tokens, bounds = shingle_sets(piece["text"])
-        first, second = _identities(tokens, bounds)
-        yield pd.DataFrame({
-            "doc_id": piece["doc_id"].to_numpy(), **({"key": piece["key"].to_numpy()} if keyed else {}), "n": np.diff(bounds), "id": first,
-            "check": second, "shingle": False, "parity": _parities(tokens, bounds)})
-        held, amount = [*held, tokens], amount + len(tokens)
-        if amount >= BUFFER:
-            yield frequent()
-            held, amount = [], 0
-    yield frequent()
+        def frequent() -> pd.DataFrame:
+            values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64),) * 2
+            often = counts >= REPORTED
+            nothing = pd.Series([None] * int(often.sum()), dtype=object)
+            return pd.DataFrame({
+                "doc_id": nothing, **({"key": nothing} if keyed else {}), "n": counts[often].astype(np.int64),
+                "id": values[often].view(np.int64), "check": np.zeros(int(often.sum()), np.int64), "shingle": True,
+                "parity": nothing})
+
+        for piece in _pieces(batches):
+            tokens, bounds = shingle_sets(piece["text"])
+            first, second = _identities(tokens, bounds)
+            yield pd.DataFrame({
+                "doc_id": piece["doc_id"].to_numpy(), **({"key": piece["key"].to_numpy()} if keyed else {}), "n": np.diff(bounds), "id": first,
+                "check": second, "shingle": False, "parity": _parities(tokens, bounds)})
+            held, amount = [*held, tokens], amount + len(tokens)
+            if amount >= BUFFER:
+                yield frequent()
+                held, amount = [], 0
+        yield frequent()
+    return rows
 
 
 # -- second pass: signatures --------------------------------------------------------------
@@ -414,7 +415,7 @@ def _labelled(docs: DataFrame, key: Column | None = None) -> tuple[DataFrame, Da
     # Ids travel as text, as pandas would round large ones beside a null.
     named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), *carried, "text")
     schema = f"doc_id string, {'key string, ' if carried else ''}n long, id long, check long, shingle boolean, parity array<long>"
-    measured = written(named.mapInPandas(_measured, schema), "join-sizes")
+    measured = written(named.mapInPandas(_measured(bool(carried)), schema), "join-sizes")
     known = measured.where("not shingle").select(F.col("doc_id").cast("long").alias("doc_id"), *carried, "n", "id", "check")
     often = measured.where("shingle").groupBy("id").agg(F.sum("n").alias("n"))
     common = often.orderBy(F.desc("n"), "id").limit(COMMON).toPandas()  # at most 16 bytes times COMMON
