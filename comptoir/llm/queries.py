@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from comptoir.llm import (
-    ann, chat, decontaminate, language, mixing, ngram_join, pii, sharding, token_counts, url_filter,
+    ann, chat, decontaminate, language, line_dedup, mixing, ngram_join, pii, sharding, token_counts, url_filter,
 )
 from comptoir.llm.common import table
 
@@ -35,6 +35,7 @@ def queries() -> dict[str, Query]:
         "op8_language_id": over("documents", language.document_languages),
         "op9_shards": over("documents", sharding.shard_of_documents),
         "op10_url_filter": over("pages", url_filter.judged_pages),
+        "op11_line_dedup": over("documents", line_dedup.line_report),
     }
 
 
@@ -43,4 +44,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_mix_sources": mixing.MIXED_WORDS_SQL,
         "op6_decontamination": decontaminate.CONTAINED_ITEMS_SQL,
         "op10_url_filter": url_filter.JUDGED_PAGES_SQL,
+        "op11_line_dedup": line_dedup.LINE_REPORT_SQL,
     }

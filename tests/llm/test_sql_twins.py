@@ -26,4 +26,4 @@ def test_twin(spark, folder, key):
 
 def test_one_query_per_operator():
     numbers = sorted(int(key[2:].split("_")[0]) for key in queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
