@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from comptoir.llm import (
-    ann, chat, decontaminate, language, line_dedup, mixing, ngram_join, pii, sharding, token_counts, url_filter,
+    ann, chat, decontaminate, language, line_dedup, mixing, ngram_join, pii, sharding, spelling, token_counts, url_filter,
 )
 from comptoir.llm.common import table
 
@@ -36,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op9_shards": over("documents", sharding.shard_of_documents),
         "op10_url_filter": over("pages", url_filter.judged_pages),
         "op11_line_dedup": over("documents", line_dedup.line_report),
+        "op12_spelling_variants": over("documents", spelling.variants),
     }
 
 
