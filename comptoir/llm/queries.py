@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from comptoir.llm import (
-    ann, chat, decontaminate, language, line_dedup, mixing, ngram_join, pii, sharding, spelling, token_counts, url_filter,
+    ann, chat, decontaminate, language, line_dedup, mixing, ngram_join, pii, resampling, sharding, spelling, token_counts,
+    url_filter,
 )
 from comptoir.llm.common import table
 
@@ -21,6 +22,9 @@ def queries() -> dict[str, Query]:
     def over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
         return lambda spark, folder: operator(table(spark, folder, name))
 
+    def resampled(spark: SparkSession, folder: str) -> DataFrame:
+        return resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
     def contained(spark: SparkSession, folder: str) -> DataFrame:
         return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -37,6 +41,7 @@ def queries() -> dict[str, Query]:
         "op10_url_filter": over("pages", url_filter.judged_pages),
         "op11_line_dedup": over("documents", line_dedup.line_report),
         "op12_spelling_variants": over("documents", spelling.variants),
+        "op13_resampling": resampled,
     }
 
 
