@@ -44,7 +44,7 @@ from comptoir.sources.stores import shared_folder, written
 
 LEAST_CHARS = 40
 LEAST_DOCS = 5
-BATCHES = 4
+BATCHES = 3
 #: A line with more than this share of all lines is hot; there are at most as many as its inverse.
 HOT = 1 / 10_000
 WHITE = " \t\n\x0b\x0c\r"
@@ -160,10 +160,8 @@ def dropped_lines(
     """doc_id, copy, dropped (line numbers from 0): one row per text that loses lines."""
     # By id, so that the rows of one document are in one batch and counted once.
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
-    path = shared_folder(docs.sparkSession, "lines")
-    hashed = hashed_lines(docs, least_chars).withColumn("batch", batch)
-    hashed.write.partitionBy("batch").parquet(path)
-    lines = docs.sparkSession.read.schema(hashed.schema).parquet(path)
+    # In order of batch within a file, so that reading a batch skips the other pages.
+    lines = written(hashed_lines(docs, least_chars).withColumn("batch", batch).sortWithinPartitions("batch"), "lines")
     common = common_lines(lines, batches, least_docs)
     total = lines.count()
     is_hot = F.col("n") > total * hot
