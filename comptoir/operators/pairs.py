@@ -16,11 +16,17 @@ reach the result are left out beforehand, exactly, by one plan at every size:
    equals the bar matters only in ties, which the item order settles.
 4. What remains of a group is dealt into blocks of ``BLOCK_ITEMS`` items, so a
    large group is paired by many tasks.
-
-One item or group that dominates makes the bar high, so few items remain. Where
-items are evenly popular the bar prunes little, and what is then summed up is
-still every pair that occurs in a group: that part is quadratic in the items of
-a group.
+5. If more than ``OUTRIGHT`` rows of pairs may be formed, pairs are first hashed to
+   ``CELLS`` cells and their scores summed by cell. A cell's sum is the score of each of its pairs plus that of the pairs that share the
+   cell: never too low, and too high by ``all scores / CELLS`` on average. The
+   sums of parts of the data add up, so every map task sums first. Pairs of a
+   cell under the bar are in no result; only the others are counted one by one.
+
+One item or group that dominates makes the bar high, so few items remain after
+step 3. Where items are evenly popular, step 3 prunes little but step 5 does:
+no large table of all pairs is shuffled or kept. Pairs are still formed, twice,
+from the items of each group. Step 5 changes the work, never the result; at
+fewer rows counting them outright is faster.
 """
 
 from __future__ import annotations
@@ -32,6 +38,10 @@ from comptoir.operators.lookups import lookup_join
 #: Items whose pairs give the bar; more if the limit is larger.
 LEAST_SEEDS = 128
 BLOCK_ITEMS = 4096
+#: Sums of step 5; a power of two. The marks of the cells, a bit each, are what every task holds.
+CELLS = 1 << 24
+#: Rows of pairs that are counted without step 5.
+OUTRIGHT = 1 << 26
 
 
 def item_counts(
@@ -45,11 +55,14 @@ def item_counts(
     return keys.agg(k.alias("k"))
 
 
-def top_pairs(counts: DataFrame, limit: int = 100, at_least: int = 2, block_items: int = BLOCK_ITEMS) -> DataFrame:
+def top_pairs(
+    counts: DataFrame, limit: int = 100, at_least: int = 2, block_items: int = BLOCK_ITEMS, cells: int | None = None,
+) -> DataFrame:
     """Columns a, label_a, b, label_b, score with a < b; the best ``limit`` pairs.
 
     ``counts`` comes from ``item_counts`` and is read several times, so it
-    should be a stored table. Nothing is run when this is called.
+    should be a stored table. ``cells`` (see ``cells_for``) turns step 5 on.
+    Nothing is run when this is called.
     """
     bounds = _bounds(counts)
     bar = _bar(counts, bounds, limit, at_least)
@@ -66,7 +79,32 @@ def top_pairs(counts: DataFrame, limit: int = 100, at_least: int = 2, block_item
     can_reach = (
         (F.col("above_a") & F.col("above_b")) | F.col("before_a") | (F.col("at_a") & F.col("upto_b")))
     left, right = _in_blocks(kept.where("above or before or at"), kept, block_items)
-    return _best(_scored(left, right, can_reach, ("g", "part")), limit, at_least)
+    pairs = _formed(left, right, can_reach, ("g", "part"))
+    if cells:
+        pairs = _in_full_cells(pairs, F.greatest(level, F.lit(at_least)), cells)
+    return _best(_summed(pairs), limit, at_least)
+
+
+def cells_for(counts: DataFrame) -> int | None:
+    """``CELLS`` if the items of the groups form so many pairs that step 5 pays; one small job."""
+    size = F.col("n").cast("double")
+    most = counts.groupBy("g").agg(F.count("*").alias("n")).agg(F.sum(size * (size - 1) / 2)).first()[0]
+    return CELLS if (most or 0) > OUTRIGHT else None
+
+
+def _in_full_cells(pairs: DataFrame, level: Column, cells: int) -> DataFrame:
+    """The rows of ``pairs`` whose cell sums to ``level`` or more."""
+    cell = F.xxhash64("item_a", "item_b").bitwiseAND(F.lit(cells - 1))
+    sums = pairs.groupBy(cell.alias("cell")).agg(F.sum("score").alias("n"))
+    full = sums.withColumn("level", level).where("n >= level")
+    place, bit = F.shiftright("cell", 6), F.col("cell").bitwiseAND(F.lit(63)).cast("int")
+    marked = full.groupBy(place.alias("place")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    # One number per 64 cells, in order: cells / 8 bytes in all.
+    every = pairs.sparkSession.range(max(1, cells // 64)).withColumnRenamed("id", "place")
+    whole = every.join(marked, "place", "left").select("place", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    marks = whole.agg(F.sort_array(F.collect_list(F.struct("place", "bits"))).getField("bits")).scalar()
+    word = F.get(marks, F.shiftright(cell, 6).cast("int"))
+    return pairs.where(F.getbit(word, cell.bitwiseAND(F.lit(63)).cast("int")) == 1)
 
 
 def _in_blocks(left: DataFrame, right: DataFrame, block_items: int) -> tuple[DataFrame, DataFrame]:
@@ -90,14 +128,14 @@ def _bounds(counts: DataFrame) -> DataFrame:
 def _bar(counts: DataFrame, bounds: DataFrame, limit: int, at_least: int) -> Column:
     """Scalar struct (score, a, b), null when the seeds form too few pairs."""
     order = [F.desc("bound"), F.asc("item")]
-    count = max(LEAST_SEEDS, limit)
+    count = max(LEAST_SEEDS, 2 * limit)
     seeds = bounds.orderBy(*order).limit(count)
     seeds = seeds.select("item", F.row_number().over(Window.orderBy(*order)).alias("place"))
-    # At most max(LEAST_SEEDS, limit) rows, so the broadcast is bounded; so are the rows per group.
+    # ``count`` rows, so the broadcast is bounded; so are the rows per group.
     inside = counts.join(F.broadcast(seeds), "item")
-    # The first seed meets all others, later ones fewer: about count * ln(count) / 2 pairs, over twice the limit.
+    # The first seed meets all others, which alone is more than ``limit`` pairs, and later ones fewer.
     near = F.col("place_a") * F.col("place_b") <= count
-    best = _best(_scored(_side(inside, "a"), _side(inside, "b"), near), limit, at_least)
+    best = _best(_summed(_formed(_side(inside, "a"), _side(inside, "b"), near)), limit, at_least)
     nth = F.row_number().over(Window.orderBy(*_result_order()))
     last = best.select("*", nth.alias("nth")).where(F.col("nth") == limit)
     return last.agg(F.max(F.struct("score", "a", "b"))).scalar()
@@ -107,12 +145,15 @@ def _side(df: DataFrame, side: str, shared: tuple[str, ...] = ("g",)) -> DataFra
     return df.select(*shared, *(F.col(c).alias(f"{c}_{side}") for c in df.columns if c not in shared))
 
 
-def _scored(
-    left: DataFrame, right: DataFrame, condition: Column | None = None, on: tuple[str, ...] = ("g",)
-) -> DataFrame:
+def _formed(left: DataFrame, right: DataFrame, condition: Column, on: tuple[str, ...] = ("g",)) -> DataFrame:
+    """item_a, item_b, score: one row per pair and group."""
     ordered = F.col("item_a.id") < F.col("item_b.id")
-    together = left.join(right, list(on)).where(ordered if condition is None else ordered & condition)
-    return together.groupBy("item_a", "item_b").agg(F.sum(F.col("k_a") * F.col("k_b")).alias("score"))
+    together = left.join(right, list(on)).where(ordered & condition)
+    return together.select("item_a", "item_b", (F.col("k_a") * F.col("k_b")).alias("score"))
+
+
+def _summed(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("item_a", "item_b").agg(F.sum("score").alias("score"))
 
 
 def _result_order():

@@ -4,7 +4,8 @@ A *facts* frame has four partial columns per row. ``as_facts`` makes one from
 silver sales (one row per sale); ``roll_up`` adds partials up to any grain, and
 takes silver sales, or an earlier roll-up of them, alike. So a large table is
 aggregated by key before it meets a dimension, and several gold tables can be
-built from one small roll-up.
+built from one small roll-up. ``roll_up_clients`` also keeps which clients
+bought, so that distinct clients can be counted at any coarser grain.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from comptoir.functions.numbers import money, ratio
 
 AMOUNT, AMOUNTS, SALES, UNITS = "_amount", "_amounts", "_sales", "_units"
 FIRST, LAST = "_first_day", "_last_day"
+BUCKET, CLIENTS = "_bucket", "_clients"
 
 
 def as_facts(ventes: DataFrame) -> DataFrame:
@@ -42,6 +44,25 @@ def roll_up(ventes: DataFrame, *keys: str | Column, days: bool = False) -> DataF
     return as_facts(ventes).groupBy(*keys).agg(*partial_sums(days))
 
 
+def roll_up_clients(ventes: DataFrame, *keys: str | Column) -> DataFrame:
+    """Partials per key and bucket of clients, with the bucket's clients as a bitmap.
+
+    Exact distinct counts do not add up, bitmaps do: those of an earlier
+    ``roll_up_clients`` are merged. A bucket is a range of 32,768 client ids, so
+    a row has four kilobytes at most, which compress well where few are set.
+    """
+    if CLIENTS in ventes.columns:
+        return ventes.groupBy(*keys, BUCKET).agg(*partial_sums(), F.bitmap_or_agg(CLIENTS).alias(CLIENTS))
+    bucket = F.bitmap_bucket_number("client_id").alias(BUCKET)
+    clients = F.bitmap_construct_agg(F.bitmap_bit_position("client_id")).alias(CLIENTS)
+    return as_facts(ventes).groupBy(*keys, bucket).agg(*partial_sums(), clients)
+
+
+def count_clients(rolled: DataFrame, *keys: str, name: str) -> DataFrame:
+    """Partials per key and ``name``, the distinct clients, of a ``roll_up_clients`` by these keys."""
+    return rolled.groupBy(*keys).agg(*partial_sums(), F.sum(F.bitmap_count(CLIENTS)).alias(name))
+
+
 def revenue(name: str = "ca_total") -> Column:
     return money(F.col(AMOUNT)).alias(name)
 

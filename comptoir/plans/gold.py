@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from comptoir.functions.calendar import month_columns, month_start, week_columns
 from comptoir.functions.numbers import money, percent, ratio
 from comptoir.operators import totals as t
-from comptoir.operators.pairs import item_counts, top_pairs
+from comptoir.operators.pairs import cells_for, item_counts, top_pairs
 from comptoir.operators.quantiles import quantiles
 from comptoir.sources.stores import written
 
@@ -59,12 +59,12 @@ def sales_by_category(ventes: DataFrame) -> DataFrame:
 
 
 def canal_performance(ventes: DataFrame) -> DataFrame:
-    """Monthly revenue of a channel and its growth over its previous month."""
-    months = (
-        t.as_facts(ventes)
-        .groupBy(month_start(F.col("date_vente")).alias("month"), "canal_id", "nom_canal")
-        .agg(*t.partial_sums(), F.count_distinct("client_id").alias("nb_clients_uniques"))
-    )
+    """Monthly revenue of a channel and its growth over its previous month.
+
+    ``ventes`` may be ``roll_up_clients`` by day and channel; so in ``daily_trend``.
+    """
+    rolled = t.roll_up_clients(ventes, month_start(F.col("date_vente")).alias("month"), "canal_id", "nom_canal")
+    months = t.count_clients(rolled, "month", "canal_id", "nom_canal", name="nb_clients_uniques")
     before = F.lag(t.AMOUNT).over(Window.partitionBy("canal_id").orderBy("month"))
     growth = F.when(F.col("before") > 0, percent(F.col(t.AMOUNT) - F.col("before"), F.col("before")))
     return months.withColumn("before", before).select(
@@ -80,10 +80,7 @@ def daily_trend(ventes: DataFrame, calendar: bool = False) -> DataFrame:
     ``calendar=True`` takes calendar days instead. The windows have no key, but
     run over one row per day, never over sales.
     """
-    days = (
-        t.as_facts(ventes).groupBy("date_vente")
-        .agg(*t.partial_sums(), F.count_distinct("client_id").alias("nb_clients_actifs"))
-    )
+    days = t.count_clients(t.roll_up_clients(ventes, "date_vente"), "date_vente", name="nb_clients_actifs")
 
     def moving(length: int):
         if calendar:
@@ -263,8 +260,8 @@ def product_affinity(ventes: DataFrame, distinct_clients: bool = False) -> DataF
 
     Counts pairs of sales; ``distinct_clients=True`` counts clients.
     """
-    counts = item_counts(ventes, "client_id", "produit_id", "categorie_produit", distinct_clients)
-    pairs = top_pairs(written(counts, "pair-counts"), limit=100, at_least=2)
+    counts = written(item_counts(ventes, "client_id", "produit_id", "categorie_produit", distinct_clients), "pair-counts")
+    pairs = top_pairs(counts, limit=100, at_least=2, cells=cells_for(counts))
     return pairs.select(
         F.col("a").alias("produit_a"), F.col("label_a").alias("categorie_a"),
         F.col("b").alias("produit_b"), F.col("label_b").alias("categorie_b"),

@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from comptoir.operators.totals import roll_up
+from comptoir.operators.totals import roll_up, roll_up_clients
 from comptoir.plans import gold, silver
 from comptoir.sources.stores import written
 
@@ -19,8 +19,9 @@ GOLD = (
 )
 
 
-# Twelve of the gold tables can be built from these.
+# All gold tables but product_affinity can be built from these.
 ROLLUPS = {
+    "by_day_clients": lambda ventes: roll_up_clients(ventes, "date_vente", "canal_id", "nom_canal"),
     "by_day": lambda ventes: roll_up(ventes, "date_vente", "canal_id", "nom_canal", "categorie_produit"),
     "by_client": lambda ventes: roll_up(ventes, "client_id", days=True),
     "by_product": lambda ventes: roll_up(ventes, "produit_id", days=True),
@@ -91,13 +92,18 @@ class Silver(Tables):
 
 
 class Gold(Tables):
-    """``by_day``, ``by_client`` and ``by_product`` are stored roll-ups of
-    silver_ventes to build from instead of the sales; see ``rollups``.
+    """``by_day``, ``by_client`` and the others are stored roll-ups of
+    silver_ventes to build from instead of the sales; see ``ROLLUPS``.
     """
 
-    def __init__(self, silver: Tables, by_day=None, by_client=None, by_product=None):
+    def __init__(self, silver: Tables, by_day=None, by_client=None, by_product=None, by_day_clients=None):
         self._silver = silver
         self._by_day, self._by_client, self._by_product = by_day, by_client, by_product
+        self._by_day_clients = by_day_clients
+
+    @property
+    def _day_clients(self) -> DataFrame:
+        return self._by_day_clients if self._by_day_clients is not None else self._silver.ventes
 
     @property
     def _day(self) -> DataFrame:
@@ -144,11 +150,11 @@ class Gold(Tables):
 
     @cached_property
     def canal_performance(self) -> DataFrame:
-        return gold.canal_performance(self._silver.ventes)
+        return gold.canal_performance(self._day_clients)
 
     @cached_property
     def daily_trend(self) -> DataFrame:
-        return gold.daily_trend(self._silver.ventes)
+        return gold.daily_trend(self._day_clients)
 
     @cached_property
     def sales_by_region(self) -> DataFrame:

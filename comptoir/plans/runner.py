@@ -51,8 +51,8 @@ class Runner:
             self._attempt("silver", name, lambda: tables[name])
 
     def gold(self) -> None:
-        """Twelve of the tables come from three roll-ups, so the sales are read
-        six times instead of fifteen, and mostly in a few columns."""
+        """Fourteen of the tables come from four roll-ups, so the sales are read
+        five times instead of fifteen, and mostly in a few columns."""
         silver = self.stored("silver")
         try:
             ventes = silver.ventes

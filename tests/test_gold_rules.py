@@ -8,10 +8,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from comptoir.operators import totals
 from comptoir.operators.totals import roll_up
 from comptoir.plans import gold
 from comptoir.plans.layers import ROLLUPS, Gold
 from comptoir.sources.stores import written
+from conftest import final_plan
 
 SALES = (
     "vente_id long, date_vente date, client_id long, produit_id long, canal_id int, quantite int,"
@@ -125,11 +127,28 @@ def test_builders_give_the_same_from_rollups(house):
     ventes = house.silver.ventes
     rolled = Gold(house.silver, **{name: written(build(ventes), name) for name, build in ROLLUPS.items()})
     for name in ("ca_daily", "ca_weekly", "ca_monthly", "ca_by_canal", "sales_by_category", "sales_by_region",
-                 "customer_basket", "sales_by_segment", "top_products", "return_rate", "stock_alert"):
+                 "customer_basket", "sales_by_segment", "top_products", "return_rate", "stock_alert",
+                 "canal_performance", "daily_trend"):
         fresh = sorted(map(repr, Gold(house.silver)[name].collect()))
         assert sorted(map(repr, rolled[name].collect())) == fresh, name
 
 
+def test_distinct_clients_roll_up(spark):
+    """Ids over many buckets, negative ones and none; the same client on several days and channels."""
+    ids = [1, 2, 32_767, 32_768, 32_769, 65_536, 10**12, -1, -32_768, None]
+    rows = [sale(n, f"2024-0{1 + n % 3}-{1 + n % 9:02}", client=ids[n * 7 % len(ids)], channel=n % 2) for n in range(400)]
+    sales = spark.createDataFrame(rows, SALES)
+    by_day = written(totals.roll_up_clients(sales, "date_vente", "canal_id", "nom_canal"), "by-day-clients")
+    known = lambda keep: len({r[2] for r in rows if keep(r) and r[2] is not None})
+    for table in (sales, by_day):
+        months = {(r.mois, r.canal_id): r.nb_clients_uniques for r in gold.canal_performance(table).collect()}
+        assert months == {(m, c): known(lambda r: (r[1].month, r[4]) == (m, c)) for m, c in months}
+        days = {r.date_vente: (r.nb_clients_actifs, r.nb_ventes) for r in gold.daily_trend(table).collect()}
+        assert days == {d: (known(lambda r: r[1] == d), sum(r[1] == d for r in rows)) for d in days}
+    plan = final_plan(gold.canal_performance(by_day))
+    assert "Expand" not in plan and "client_id" not in plan
+
+
 def test_approximate_quartiles_stay_close(house):
     per_client = roll_up(house.silver.ventes, "client_id", days=True)
     clients = house.silver.clients

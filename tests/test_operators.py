@@ -100,6 +100,44 @@ def test_a_larger_limit_has_its_own_bar(spark):
     assert found == brute_pairs(rows, 1000, 2, False)
 
 
+@pytest.mark.parametrize("limit", [127, 128, 129, 500])
+def test_the_bar_of_every_limit_prunes(spark, limit):
+    rows = list(uneven(6, 60, 2000, 20_000, hot_item=0.1))
+    counts = item_counts(spark.createDataFrame(rows, "g long, i long, l string"), "g", "i", "l").cache()
+    bounds = pairs._bounds(counts)
+    score = spark.range(1).select(pairs._bar(counts, bounds, limit, 2).alias("bar")).first().bar.score
+    assert bounds.where(F.col("bound") < score).count() > 0
+    assert [tuple(r) for r in top_pairs(counts, limit).collect()] == brute_pairs(rows, limit, 2, False)
+
+
+@pytest.mark.parametrize("cells", [1, 64, 1 << 16])
+def test_cells_lose_no_pair(spark, cells):
+    """With few cells every pair is counted one by one, with more fewer are; the result is the same."""
+    for case in ("even", "hot both", "two labels", "none"):
+        rows = CASES[case]
+        counts = item_counts(spark.createDataFrame(rows, "g long, i long, l string"), "g", "i", "l").cache()
+        assert [tuple(r) for r in top_pairs(counts, cells=cells).collect()] == brute_pairs(rows, 100, 2, False)
+
+
+def test_evenly_popular_items_are_pruned_by_cell(spark):
+    """No item stands out, so the bound prunes none; of 190,000 rows of pairs few are counted one by one."""
+    pick = random.Random(8)
+    rows = [(g, i, "x") for g in range(1000) for i in pick.sample(range(2000), 20)]
+    counts = item_counts(spark.createDataFrame(rows, "g long, i long, l string"), "g", "i", "l").cache()
+    bounds = pairs._bounds(counts)
+    formed = pairs._formed(pairs._side(counts, "a"), pairs._side(counts, "b"), F.lit(True))
+    assert formed.count() == 190_000 and bounds.where("bound < 4").count() < 2000 / 20
+    assert pairs._in_full_cells(formed, F.lit(4), 1 << 20).count() < 190_000 / 20
+    assert [tuple(r) for r in top_pairs(counts, cells=1 << 20).collect()] == brute_pairs(rows, 100, 2, False)
+
+
+def test_cells_are_used_where_pairs_are_many(spark, monkeypatch):
+    counts = item_counts(spark.createDataFrame(CASES["even"], "g long, i long, l string"), "g", "i", "l")
+    assert pairs.cells_for(counts) is None and pairs.cells_for(counts.limit(0)) is None
+    monkeypatch.setattr(pairs, "OUTRIGHT", 1000)
+    assert pairs.cells_for(counts) == pairs.CELLS
+
+
 def test_building_the_pairs_runs_nothing(spark):
     counts = item_counts(spark.createDataFrame([(1, 1, "a"), (1, 2, "b")] * 2, "g long, i long, l string"), "g", "i", "l")
     tracker = spark.sparkContext.statusTracker()
