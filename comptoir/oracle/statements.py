@@ -192,6 +192,13 @@ SELECTS["bronze_audit"] = """
         'part.csv' AS _source_file, 'bronze' AS _layer FROM bronze_produits"""
 SELECTS["src_csv_roundtrip"] = SELECTS["bronze_ventes"]
 SELECTS["src_csv_other_layout"] = SELECTS["bronze_ventes"]
+SELECTS["src_csv_quarantine"] = """
+    SELECT vente_id, CASE WHEN kind > 2 THEN montant::DOUBLE END AS montant,
+        CASE kind WHEN 0 THEN 'fewer cells than the header' WHEN 1 THEN 'more cells than the header'
+            WHEN 2 THEN 'broken quote' END AS reason,
+        CASE kind WHEN 0 THEN whole - 1 - coalesce(length(montant::VARCHAR), 0) WHEN 1 THEN whole + 5 WHEN 2 THEN whole + 1 END::INTEGER AS length
+    FROM (SELECT *, vente_id % 97 AS kind, 6 + length(concat(vente_id, date_vente, client_id, produit_id, canal_id, quantite, montant)) AS whole
+          FROM bronze_ventes)"""
 SELECTS["sink_overwrite_roundtrip"] = "SELECT *, 'silver' AS _layer FROM silver_clients"
 SELECTS["sink_partitioned_pruned_read"] = """
     SELECT date_vente, count(*) AS n, CAST(sum(montant) AS DOUBLE) AS montant FROM silver_ventes

@@ -41,9 +41,11 @@ class Runner:
             self._lines.append((layer, name, "FAILED", 0, str(error)))
 
     def bronze(self, source, files: dict[str, str] | None = None) -> None:
-        """``source`` has one method per bronze table."""
+        """``source`` has one method per bronze table. What it sets aside becomes a table too."""
         for name in BRONZE:
             self._attempt("bronze", name, lambda: getattr(source, name)(), (files or {}).get(name))
+        if getattr(source, "sets_aside", False):
+            self._attempt("bronze", "quarantine", source.quarantined)
 
     def silver(self) -> None:
         tables = Silver(self.stored("bronze"))
@@ -102,13 +104,14 @@ def main() -> None:
     arguments.add_argument("--format", default="iceberg", help="table format of the catalog")
     arguments.add_argument("--by-table", action="store_true", help="landing files lie in raw/{table}/")
     arguments.add_argument("--infer", action="store_true", help="infer column types from the CSV")
+    arguments.add_argument("--quarantine", action="store_true", help="keep lines that are no records in a table of their own")
     arguments.add_argument("--daily-by-date", action="store_true", help="partition the daily gold tables too")
     given = arguments.parse_args()
 
     spark = SparkSession.builder.appName("retail layers").getOrCreate()
     store = TableStore(spark, root=given.root, catalog=given.catalog, format=given.format)
     partition_by = PARTITIONED | DAILY_BY_DATE if given.daily_by_date else PARTITIONED
-    source = LandingTables(spark, given.landing, RAW_FILES if given.by_table else FILES, given.infer)
+    source = LandingTables(spark, given.landing, RAW_FILES if given.by_table else FILES, given.infer, given.quarantine)
     report = run_pipeline(source, store, partition_by=partition_by, input_bytes=folder_bytes(spark, given.landing))
     report.show(100, truncate=False)
     if not given.infer:

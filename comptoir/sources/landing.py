@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from comptoir.sources.lineage import with_lineage
 from comptoir.sources.schemas import SCHEMAS, columns_of, type_of
@@ -16,10 +17,46 @@ RAW_FILES = {name: f"raw/{name}/{name}.csv" for name in SCHEMAS}
 WHOLE = ("BIGINT", "INT")
 
 
-def _text(spark: SparkSession, path: str) -> DataFrame:
+#: Separates nothing in a CSV file, so a line read with it is one cell.
+_NO_SEPARATOR = "\x01"
+#: A quoted cell. What is left of a line without them tells its form.
+_QUOTED = r'(^|,)"(?:[^"\\]|\\.)*+"'
+SHORT, LONG, BROKEN_QUOTE = "fewer cells than the header", "more cells than the header", "broken quote"
+
+
+def _text(spark: SparkSession, path: str, *kept: Column) -> DataFrame:
     """All columns of the header, as text. Files whose header differs are an error."""
     reader = spark.read.option("header", True).option("encoding", "UTF-8")
-    return reader.option("inferSchema", False).option("enforceSchema", False).csv(path)
+    text = reader.option("inferSchema", False).option("enforceSchema", False).csv(path)
+    return text.select("*", *kept) if kept else text
+
+
+def _fault(line: Column, columns: int) -> Column:
+    """Why a line is no record of so many cells; null if it is one."""
+    bare = F.regexp_replace(line, _QUOTED, "$1")
+    cells = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+    return (
+        F.when(bare.rlike('(?:^|,)"'), BROKEN_QUOTE)
+        .when(cells < columns, SHORT).when(cells > columns, LONG))
+
+
+def checked_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The columns of the header, as text, with ``_line`` and ``_fault``: one row per line that is not blank.
+
+    A line is read whole first, so that a bad one can be shown as it is. Files
+    whose header differs are an error. A faulty line has its cells as far as
+    they can be read. Line breaks within quotes are not supported.
+    """
+    whole = spark.read.options(header=True, encoding="UTF-8", sep=_NO_SEPARATOR, quote="", enforceSchema=False)
+    header = whole.csv(path).columns[0]
+    lines = whole.schema(StructType([StructField(header, StringType())])).csv(path)
+    columns = _text(spark, path).columns
+    quoted = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in columns)
+    line = F.col(f"`{header.replace('`', '``')}`")
+    source = F.col("_metadata.file_name")
+    shown = lines.select(line.alias("_line"), _fault(line, len(columns)).alias("_fault"), source.alias("_read_from"))
+    cells = F.from_csv("_line", quoted, {"mode": "PERMISSIVE"}).alias("_cells")
+    return shown.select(cells, "_line", "_fault", "_read_from").select("_cells.*", "_line", "_fault", "_read_from")
 
 
 def _as_declared(name: str, kind: str) -> Column:
@@ -42,13 +79,26 @@ def read_csv(spark: SparkSession, path: str, table: str, infer: bool = False) ->
 
     Columns are found by the header's names, in any order; other columns are
     left out and a missing one is an error. Inference reads the whole input
-    once more, and the types then depend on it.
+    once more, and the types then depend on it. Lines with too few or too many
+    cells are kept as far as they go; ``split_csv`` sets them aside.
     """
     if infer:
         return spark.read.option("header", True).option("encoding", "UTF-8").option("inferSchema", True).csv(path)
     return declared(_text(spark, path), table)
 
 
+def split_csv(spark: SparkSession, path: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted, quarantined) of a landing table: every line that is not blank is in one of them.
+
+    Accepted rows have the declared columns. Quarantined ones are
+    ``table, file, reason, line``, the line as it stands in the file.
+    """
+    lines = checked_lines(spark, path)
+    bad = lines.where("_fault IS NOT NULL").select(
+        F.lit(table).alias("table"), F.col("_read_from").alias("file"), F.col("_fault").alias("reason"), F.col("_line").alias("line"))
+    return declared(lines.where("_fault IS NULL"), table), bad
+
+
 def _check_header(text: DataFrame, table: str) -> None:
     missing = [c for c in columns_of(table) if c not in text.columns]
     if missing:
@@ -73,10 +123,19 @@ def rejects(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 class LandingTables:
-    """Bronze frames over ``{folder}/{file}``, with the file each row came from."""
+    """Bronze frames over ``{folder}/{file}``, with the file each row came from.
 
-    def __init__(self, spark: SparkSession, folder: str, files: Mapping[str, str] = FILES, infer: bool = False):
-        self._spark, self._folder, self._files, self._infer = spark, folder, files, infer
+    With ``quarantine`` lines that are no records are left out of the frames;
+    ``quarantined`` has them.
+    """
+
+    def __init__(
+        self, spark: SparkSession, folder: str, files: Mapping[str, str] = FILES, infer: bool = False, quarantine: bool = False,
+    ):
+        if infer and quarantine:
+            raise ValueError("types are inferred from all lines; quarantine needs declared types")
+        self._spark, self._folder, self._files = spark, folder, files
+        self._infer, self._quarantine = infer, quarantine
 
     def __getattr__(self, table: str) -> Callable[[], DataFrame]:
         if table.startswith("_") or table not in self._files:
@@ -87,12 +146,24 @@ class LandingTables:
             if self._infer:
                 raw = read_csv(self._spark, path, table, infer=True)
                 return with_lineage(raw, "bronze", F.col("_metadata.file_name"))
-            text = _text(self._spark, path)
-            typed = declared(text.select("*", F.col("_metadata.file_name").alias("_read_from")), table, "_read_from")
+            if self._quarantine:
+                text = checked_lines(self._spark, path).where("_fault IS NULL")
+            else:
+                text = _text(self._spark, path, F.col("_metadata.file_name").alias("_read_from"))
+            typed = declared(text, table, "_read_from")
             return with_lineage(typed, "bronze", F.col("_read_from")).drop("_read_from")
 
         return load
 
+    @property
+    def sets_aside(self) -> bool:
+        return self._quarantine
+
+    def quarantined(self) -> DataFrame:
+        """table, file, reason, line of every line of the landing files that is no record."""
+        return reduce(DataFrame.unionAll, (
+            split_csv(self._spark, f"{self._folder}/{file}", table)[1] for table, file in self._files.items()))
+
     def rejects(self) -> DataFrame:
         """table, column, n over all landing files: what the types cost."""
         each = [

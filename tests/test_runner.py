@@ -7,7 +7,7 @@ import pytest
 from comptoir.plans.layers import BRONZE, GOLD, SILVER, register_views
 from comptoir.plans.runner import Runner, run_pipeline, size_shuffles
 from comptoir.plans.serving import REPORTS
-from comptoir.sources.landing import FILES, RAW_FILES, LandingTables, manifest, read_csv, rejects
+from comptoir.sources.landing import FILES, RAW_FILES, LandingTables, manifest, read_csv, rejects, split_csv
 from comptoir.sources.retail_tables import RetailTables
 from comptoir.sources.stores import TableStore
 
@@ -140,6 +140,50 @@ def test_whole_numbers_with_a_point_are_kept_and_bad_cells_counted(spark, tmp_pa
     assert counts == {"vente_id": 0, "date_vente": 1, "client_id": 0, "produit_id": 0, "canal_id": 0, "quantite": 1, "montant": 1}
 
 
+LINES = {
+    "1,web,a": None, '2,"a, b",c': None, "3,,": None, '4,"say \\"x\\"",c': None, "5,un\"mid,c": None, '13,un"mid,"x"': None, '14,"ab"c,d': None, ' 6 , x ,"" ': None,
+    "7,store,b,EXTRA": "more cells than the header", "8": "fewer cells than the header", "9,x": "fewer cells than the header",
+    '10,"open,c': "broken quote", '11,ok,"open': "broken quote", '12,"a\\",b': "broken quote", ",,,": "more cells than the header",
+}
+
+
+def test_lines_that_are_no_records_are_set_aside(spark, tmp_path):
+    """Every line but blank ones is accepted or quarantined, the latter as it stands and with its file."""
+    header, lines = "canal_id,nom,note", list(LINES)
+    landed(tmp_path, "canaux.csv/a.csv", header, *lines[:8], "", "   ")
+    landed(tmp_path, "canaux.csv/b.csv", header, *lines[8:])
+    accepted, bad = split_csv(spark, str(tmp_path / "canaux.csv"), "canaux")
+    assert {r.line: r.reason for r in bad.collect()} == {line: why for line, why in LINES.items() if why}
+    assert {(r.table, r.file) for r in bad.collect()} == {("canaux", "b.csv")}
+    rows = {r.canal_id: r.nom for r in accepted.collect()}
+    assert rows == {1: "web", 2: "a, b", 3: None, 4: 'say "x"', 5: 'un"mid', 6: " x ", 13: 'un"mid', 14: '"ab"c'}
+    assert accepted.count() + bad.count() == len(LINES)
+    tables = LandingTables(spark, str(tmp_path), {"canaux": "canaux.csv"}, quarantine=True)
+    assert tables.canaux().count() == 8 and tables.quarantined().count() == 7
+    assert {r._source_file for r in tables.canaux().collect()} == {"a.csv"}
+
+
+def test_a_later_file_with_another_header_is_no_quarantine(spark, tmp_path):
+    landed(tmp_path, "canaux.csv/a.csv", "canal_id,nom", "1,web")
+    landed(tmp_path, "canaux.csv/b.csv", "nom,canal_id", "web,1")
+    with pytest.raises(Exception, match="(?i)header"):
+        split_csv(spark, str(tmp_path / "canaux.csv"), "canaux")[1].collect()
+
+
+def test_the_pipeline_keeps_a_quarantine_table(spark, folder, tmp_path):
+    source = RetailTables(spark, folder)
+    for name in BRONZE:
+        getattr(source, name)().write.option("header", True).csv(f"{tmp_path}/landing/{FILES[name]}")
+    (tmp_path / "landing" / FILES["canaux"] / "more.csv").write_text("canal_id,nom\n77,x,y\n78\n79,z\n")
+    store = TableStore(spark, root=f"{tmp_path}/tables", database_prefix="q_")
+    runner = Runner(store)
+    runner.bronze(LandingTables(spark, f"{tmp_path}/landing", quarantine=True))
+    assert {r.line for r in store.read("bronze", "quarantine").collect()} == {"77,x,y", "78"}
+    status = {(r.layer, r.table): (r.status, r.rows) for r in runner.report().collect()}
+    assert status[("bronze", "quarantine")] == ("OK", 2)
+    assert store.read("bronze", "canaux").where("canal_id >= 77").count() == 1
+
+
 def test_a_later_file_with_another_header_is_an_error(spark, tmp_path):
     landed(tmp_path, "canaux.csv/a.csv", "canal_id,nom", "1,web")
     landed(tmp_path, "canaux.csv/b.csv", "nom,canal_id", "web,1")
