@@ -7,7 +7,9 @@ runs a cascade of transducers over the text:
 1. homoglyphs (letters and digits of other scripts and styles) become ASCII,
    invisible characters vanish, letters among many digits become digits;
 2. spelled digits become digits, with "plus" and "dot" between them;
-3. "at" and "dot" in words, brackets or between spaces become "@" and ".".
+3. "at" and "dot" in words, brackets or between spaces become "@" and ".". A word
+   for the dot makes an address only with "@" or the word for it in its own language,
+   and, like a dot between spaces, only before a top-level domain.
 
 Every transducer keeps, for each character it writes, the source characters it
 stands for. The base detectors run again on the result, and a span that holds
@@ -108,9 +110,17 @@ DIGIT_NAMES = (
     ("zéro", "un", "deux", "trois", "quatre", "cinq", "six", "sept", "huit", "neuf"),
     ("cero", "uno", "dos", "tres", "cuatro", "cinco", "seis", "siete", "ocho", "nueve"),
 )
-AT_NAMES = ("at", "arroba", "arobase", "klammeraffe")
-DOT_NAMES = ("dot", "punto", "punkt", "point")
+#: Words for "@" and ".", by language.
+AT_NAMES = {"at": ("en", "de"), "klammeraffe": ("de",), "arobase": ("fr",), "arroba": ("es",)}
+DOT_NAMES = {"dot": ("en",), "punkt": ("de",), "point": ("fr",), "punto": ("es",)}
 PLUS_NAMES = ("plus", "más", "mas")
+#: Ends of host names after a spelled or spaced dot; those that are everyday words (in, it, me, so ...) are left out.
+TOP_LEVEL = frozenset((
+    "com org net edu gov mil info biz io ai co dev app cloud online site store tech xyz blog shop email eu "
+    "ac ad ae af ag ar au az ba bd bg bh bo br bw by bz ca cd cf cg ch ci cl cm cn cr cu cy cz de dj dk dz ec ee eg es et "
+    "fi fj fr ge gh gr gt hk hn hr hu id ie il iq ir jm jo jp ke kg kh kr kw kz lb lk lt lu lv ly md mg mk mm mt mx mz "
+    "ng ni nl np nz pe pg ph pk pl pt py qa ro rs ru rw sa sd sg sk sn sv sy th tj tm tn tr tw tz ua ug uk uy uz ve vn ye za zm zw"
+).split())
 
 # -- transducers ----------------------------------------------------------------------------
 
@@ -118,14 +128,23 @@ _DIGITS = {name: str(i) for names in DIGIT_NAMES for i, name in enumerate(names)
 _any = lambda names: "(?:" + "|".join(sorted(map(re.escape, names), key=len, reverse=True)) + ")"
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _NAME = rf"\b{_any(_DIGITS)}\b"
-_DOT_WORD = rf"\s*{_OPEN}\s*(?:{_any(DOT_NAMES)}|\.)\s*{_CLOSE}\s*|\s+{_any(DOT_NAMES)}\s+"
-_ITEM = rf"(?:{_NAME}|[0-9]+)"
+_DOT_WORD = rf"\s*+{_OPEN}\s*+(?:{_any(DOT_NAMES)}|\.)\s*+{_CLOSE}\s*+|\s++{_any(DOT_NAMES)}\s++"
+_ITEM = rf"(?:{_NAME}|[0-9]++)"
 _BETWEEN = rf"(?:{_DOT_WORD}|[ \t,.-]{{1,3}})"
 #: Three or more digits, at least one of them spelled first or after a plus or digits.
-_SPELLED = re.compile(rf"(?:\b{_any(PLUS_NAMES)}\s+|\+\s*)?(?:[0-9]+{_BETWEEN}){{0,19}}{_NAME}(?:{_BETWEEN}{_ITEM}){{2,}}", re.I)
+_SPELLED = re.compile(
+    rf"(?:\b{_any(PLUS_NAMES)}\s++|\+\s*+)?+(?:(?<![0-9])[0-9]++{_BETWEEN}){{0,19}}{_NAME}(?:{_BETWEEN}{_ITEM}){{2,}}", re.I)
 _SPELLED_PART = re.compile(rf"(?P<plus>\b{_any(PLUS_NAMES)}\b|\+)|(?P<dot>{_DOT_WORD}|\.)|(?P<name>{_NAME})|(?P<digits>[0-9]+)", re.I)
-_AT = re.compile(rf"\s*{_OPEN}\s*(?:{_any(AT_NAMES)}|@)\s*{_CLOSE}\s*|\s+@\s*|@\s+|(?P<weak>\s+{_any(AT_NAMES)}\s+)", re.I)
-_DOT = re.compile(rf"{_DOT_WORD}|(?<=[A-Za-z0-9])\s+\.\s+(?=[A-Za-z0-9])", re.I)
+#: What may stand for "@" or "."; the blanks around it are found from there, so a run of blanks is read once.
+_AT = re.compile(rf"(?P<bracketed>{_OPEN}\s*+(?:{_any(AT_NAMES)}|@)\s*+{_CLOSE})|@|\b(?P<word>{_any(AT_NAMES)})\b", re.I)
+_DOT = re.compile(rf"(?P<bracketed>{_OPEN}\s*+(?:{_any(DOT_NAMES)}|\.)\s*+{_CLOSE})|(?<=\s)\.(?=\s)|\b(?P<word>{_any(DOT_NAMES)})\b", re.I)
+_BLANKS = re.compile(r"\s*+")
+_ALPHANUMERIC = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+#: Marks of rewritten characters: a disguise by itself, a dot between spaces, or a word of these languages.
+STRONG, SPACED = 1, 2
+_LANGUAGE = {"en": 4, "de": 8, "fr": 16, "es": 32}
+_marks = lambda names: {name: sum(_LANGUAGE[x] for x in languages) for name, languages in names.items()}
+_AT_MARKS, _DOT_MARKS = _marks(AT_NAMES), _marks(DOT_NAMES)
 #: A long number in which some digits are the letters O, o, I or l.
 _LETTERED = re.compile(r"(?<![A-Za-z0-9])\+?[0-9OoIl](?:[ ().-]{0,2}[0-9OoIl]){8,22}(?![A-Za-z0-9])")
 _LIKE_DIGITS = str.maketrans("OoIl", "0011")
@@ -167,57 +186,122 @@ def _foreign(text: str) -> np.ndarray:
 
 
 class Rewritten:
-    """A text with, per character, the source it stands for and whether a rewriting made it."""
+    """A text with, per character, the source it stands for and the mark of the rewriting that made it."""
 
     def __init__(self, text: str):
         self.text = text
         self.start = np.arange(len(text))
         self.end = self.start + 1
-        self.strong = np.zeros(len(text), bool)
+        self.marks = np.zeros(len(text), np.int8)
 
-    def rewrite(self, edits: list[tuple[int, int, str, bool]]) -> None:
-        """Replaces (start, end, new text, whether it counts as a disguise by itself); in order, apart."""
-        texts, starts, ends, strong, free = [], [], [], [], 0
-        for first, last, new, counts in edits:
+    def rewrite(self, edits: list[tuple[int, int, str, int]]) -> None:
+        """Replaces (start, end, new text, its mark); in order, apart."""
+        texts, starts, ends, marks, free = [], [], [], [], 0
+        for first, last, new, mark in edits:
             texts += [self.text[free:first], new]
             starts += [self.start[free:first], np.full(len(new), self.start[first])]
             ends += [self.end[free:first], np.full(len(new), self.end[last - 1])]
-            strong += [self.strong[free:first], np.full(len(new), counts)]
+            marks += [self.marks[free:first], np.full(len(new), mark, np.int8)]
             free = last
         self.text = "".join([*texts, self.text[free:]])
         self.start = np.concatenate([*starts, self.start[free:]])
         self.end = np.concatenate([*ends, self.end[free:]])
-        self.strong = np.concatenate([*strong, self.strong[free:]])
+        self.marks = np.concatenate([*marks, self.marks[free:]])
         written = 0
         for part, (_, _, new, _) in zip(texts[::2], edits):
             written += len(part) + len(new)
             if not new:  # what vanished marks its neighbours
-                self.strong[max(0, written - 1):written + 1] = True
+                self.marks[max(0, written - 1):written + 1] = STRONG
 
 
 def _spelled(match: re.Match) -> str:
     written = []
     for part in _SPELLED_PART.finditer(match[0]):
         kind = part.lastgroup
-        written.append("+" if kind == "plus" else "." if kind == "dot" else _DIGITS.get(part[0].lower(), part[0]))
+        written.append("+" if kind == "plus" else "." if kind == "dot" else _DIGITS.get(_plain(part[0]), part[0]))
     return "".join(written)
 
 
+def _plain(word: str) -> str:
+    """In lower case; "İ" is matched as an "i", but lower() makes two characters of it."""
+    return word.lower().replace("\u0307", "")
+
+
+def _with_blanks(text: str, match: re.Match, free: int) -> tuple[int, int]:
+    """The match with the blanks around it, not before ``free``."""
+    start = match.start()
+    while start > free and text[start - 1].isspace():
+        start -= 1
+    return start, _BLANKS.match(text, match.end()).end()
+
+
+def _ats(text: str) -> Iterator[tuple[int, int, str, int]]:
+    free = 0
+    for match in _AT.finditer(text):
+        start, end = _with_blanks(text, match, free)
+        before, after = start < match.start(), match.end() < end
+        word = match["word"]
+        if match["bracketed"] or (before and after if word else before or after):
+            yield start, end, "@", _AT_MARKS[_plain(word)] if word else STRONG
+            free = end
+
+
+def _dots(text: str) -> Iterator[tuple[int, int, str, int]]:
+    free = 0
+    for match in _DOT.finditer(text):
+        start, end = _with_blanks(text, match, free)
+        apart = start < match.start() and match.end() < end
+        word = match["word"]
+        if not (match["bracketed"] or word):
+            apart = apart and 0 < start and text[start - 1] in _ALPHANUMERIC and end < len(text) and text[end] in _ALPHANUMERIC
+        if match["bracketed"] or apart:
+            yield start, end, ".", STRONG if match["bracketed"] else _DOT_MARKS[_plain(word)] if word else SPACED
+            free = end
+
+
 def deobfuscated(text: str) -> Rewritten:
     rewritten = Rewritten(text)
     likes = _ascii_likes()
-    rewritten.rewrite([(i, i + 1, likes[ord(text[i])], True) for i in _foreign(text).tolist()])
+    rewritten.rewrite([(i, i + 1, likes[ord(text[i])], STRONG) for i in _foreign(text).tolist()])
     lettered = [m for m in _LETTERED.finditer(rewritten.text) if _number_of_digits(m[0]) >= 5 and m[0] != m[0].translate(_LIKE_DIGITS)]
-    for m in lettered:  # characters stand one for one
-        new = m[0].translate(_LIKE_DIGITS)
-        rewritten.text = rewritten.text[:m.start()] + new + rewritten.text[m.end():]
-        rewritten.strong[m.start():m.end()] |= [a != b for a, b in zip(m[0], new)]
-    rewritten.rewrite([(m.start(), m.end(), _spelled(m), True) for m in _SPELLED.finditer(rewritten.text)])
-    rewritten.rewrite([(m.start(), m.end(), "@", m["weak"] is None) for m in _AT.finditer(rewritten.text)])
-    rewritten.rewrite([(m.start(), m.end(), ".", True) for m in _DOT.finditer(rewritten.text)])
+    rewritten.rewrite([
+        (m.start() + i, m.start() + i + 1, new, STRONG) for m in lettered
+        for i, (old, new) in enumerate(zip(m[0], m[0].translate(_LIKE_DIGITS))) if old != new])
+    rewritten.rewrite([(m.start(), m.end(), _spelled(m), STRONG) for m in _SPELLED.finditer(rewritten.text)])
+    rewritten.rewrite(list(_ats(rewritten.text)))
+    rewritten.rewrite(list(_dots(rewritten.text)))
     return rewritten
 
 
+def _disguised_email(rewritten: Rewritten, start: int, end: int) -> Span | None:
+    """The part of a detected address that is a disguise, if any."""
+    text, marks = rewritten.text, rewritten.marks
+    at = text.index("@", start)
+    dot = text.rfind(".", at, end)
+    # Behind a word for the dot, or one between spaces, the sentence may go on.
+    while marks[dot] > STRONG and text[dot + 1:end].lower() not in TOP_LEVEL:
+        end, dot = dot, text.rfind(".", at, dot)
+        if dot < 0:
+            return None
+    dots = [int(marks[i]) for i in range(at, end) if text[i] == "."]
+    weak = [mark for mark in dots if mark > STRONG]
+    if marks[at] > STRONG:
+        if any(not mark & marks[at] for mark in weak):
+            return None
+        if not (marks[start:end] == STRONG).any() and len(weak) < len(dots):
+            return None
+    return (start, end) if marks[start:end].any() else None
+
+
+def _disguises(rewritten: Rewritten) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of the rewritten text, for what only rewriting brings to light."""
+    for kind, spans in detect(rewritten.text).items():
+        for start, end in spans:
+            span = _disguised_email(rewritten, start, end) if kind == "email" else (start, end)
+            if span and rewritten.marks[span[0]:span[1]].any():
+                yield kind, *span
+
+
 def _disguised(text: str) -> bool:
     """Whether any transducer finds a disguise, or may find one; cheap signs first, as most texts have none.
 
@@ -248,10 +332,8 @@ def find(text: str | None) -> tuple[dict[str, list[Span]], dict[str, list[Span]]
         return base, base
     rewritten = deobfuscated(text)
     every = {kind: set(spans) for kind, spans in base.items()}
-    for kind, spans in detect(rewritten.text).items():
-        for start, end in spans:
-            if rewritten.strong[start:end].any():
-                every[kind].add((int(rewritten.start[start]), int(rewritten.end[end - 1])))
+    for kind, start, end in _disguises(rewritten):
+        every[kind].add((int(rewritten.start[start]), int(rewritten.end[end - 1])))
     return base, {kind: sorted(spans) for kind, spans in every.items()}
 
 

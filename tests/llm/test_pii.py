@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -61,6 +62,9 @@ def test_disguises_are_found_at_their_source(text, kind, found):
 @pytest.mark.parametrize("text", [
     "look at google.com", "we met at noon. Then we left", "one two or three (at) most", "un un un un un", "", None,
     "The dot at the end.", "№ 5 · 6 – 7",
+    "We arrived at this point in the story", "He was at one point the mayor", "She met us at some point last year",
+    "We looked at a dot on the wall", "It is at home . The end", "nous sommes arrivés au point de départ",
+    "look at my dot in it", "Come at noon point blank", "met @ noon point blank", "at that point com",
 ])
 def test_clean_text_stays_clean(text):
     base, every = pii.find(text)
@@ -91,9 +95,67 @@ def test_the_gate_changes_nothing(monkeypatch):
         assert got == every, text
 
 
-def test_long_texts_take_time_in_proportion():
-    for piece in ("a", "1", "a.a", " at ", "one ", "(", "@", "+1 "):
-        pii.find(piece * 20_000)
+SHAPES = {"words for the dot": ("en", "dot", "at"), "German": ("de", "punkt", "at"), "French": ("fr", "point", "arobase"), "Spanish": ("es", "punto", "arroba")}
+
+
+@pytest.mark.parametrize("shape", [*SHAPES, "brackets", "homoglyphs", "invisible", "spaces", "mixed"])
+def test_planted_disguises_are_found_at_their_source(shape):
+    """Addresses disguised by the inverse of the transducers, between words of a sentence."""
+    pick = random.Random(shape)
+    name = lambda: "".join(pick.choice("abcdefghkmnoprstuvw") for _ in range(pick.randint(3, 9)))
+    looks_like = {b: a for a, b in pii.HOMOGLYPHS.items() if b.isalpha()}
+    for _ in range(300):
+        plain = f"{name()}@{name()}.{pick.choice(['com', 'org', 'de', 'co.uk', 'info'])}"
+        if shape in SHAPES:
+            _, dot, at = SHAPES[shape]
+            case = pick.choice([str, str.upper, str.capitalize])
+            hidden = plain.replace("@", f" {case(at)} ").replace(".", f" {case(dot)}{pick.choice([' ', '  '])}")
+        elif shape == "brackets":
+            a, b = pick.choice(["()", "[]", "{}", "<>"])
+            hidden = plain.replace("@", f"{a}at{b}").replace(".", f" {a} dot {b} ")
+        elif shape == "homoglyphs":
+            places = [i for i, c in enumerate(plain) if c in looks_like]
+            chosen = set(pick.sample(places, max(1, len(places) // 2)))
+            hidden = "".join(looks_like[c] if i in chosen else c for i, c in enumerate(plain))
+        elif shape == "invisible":
+            i = pick.randrange(1, len(plain))
+            hidden = plain[:i] + pick.choice(pii.INVISIBLE) + plain[i:]
+        elif shape == "spaces":
+            hidden = plain.replace("@", " @ ").replace(".", " . ")
+        else:
+            hidden = plain.replace("@", pick.choice([" (at) ", "[@]", " @"]), 1).replace(".", " dot ")
+        text = f"please write, {hidden} , before noon"
+        _, every = pii.find(text)
+        assert [text[a:b] for a, b in every["email"]][-1:] == [hidden] or hidden in [text[a:b] for a, b in every["email"]], (text, every)
+
+
+def test_clean_documents_stay_clean(spark, folder):
+    """Whole texts without base spans of their kind and without any sign but words."""
+    for row in spark.read.parquet(f"{folder}/documents.parquet").collect():
+        words = " ".join(w for w in (row.text or "").split() if w.isalpha() and w.isascii())
+        assert not any(pii.find(words)[1].values()), words[:200]
+
+
+@pytest.mark.parametrize("sign", ["", "–", "one ", "(at) ", "dot "])
+@pytest.mark.parametrize("piece", [
+    "a", "1", "a.a", " at ", "one ", "(", "@", "+1 ", " ", "\n", "\t ", "1 ", "(  ", " . ", "plus  ", "1 . ", "O1", "+ ", "one  dot ", " \u00a0", "11.", "point "])
+def test_long_texts_take_time_in_proportion(piece, sign):
+    """Four times the text in about four times the time, whatever it repeats."""
+    def seconds(n: int) -> float:
+        text, start = sign + piece * (n // len(piece)), time.perf_counter()
+        pii.find(text)
+        return time.perf_counter() - start
+
+    pii.find(sign + piece)
+    short = min(seconds(25_000) for _ in range(2))
+    assert seconds(100_000) < 10 * short + 0.1
+
+
+@pytest.mark.parametrize("text", ["–" + " " * 2_000_000, "one " + "7" * 2_000_000, "(at)" + "\n" * 2_000_000])
+def test_two_million_blanks_digits_or_line_breaks(text):
+    start = time.perf_counter()
+    pii.find(text)
+    assert time.perf_counter() - start < 4
 
 
 def test_frame(spark):
