@@ -184,6 +184,20 @@ SELECTS["quality_report"] = " UNION ALL ".join(
     f" (SELECT count(*) FROM bronze_{t}) - (SELECT count(*) FROM silver_{t}) AS removed"
     for t in ["clients", "produits", "ventes", "stocks", "retours", "canaux"])
 
+BLANK = {"clients": ["ville", "segment", "nom", "prenom"], "produits": ["categorie", "marque", "nom"],
+         "stocks": ["depot"], "retours": ["motif"], "canaux": ["nom"]}
+CELLS = {
+    "produits": ["prix IS NULL OR prix <= 0"], "stocks": ["quantite_disponible IS NULL"],
+    "ventes": ["montant IS NULL OR montant <= 0", "quantite IS NULL OR quantite <= 0"]}
+SELECTS["cleaning_report"] = " UNION ALL ".join(f"""
+    SELECT {text(t)} AS "table", (SELECT count(*) FROM bronze_{t}) AS read, (SELECT count(*) FROM bronze_{t}) - count(*) AS duplicate,
+        {whole(' + '.join([f"count_if(coalesce(trim({c}), '') = '')" for c in BLANK.get(t, [])] + [f"count_if({c})" for c in CELLS.get(t, [])]))} AS defaulted,
+        {whole("count_if(quantite_disponible < 0)" if t == "stocks" else "0")} AS clamped,
+        {whole("count_if(date_vente IS NULL OR client_id IS NULL OR produit_id IS NULL)" if t == "ventes" else "0")} AS dropped,
+        (SELECT count(*) FROM silver_{t}) AS written FROM {one}"""
+    for t, one in [("clients", "one_client"), ("produits", "one_produit"), ("ventes", "one_vente"),
+                   ("stocks", "one_stock"), ("retours", "one_retour"), ("canaux", "one_canal")])
+
 # -- sources and sinks --------------------------------------------------------------
 
 SELECTS["bronze_audit"] = """

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from comptoir.operators.totals import roll_up, roll_up_clients
 from comptoir.plans import gold, silver
+from comptoir.plans.watch import Watch
 from comptoir.sources.stores import written
 
 BRONZE = ("clients", "produits", "ventes", "stocks", "retours", "canaux")
@@ -63,32 +64,35 @@ class Bronze(Tables):
 
 
 class Silver(Tables):
-    def __init__(self, bronze: Tables):
+    """``watches`` has the observers of the tables that are to be observed."""
+
+    def __init__(self, bronze: Tables, watches: dict[str, Watch] | None = None):
         self._bronze = bronze
+        self._watches = watches or {}
 
     @cached_property
     def clients(self) -> DataFrame:
-        return silver.clients(self._bronze.clients)
+        return silver.clients(self._bronze.clients, self._watches.get("clients"))
 
     @cached_property
     def produits(self) -> DataFrame:
-        return silver.produits(self._bronze.produits)
+        return silver.produits(self._bronze.produits, watch=self._watches.get("produits"))
 
     @cached_property
     def ventes(self) -> DataFrame:
-        return silver.ventes(self._bronze.ventes, self._bronze.canaux, self._bronze.produits)
+        return silver.ventes(self._bronze.ventes, self._bronze.canaux, self._bronze.produits, self._watches.get("ventes"))
 
     @cached_property
     def stocks(self) -> DataFrame:
-        return silver.stocks(self._bronze.stocks)
+        return silver.stocks(self._bronze.stocks, self._watches.get("stocks"))
 
     @cached_property
     def retours(self) -> DataFrame:
-        return silver.retours(self._bronze.retours, self._bronze.ventes)
+        return silver.retours(self._bronze.retours, self._bronze.ventes, self._watches.get("retours"))
 
     @cached_property
     def canaux(self) -> DataFrame:
-        return silver.canaux(self._bronze.canaux)
+        return silver.canaux(self._bronze.canaux, self._watches.get("canaux"))
 
 
 class Gold(Tables):

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from comptoir.functions import calendar, numbers, text
 from comptoir.functions.geography import region_of
 from comptoir.plans import silver
-from comptoir.plans.layers import BRONZE, Tables
+from comptoir.plans.layers import BRONZE, SILVER, Silver, Tables
+from comptoir.plans.watch import REPORT, Watch
 
 
 def blank_defaults(bronze: Tables) -> DataFrame:
@@ -97,6 +98,17 @@ def row_counts(bronze: Tables, silver_tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionAll, map(counted, BRONZE))
 
 
+def cleaning_report(bronze: Tables) -> DataFrame:
+    """What the rules did to each silver table, observed in one evaluation of each."""
+    lines = []
+    for name in SILVER:
+        watch, seen = Watch(name), Observation()
+        table = Silver(bronze, {name: watch})[name].observe(seen, F.count(F.lit(1)).alias("rows"))
+        table.write.format("noop").mode("overwrite").save()
+        lines.append(watch.line(seen.get["rows"]))
+    return bronze.ventes.sparkSession.createDataFrame(lines, REPORT)
+
+
 RULES = {
     "clean_blank_default": blank_defaults,
     "clean_numeric_default": numeric_defaults,

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from comptoir.plans.layers import BRONZE, GOLD, ROLLUPS, SILVER, Gold, Silver, StoredTables, Tables
+from comptoir.plans.watch import REPORT as CLEANING, Watch
 from comptoir.sources.landing import FILES, RAW_FILES, LandingTables, folder_bytes
 from comptoir.sources.stores import TableStore, written
 
@@ -32,11 +33,16 @@ class Runner:
         self.store = store
         self._partition_by = partition_by
         self._lines: list[tuple] = []
+        self._cleaned: list[tuple] = []
 
-    def _attempt(self, layer: str, name: str, build: Callable[[], DataFrame], source: str | None = None) -> None:
+    def _attempt(
+        self, layer: str, name: str, build: Callable[[], DataFrame], source: str | None = None, watch: Watch | None = None,
+    ) -> None:
         try:
             rows = self.store.write(build(), layer, name, self._partition_by.get((layer, name)), source)
             self._lines.append((layer, name, "OK", rows, None))
+            if watch:
+                self._cleaned.append(watch.line(rows))
         except Exception as error:  # one table's failure is reported, not raised
             self._lines.append((layer, name, "FAILED", 0, str(error)))
 
@@ -48,9 +54,10 @@ class Runner:
             self._attempt("bronze", "quarantine", source.quarantined)
 
     def silver(self) -> None:
-        tables = Silver(self.stored("bronze"))
+        watches = {name: Watch(name) for name in SILVER}
+        tables = Silver(self.stored("bronze"), watches)
         for name in SILVER:
-            self._attempt("silver", name, lambda: tables[name])
+            self._attempt("silver", name, lambda: tables[name], watch=watches[name])
 
     def gold(self) -> None:
         """Fourteen of the tables come from four roll-ups, so the sales are read
@@ -69,6 +76,10 @@ class Runner:
     def stored(self, layer: str) -> Tables:
         return StoredTables(lambda name: self.store.read(layer, name))
 
+    def cleaning(self) -> DataFrame:
+        """What the rules did to each silver table, observed in the jobs that wrote it."""
+        return self.store.spark.createDataFrame(self._cleaned, CLEANING)
+
     def report(self) -> DataFrame:
         """One line per table written so far."""
         return self.store.spark.createDataFrame(self._lines, REPORT)
@@ -77,15 +88,15 @@ class Runner:
 def run_pipeline(
     source, store: TableStore, files: dict[str, str] | None = None,
     partition_by: dict[tuple[str, str], str] = PARTITIONED, input_bytes: int | None = None,
-) -> DataFrame:
-    """Runs all layers. With ``input_bytes`` the shuffles are sized for that input first."""
+) -> Runner:
+    """Runs all layers; the runner has the reports. With ``input_bytes`` the shuffles are sized for that input first."""
     if input_bytes is not None:
         size_shuffles(store.spark, input_bytes)
     runner = Runner(store, partition_by)
     runner.bronze(source, files)
     runner.silver()
     runner.gold()
-    return runner.report()
+    return runner
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
@@ -112,8 +123,10 @@ def main() -> None:
     store = TableStore(spark, root=given.root, catalog=given.catalog, format=given.format)
     partition_by = PARTITIONED | DAILY_BY_DATE if given.daily_by_date else PARTITIONED
     source = LandingTables(spark, given.landing, RAW_FILES if given.by_table else FILES, given.infer, given.quarantine)
-    report = run_pipeline(source, store, partition_by=partition_by, input_bytes=folder_bytes(spark, given.landing))
+    runner = run_pipeline(source, store, partition_by=partition_by, input_bytes=folder_bytes(spark, given.landing))
+    report = runner.report()
     report.show(100, truncate=False)
+    runner.cleaning().show(truncate=False)
     if not given.infer:
         source.rejects().where("n > 0").show(100, truncate=False)
     for line in report.where("status = 'OK' AND layer = 'bronze'").collect():

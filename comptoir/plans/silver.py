@@ -3,6 +3,7 @@
 Rules apply in the order written; a default set before a case change is
 changed with the rest of the column. Lookups take the raw values of the other
 bronze table, one row per key, so repeated lookup rows never multiply facts.
+``watch`` observes what the rules do while the table is written.
 """
 
 from __future__ import annotations
@@ -16,17 +17,19 @@ from comptoir.functions.text import capitals, or_default, title
 from comptoir.operators.dedup import one_per_key
 from comptoir.operators.lookups import lookup_join
 from comptoir.operators.quantiles import quantiles
+from comptoir.plans.watch import COPIES, Watch
 from comptoir.sources.lineage import without_lineage
 from comptoir.sources.schemas import REQUIRED, columns_of
 
 
-def survivors(bronze: DataFrame, table: str, *keys: str) -> DataFrame:
+def survivors(bronze: DataFrame, table: str, *keys: str, watch: Watch | None = None) -> DataFrame:
     """One row per key of a bronze table, the most complete one."""
-    return one_per_key(without_lineage(bronze), *keys, required=REQUIRED.get(table, ()), order=columns_of(table))
+    rows, rule = without_lineage(bronze), {"required": REQUIRED.get(table, ()), "order": columns_of(table)}
+    return watch(one_per_key(rows, *keys, copies=COPIES, **rule)) if watch else one_per_key(rows, *keys, **rule)
 
 
-def clients(bronze: DataFrame) -> DataFrame:
-    known = survivors(bronze, "clients", "client_id")
+def clients(bronze: DataFrame, watch: Watch | None = None) -> DataFrame:
+    known = survivors(bronze, "clients", "client_id", watch=watch)
     cleaned = known.withColumns({
         "ville": title(or_default(F.col("ville"), "Inconnu")),
         "segment": capitals(or_default(F.col("segment"), "Standard")),
@@ -44,9 +47,9 @@ def median_price(bronze_produits: DataFrame, exact: bool = True):
     return middle.select((F.col("cents")[0] / 100).cast(MONEY)).scalar()
 
 
-def produits(bronze: DataFrame, exact_median: bool = True) -> DataFrame:
+def produits(bronze: DataFrame, exact_median: bool = True, watch: Watch | None = None) -> DataFrame:
     price = F.col("prix").cast(MONEY)
-    return survivors(bronze, "produits", "produit_id").withColumns({
+    return survivors(bronze, "produits", "produit_id", watch=watch).withColumns({
         "categorie": title(or_default(F.col("categorie"), "Non classé")),
         "marque": title(or_default(F.col("marque"), "Inconnue")),
         "nom": F.trim(or_default(F.col("nom"), "Produit Inconnu")),
@@ -54,9 +57,9 @@ def produits(bronze: DataFrame, exact_median: bool = True) -> DataFrame:
     })
 
 
-def sales_without_lookups(bronze: DataFrame) -> DataFrame:
+def sales_without_lookups(bronze: DataFrame, watch: Watch | None = None) -> DataFrame:
     """Deduplicated, repaired sales that have a date, a client and a product."""
-    repaired = survivors(bronze, "ventes", "vente_id").withColumns({
+    repaired = survivors(bronze, "ventes", "vente_id", watch=watch).withColumns({
         "date_vente": to_day(F.col("date_vente")),
         "montant": positive_or(F.col("montant").cast(MONEY), F.lit(0).cast(MONEY)),
         "quantite": positive_or(F.col("quantite"), F.lit(1)),
@@ -78,33 +81,36 @@ def with_product(ventes: DataFrame, bronze_produits: DataFrame) -> DataFrame:
     return lookup_join(ventes, goods, "produit_id").fillna("Non classé", "categorie_produit")
 
 
-def ventes(bronze: DataFrame, bronze_canaux: DataFrame, bronze_produits: DataFrame) -> DataFrame:
-    kept = sales_without_lookups(bronze)
+def ventes(
+    bronze: DataFrame, bronze_canaux: DataFrame, bronze_produits: DataFrame, watch: Watch | None = None,
+) -> DataFrame:
+    kept = sales_without_lookups(bronze, watch)
     return with_product(with_channel(kept, bronze_canaux), bronze_produits)
 
 
-def stocks(bronze: DataFrame) -> DataFrame:
-    return survivors(bronze, "stocks", "produit_id", "depot").withColumns({
+def stocks(bronze: DataFrame, watch: Watch | None = None) -> DataFrame:
+    return survivors(bronze, "stocks", "produit_id", "depot", watch=watch).withColumns({
         "depot": title(or_default(F.col("depot"), "Dépôt Inconnu")),
         "quantite_disponible": not_negative(F.col("quantite_disponible")),
     })
 
 
-def returns_without_lookups(bronze: DataFrame) -> DataFrame:
-    return survivors(bronze, "retours", "retour_id").withColumns({
+def returns_without_lookups(bronze: DataFrame, watch: Watch | None = None) -> DataFrame:
+    return survivors(bronze, "retours", "retour_id", watch=watch).withColumns({
         "date_retour": to_day(F.col("date_retour")),
         "motif": title(or_default(F.col("motif"), "Non spécifié")),
     })
 
 
-def with_sale(retours: DataFrame, bronze_ventes: DataFrame) -> DataFrame:
+def with_sale(retours: DataFrame, bronze_ventes: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """The raw sale of each return, chosen as in silver_ventes when repeated.
 
     Few sales are returned, so the others go before the survivors are chosen.
     Both sides of the last join are nearly unique by key and are placed by it
-    already, so it needs no shuffle of the sales.
+    already, so it needs no shuffle of the sales. ``wanted`` gives the vente_id
+    of the returns where ``retours`` is to be evaluated only once.
     """
-    wanted = retours.select("vente_id").distinct()
+    wanted = (retours if wanted is None else wanted).select("vente_id").distinct()
     sold = survivors(bronze_ventes.join(wanted, "vente_id", "left_semi"), "ventes", "vente_id").select(
         "vente_id", F.col("montant").cast(MONEY).alias("montant_retour"), "canal_id", "client_id"
     )
@@ -113,10 +119,11 @@ def with_sale(retours: DataFrame, bronze_ventes: DataFrame) -> DataFrame:
     return joined.select(*retours.columns, "montant_retour", "canal_id", "client_id")
 
 
-def retours(bronze: DataFrame, bronze_ventes: DataFrame) -> DataFrame:
-    return with_sale(returns_without_lookups(bronze), bronze_ventes)
+def retours(bronze: DataFrame, bronze_ventes: DataFrame, watch: Watch | None = None) -> DataFrame:
+    # An observed plan must occur once. All copies of a return may name a sale, so bronze names all that is wanted.
+    return with_sale(returns_without_lookups(bronze, watch), bronze_ventes, wanted=bronze if watch else None)
 
 
-def canaux(bronze: DataFrame) -> DataFrame:
-    known = survivors(bronze, "canaux", "canal_id")
+def canaux(bronze: DataFrame, watch: Watch | None = None) -> DataFrame:
+    known = survivors(bronze, "canaux", "canal_id", watch=watch)
     return known.withColumn("nom", or_default(capitals(F.col("nom")), "INCONNU"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from comptoir.plans.layers import BRONZE, GOLD, SILVER, register_views
+from comptoir.plans.rules import cleaning_report
 from comptoir.plans.runner import Runner, run_pipeline, size_shuffles
 from comptoir.plans.serving import REPORTS
 from comptoir.sources.landing import FILES, RAW_FILES, LandingTables, manifest, read_csv, rejects, split_csv
@@ -12,6 +13,9 @@ from comptoir.sources.retail_tables import RetailTables
 from comptoir.sources.stores import TableStore
 
 
+CLEANED: dict = {}
+
+
 @pytest.fixture(scope="module")
 def done(spark, folder, tmp_path_factory):
     """Driver tables written as CSV landing files, then the whole pipeline."""
@@ -20,8 +24,9 @@ def done(spark, folder, tmp_path_factory):
     for name in BRONZE:
         getattr(source, name)().write.option("header", True).csv(f"{base}/landing/{FILES[name]}")
     store = TableStore(spark, root=f"{base}/tables", database_prefix="t_")
-    report = run_pipeline(LandingTables(spark, f"{base}/landing"), store)
-    return store, report, f"{base}/landing"
+    runner = run_pipeline(LandingTables(spark, f"{base}/landing"), store)
+    CLEANED[f"{base}/landing"] = runner.cleaning().collect()
+    return store, runner.report(), f"{base}/landing"
 
 
 def test_report_lists_every_table(done):
@@ -37,6 +42,21 @@ def test_row_counts_are_taken_during_the_write(done):
         assert store.read(line.layer, line.table).count() == line.rows
 
 
+def test_cleaning_is_observed_during_the_write(done, house):
+    """The same counts as in the query, which has a twin; here they come from the jobs that wrote the tables."""
+    observed = sorted(map(tuple, CLEANED[done[2]]))
+    assert observed == sorted(map(tuple, cleaning_report(house.bronze).collect()))
+    assert all(written == read - duplicate - dropped for _, read, duplicate, _, _, dropped, written in observed)
+
+
+def test_empty_tables_are_observed(spark, house):
+    class Empty:
+        def __getattr__(self, name):
+            return getattr(house.bronze, name).limit(0)
+
+    assert [tuple(r)[1:] for r in cleaning_report(Empty()).collect()] == [(0,) * 6] * 6
+
+
 def test_layers_are_stamped(done):
     store, _, _ = done
     bronze = store.read("bronze", "produits", lineage=True).first()
