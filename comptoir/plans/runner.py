@@ -8,14 +8,15 @@ A table that fails is reported and does not stop the others.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from comptoir.plans.layers import BRONZE, GOLD, ROLLUPS, SILVER, Gold, Silver, StoredTables, Tables
 from comptoir.plans.watch import REPORT as CLEANING, Watch
 from comptoir.sources.landing import FILES, RAW_FILES, LandingTables, folder_bytes
-from comptoir.sources.stores import TableStore, written
+from comptoir.sources.stores import TableStore, intermediates, written
 
 PARTITIONED = {("silver", "ventes"): "date_vente"}
 # These have one row per day, so by date they are one file per row: only on request.
@@ -48,30 +49,39 @@ class Runner:
 
     def bronze(self, source, files: dict[str, str] | None = None) -> None:
         """``source`` has one method per bronze table. What it sets aside becomes a table too."""
-        for name in BRONZE:
-            self._attempt("bronze", name, lambda: getattr(source, name)(), (files or {}).get(name))
-        if getattr(source, "sets_aside", False):
-            self._attempt("bronze", "quarantine", source.quarantined)
+        with self._layer():
+            for name in BRONZE:
+                self._attempt("bronze", name, lambda: getattr(source, name)(), (files or {}).get(name))
+            if getattr(source, "sets_aside", False):
+                self._attempt("bronze", "quarantine", source.quarantined)
 
     def silver(self) -> None:
         watches = {name: Watch(name) for name in SILVER}
         tables = Silver(self.stored("bronze"), watches)
-        for name in SILVER:
-            self._attempt("silver", name, lambda: tables[name], watch=watches[name])
+        with self._layer():
+            for name in SILVER:
+                self._attempt("silver", name, lambda: tables[name], watch=watches[name])
 
     def gold(self) -> None:
         """Fourteen of the tables come from four roll-ups, so the sales are read
         five times instead of fifteen, and mostly in a few columns."""
         silver = self.stored("silver")
-        try:
-            ventes = silver.ventes
-            rollups = {name: written(build(ventes), name) for name, build in ROLLUPS.items()}
-        except Exception as error:
-            self._lines.append(("gold", "rollups", "FAILED", 0, str(error)))
-            rollups = {}
-        tables = Gold(silver, **rollups)
-        for name in GOLD:
-            self._attempt("gold", name, lambda: tables[name])
+        with self._layer():
+            try:
+                ventes = silver.ventes
+                rollups = {name: written(build(ventes), name) for name, build in ROLLUPS.items()}
+            except Exception as error:
+                self._lines.append(("gold", "rollups", "FAILED", 0, str(error)))
+                rollups = {}
+            tables = Gold(silver, **rollups)
+            for name in GOLD:
+                self._attempt("gold", name, lambda: tables[name])
+
+    @contextmanager
+    def _layer(self) -> Iterator[None]:
+        """The tables of a layer that succeed are published together; what was stored on the way goes."""
+        with intermediates(self.store.spark), self.store.publishing():
+            yield
 
     def stored(self, layer: str) -> Tables:
         return StoredTables(lambda name: self.store.read(layer, name))

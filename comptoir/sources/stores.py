@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import json
+import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -12,18 +18,62 @@ from comptoir.sources.lineage import with_lineage, without_lineage
 COMPRESSION = "snappy"
 FILE_BYTES = 64 * 1024 * 1024
 
+# -- intermediates --------------------------------------------------------------
+
+_scope: ContextVar[str | None] = ContextVar("intermediates", default=None)
+_run_folders: dict[str, str] = {}
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop's objects."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _hadoop(spark, path)
+    files.delete(place, True)
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's intermediates, which all executors can reach.
+
+    Lies under ``spark.checkpoint.dir``; only a local session may do without.
+    It is removed when the driver's process ends in order.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _run_folders:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            base = tempfile.gettempdir()
+        folder = f"{base.rstrip('/')}/comptoir-{application}-{uuid.uuid4().hex}"
+        _run_folders[application] = folder
+        files, place = _hadoop(spark, folder)
+        owner = os.getpid()
+        atexit.register(lambda: os.getpid() == owner and files.delete(place, True))
+    return _run_folders[application]
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name that all executors can reach, for written intermediates.
 
-    Lies under ``spark.checkpoint.dir``. Only a local session may do without.
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[str]:
+    """What is stored within this block is removed at its end, also if it fails.
+
+    Frames that read it must have been evaluated by then.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="comptoir-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{run_folder(spark)}/scope-{uuid.uuid4().hex}"
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        remove(spark, folder)
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder name for stored intermediates, in the innermost ``intermediates`` block."""
+    return f"{_scope.get() or run_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
@@ -33,6 +83,8 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+# -- tables ---------------------------------------------------------------------
+
 def balanced(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Output files of an even size: AQE merges small and splits large partitions.
 
@@ -48,8 +100,18 @@ class TableStore:
     Without ``catalog``: Parquet under ``root``, one folder per version, registered
     in the session catalog. With ``catalog``: a table of that (v2) catalog in its format, which
     replaces tables atomically.
+
+    Under ``root`` a *manifest* lists the current folder of every table. Versions
+    are written beside the old ones, and one new manifest file makes all of a
+    ``publishing`` block current at once: that is the commit, and ``snapshot``
+    reads by it. Then each catalog table is pointed to its folder; if that is
+    cut short, ``recover`` completes it from the manifest. Files stay as long as
+    one of the last ``KEPT`` manifests names them, for readers that have begun.
+    One writer at a time.
     """
 
+    KEPT = 2
+
     def __init__(
         self, spark: SparkSession, root: str | None = None, catalog: str | None = None,
         format: str = "parquet", database_prefix: str = "",
@@ -58,6 +120,7 @@ class TableStore:
             raise ValueError("give either root or catalog")
         self.spark, self.root, self.catalog, self.format = spark, root, catalog, format
         self._prefix = database_prefix
+        self._staged: dict[str, dict] | None = None
 
     def database(self, layer: str) -> str:
         own = f"{self._prefix}{layer}"
@@ -91,33 +154,137 @@ class TableStore:
                 writer = writer.partitionedBy(F.col(partition_by))
             writer.createOrReplace()
         else:
-            self._replace(rows, layer, name, partition_by)
+            staged = {f"{layer}.{name}": self._stage(rows, layer, name, partition_by)}
+            if self._staged is None:
+                self._publish(staged)
+            else:
+                self._staged.update(staged)
         return seen.get["rows"]
 
-    def _replace(self, rows: DataFrame, layer: str, name: str, partition_by: str | None) -> None:
-        """Writes a new version beside the old one and then points the table to it.
+    @contextmanager
+    def publishing(self) -> Iterator[None]:
+        """Tables written in this block become current together at its end, or, if it fails, not at all."""
+        if self.catalog or self._staged is not None:
+            yield
+            return
+        self._staged = {}
+        try:
+            yield
+            staged, self._staged = self._staged, None
+        except BaseException:
+            staged, self._staged = self._staged, None
+            for entry in staged.values():
+                remove(self.spark, entry["path"])
+            raise
+        if staged:
+            self._publish(staged)
 
-        A write that fails leaves the table as it was. The old version's files
-        are removed at the end.
-        """
-        table = self.table(layer, name)
+    def _stage(self, rows: DataFrame, layer: str, name: str, partition_by: str | None) -> dict:
         path = f"{self.root}/{layer}/{layer}_{name}/{uuid.uuid4().hex}"
         writer = rows.write.format("parquet").option("compression", COMPRESSION)
         (writer.partitionBy(partition_by) if partition_by else writer).save(path)
+        return {"path": path, "partition_by": partition_by}
+
+    def _publish(self, staged: dict[str, dict]) -> None:
+        self._commit(self.manifest() | staged)
+        for key, entry in staged.items():
+            self._point(*key.split(".", 1), entry)
+        self._forget_old()
+
+    # The manifests are numbered files; the highest number is current.
+
+    def _manifests(self) -> list[str]:
+        files, folder = _hadoop(self.spark, f"{self.root}/_manifest")
+        if not files.exists(folder):
+            return []
+        return sorted(str(f.getPath().toString()) for f in files.listStatus(folder) if f.getPath().getName().endswith(".json"))
+
+    def _load(self, manifest: str) -> dict[str, dict]:
+        files, place = _hadoop(self.spark, manifest)
+        stream = files.open(place)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def manifest(self) -> dict[str, dict]:
+        """path and partition_by of every current table, by ``layer.name``."""
+        known = self._manifests()
+        return self._load(known[-1]) if known else {}
+
+    def _commit(self, tables: dict[str, dict]) -> None:
+        known = self._manifests()
+        number = int(known[-1].rsplit("/", 1)[-1].split(".")[0]) + 1 if known else 1
+        files, draft = _hadoop(self.spark, f"{self.root}/_manifest/{number:012}.draft")
+        stream = files.create(draft, True)
+        try:
+            stream.write(json.dumps(tables, indent=1).encode())
+        finally:
+            stream.close()
+        _, final = _hadoop(self.spark, f"{self.root}/_manifest/{number:012}.json")
+        if not files.rename(draft, final):
+            raise OSError(f"manifest {number} was written by someone else")
+
+    def _point(self, layer: str, name: str, entry: dict) -> None:
+        """The catalog's table at this folder.
+
+        Only the location changes if the columns are the same and there are no
+        partitions to list; otherwise the table is created anew, and as it was
+        if that fails.
+        """
+        table, path = self.table(layer, name), entry["path"]
         before = self._location(table)
+        if before and not entry["partition_by"]:
+            columns = [(f.name, f.dataType) for f in self.spark.read.parquet(path).schema]
+            if columns == [(f.name, f.dataType) for f in self.spark.table(table).schema]:
+                self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+                self.spark.catalog.refreshTable(table)
+                return
+        try:
+            self._create(table, path, entry["partition_by"])
+        except Exception:
+            if before:
+                self._create(table, before, entry["partition_by"])
+            raise
+
+    def _create(self, table: str, path: str, partition_by: str | None) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
         if partition_by:
             self.spark.catalog.recoverPartitions(table)
-        if before:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(before)
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def recover(self) -> None:
+        """Points every catalog table to its folder in the manifest."""
+        for key, entry in self.manifest().items():
+            layer, name = key.split(".", 1)
+            self.create_database(layer)
+            if self._location(self.table(layer, name)) != entry["path"]:
+                self._point(layer, name, entry)
+
+    def _forget_old(self) -> None:
+        """Removes manifests but the last, and the versions that none of those names."""
+        known = self._manifests()
+        kept = {entry["path"] for manifest in known[-self.KEPT:] for entry in self._load(manifest).values()}
+        for manifest in known[:-self.KEPT]:
+            for entry in self._load(manifest).values():
+                if entry["path"] not in kept:
+                    remove(self.spark, entry["path"])
+            remove(self.spark, manifest)
+
+    def snapshot(self, layer: str, name: str) -> DataFrame:
+        """The table as the manifest has it: tables that were published together are read together."""
+        entry = self.manifest()[f"{layer}.{name}"]
+        return without_lineage(self.spark.read.parquet(entry["path"]))
 
     def _location(self, table: str) -> str | None:
+        """Where a table of the catalog lies, in the form in which it was given."""
         if not self.spark.catalog.tableExists(table):
             return None
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
-        return rows[0].data_type if rows else None
+        place = rows[0].data_type if rows else None
+        if place and place.startswith("file:") and not self.root.startswith("file:"):
+            return "/" + place.removeprefix("file:").lstrip("/")
+        return place
 
     def read(self, layer: str, name: str, lineage: bool = False) -> DataFrame:
         stored = self.spark.table(self.table(layer, name))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
+from __spark_entry__ import queries
 from comptoir.plans.layers import BRONZE, GOLD, SILVER, register_views
 from comptoir.plans.rules import cleaning_report
 from comptoir.plans.runner import Runner, run_pipeline, size_shuffles
 from comptoir.plans.serving import REPORTS
 from comptoir.sources.landing import FILES, RAW_FILES, LandingTables, manifest, read_csv, rejects, split_csv
 from comptoir.sources.retail_tables import RetailTables
-from comptoir.sources.stores import TableStore
+from comptoir.sources.stores import TableStore, _hadoop, intermediates, run_folder, written
 
 
 CLEANED: dict = {}
@@ -131,8 +134,103 @@ def test_a_failed_write_leaves_the_table(spark, tmp_path):
     assert store.read("silver", "x").count() == 5
     store.write(spark.range(4), "silver", "x")
     assert store.read("silver", "x").count() == 4
+    for n in (3, 2):
+        store.write(spark.range(n), "silver", "x")
     versions = [p for p in (tmp_path / "silver" / "silver_x").iterdir() if list(p.glob("_SUCCESS"))]
-    assert len(versions) == 1
+    assert len(versions) == store.KEPT
+
+
+def test_readers_keep_the_version_they_began_with(spark, tmp_path):
+    store = TableStore(spark, root=str(tmp_path), database_prefix="begun_")
+    store.write(spark.range(5), "silver", "x")
+    begun = store.read("silver", "x")
+    store.write(spark.range(7), "silver", "x")
+    assert begun.count() == 5 and store.read("silver", "x").count() == 7
+
+
+class Stop(Exception):
+    pass
+
+
+def stopping_at(store, monkeypatch, step: int):
+    """Every statement and file operation of the store counts as a step; one of them fails."""
+    taken = iter(range(10_000))
+
+    def counted(name):
+        method = getattr(type(store), name)
+
+        def call(*arguments, **options):
+            if next(taken) == step:
+                raise Stop(name)
+            return method(store, *arguments, **options)
+
+        monkeypatch.setattr(store, name, call)
+
+    for name in ("_stage", "_commit", "_point", "_create", "_location", "_load", "_forget_old", "create_database"):
+        counted(name)
+
+
+@pytest.mark.parametrize("partition_by", [None, "p"])
+def test_a_failure_at_any_step_leaves_a_whole_set(spark, tmp_path, partition_by):
+    """The set is the old or the new one, never a mixture, and recovery brings the catalog to it."""
+    rows = lambda n: spark.range(n).selectExpr("id", "id % 2 AS p")
+    seen = set()
+    for step in range(60):
+        store = TableStore(spark, root=f"{tmp_path}/{step}", database_prefix=f"set_{partition_by or ''}{step}_")
+        with store.publishing():
+            for name in ("a", "b"):
+                store.write(rows(10), "silver", name, partition_by)
+        with pytest.MonkeyPatch.context() as patch:
+            stopping_at(store, patch, step)
+            try:
+                with store.publishing():
+                    store.write(rows(20), "silver", "a", partition_by)
+                    store.write(rows(20).withColumnRenamed("id", "other"), "silver", "b", partition_by)
+                failed = False
+            except Stop:
+                failed = True
+        again = TableStore(spark, root=store.root, database_prefix=store._prefix)
+        sizes = {again.snapshot("silver", name).count() for name in ("a", "b")}
+        assert len(sizes) == 1
+        assert all(again.read("silver", name).count() in (10, 20) for name in ("a", "b"))
+        again.recover()
+        assert {again.read("silver", name).count() for name in ("a", "b")} == sizes
+        seen |= sizes
+        spark.sql(f"DROP DATABASE {store.database('silver')} CASCADE")
+        if not failed:
+            break
+    assert not failed and seen == {10, 20}
+
+
+def test_intermediates_go_with_their_block(spark, house):
+    def left(folder):
+        files, place = _hadoop(spark, folder)
+        return files.exists(place)
+
+    for key in ("agg_quartiles", "gold_product_affinity", "gold_client_rfm", "src_csv_roundtrip"):
+        with intermediates(spark) as folder:
+            queries()[key](spark, os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")).collect()
+            assert left(folder), key
+        assert not left(folder)
+    with pytest.raises(Stop), intermediates(spark) as folder:
+        written(spark.range(3), "lost")
+        raise Stop
+    assert not left(folder)
+
+
+def test_a_run_leaves_no_intermediates(spark, folder, tmp_path):
+    class Broken(RetailTables):
+        def stocks(self):
+            raise ValueError("no such file")
+
+    def stored():
+        files, place = _hadoop(spark, run_folder(spark))
+        return {f.getPath().getName() for f in files.listStatus(place)} if files.exists(place) else set()
+
+    before = stored()
+    report = run_pipeline(Broken(spark, folder), TableStore(spark, root=str(tmp_path), database_prefix="left_")).report()
+    assert {r.table for r in report.where("status <> 'OK'").collect()} == {"stocks", "stock_alert"}
+    assert stored() == before
 
 
 def landed(tmp_path, name, *lines):
