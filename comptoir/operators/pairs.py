@@ -34,6 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from comptoir.operators.lookups import lookup_join
+from comptoir.operators.marks import cell_is_marked, marked_cells
 
 #: Items whose pairs give the bar; more if the limit is larger.
 LEAST_SEEDS = 128
@@ -97,14 +98,7 @@ def _in_full_cells(pairs: DataFrame, level: Column, cells: int) -> DataFrame:
     cell = F.xxhash64("item_a", "item_b").bitwiseAND(F.lit(cells - 1))
     sums = pairs.groupBy(cell.alias("cell")).agg(F.sum("score").alias("n"))
     full = sums.withColumn("level", level).where("n >= level")
-    place, bit = F.shiftright("cell", 6), F.col("cell").bitwiseAND(F.lit(63)).cast("int")
-    marked = full.groupBy(place.alias("place")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
-    # One number per 64 cells, in order: cells / 8 bytes in all.
-    every = pairs.sparkSession.range(max(1, cells // 64)).withColumnRenamed("id", "place")
-    whole = every.join(marked, "place", "left").select("place", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
-    marks = whole.agg(F.sort_array(F.collect_list(F.struct("place", "bits"))).getField("bits")).scalar()
-    word = F.get(marks, F.shiftright(cell, 6).cast("int"))
-    return pairs.where(F.getbit(word, cell.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return pairs.where(cell_is_marked(marked_cells(full.select("cell"), cells, cells), cell))
 
 
 def _in_blocks(left: DataFrame, right: DataFrame, block_items: int) -> tuple[DataFrame, DataFrame]:

@@ -16,6 +16,7 @@ from comptoir.functions.numbers import MONEY, not_negative, positive_or
 from comptoir.functions.text import capitals, or_default, title
 from comptoir.operators.dedup import one_per_key
 from comptoir.operators.lookups import lookup_join
+from comptoir.operators.marks import key_marks, may_hold
 from comptoir.operators.quantiles import quantiles
 from comptoir.plans.watch import COPIES, Watch
 from comptoir.sources.lineage import without_lineage
@@ -102,16 +103,26 @@ def returns_without_lookups(bronze: DataFrame, watch: Watch | None = None) -> Da
     })
 
 
-def with_sale(retours: DataFrame, bronze_ventes: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+def returned(bronze_ventes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The sales whose ``vente_id`` is among the wanted ones.
+
+    Most others go in the scan, by marks of the wanted ids, so that they are not
+    shuffled where the ids are too many to be broadcast.
+    """
+    near = bronze_ventes.where(may_hold(key_marks(wanted), F.col("vente_id")))
+    return near.join(wanted, "vente_id", "left_semi")
+
+
+def with_sale(retours: DataFrame, bronze_ventes: DataFrame, bronze_retours: DataFrame | None = None) -> DataFrame:
     """The raw sale of each return, chosen as in silver_ventes when repeated.
 
-    Few sales are returned, so the others go before the survivors are chosen.
+    Few sales are returned, so the others go before the survivors are chosen;
+    which are returned is read from ``bronze_retours`` where that is cheaper.
     Both sides of the last join are nearly unique by key and are placed by it
-    already, so it needs no shuffle of the sales. ``wanted`` gives the vente_id
-    of the returns where ``retours`` is to be evaluated only once.
+    already, so it needs no shuffle of the sales.
     """
-    wanted = (retours if wanted is None else wanted).select("vente_id").distinct()
-    sold = survivors(bronze_ventes.join(wanted, "vente_id", "left_semi"), "ventes", "vente_id").select(
+    wanted = (retours if bronze_retours is None else bronze_retours).select("vente_id").dropna().distinct()
+    sold = survivors(returned(bronze_ventes, wanted), "ventes", "vente_id").select(
         "vente_id", F.col("montant").cast(MONEY).alias("montant_retour"), "canal_id", "client_id"
     )
     zero = F.lit(0).cast(MONEY)
@@ -120,8 +131,7 @@ def with_sale(retours: DataFrame, bronze_ventes: DataFrame, wanted: DataFrame |
 
 
 def retours(bronze: DataFrame, bronze_ventes: DataFrame, watch: Watch | None = None) -> DataFrame:
-    # An observed plan must occur once. All copies of a return may name a sale, so bronze names all that is wanted.
-    return with_sale(returns_without_lookups(bronze, watch), bronze_ventes, wanted=bronze if watch else None)
+    return with_sale(returns_without_lookups(bronze, watch), bronze_ventes, bronze)
 
 
 def canaux(bronze: DataFrame, watch: Watch | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -13,8 +14,10 @@ from comptoir.functions.geography import REGION_CITIES, region_of
 from comptoir.functions.numbers import half_up, percent, ratio
 from comptoir.functions.text import or_default
 from comptoir.operators.dedup import one_per_key
+from comptoir.operators.marks import key_marks, may_hold
 from comptoir.plans import silver
 from comptoir.sources.schemas import SCHEMAS
+from conftest import final_plan
 
 
 def rows(df):
@@ -168,3 +171,28 @@ def test_rounding_is_half_up_and_division_by_zero_is_null(spark):
         half_up(F.lit(1.005)), half_up(F.lit(-2.675)), half_up(F.lit(2.5), 0),
         ratio(F.lit(1), F.lit(0)), percent(F.lit(1), F.lit(3)))
     assert tuple(df.first()) == (1.01, -2.68, 3.0, None, 33.33)
+
+
+def test_few_sales_that_were_not_returned_are_shuffled(spark, conf):
+    """With broadcasts off: the marks are tested in the scan's stage, and let few others pass."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    sales = spark.range(0, 200_000, 1, 8).select(
+        F.col("id").alias("vente_id"), F.lit(dt.date(2024, 1, 1)).alias("date_vente"), F.lit(1).cast("long").alias("client_id"),
+        F.lit(1).cast("long").alias("produit_id"), F.lit(1).alias("canal_id"), F.lit(1).alias("quantite"),
+        F.col("id").cast("decimal(18,2)").alias("montant"))
+    returns = spark.createDataFrame([(i, i * 97, 1, "x", None) for i in range(2000)], SCHEMAS["retours"])
+    wanted = returns.select("vente_id").distinct()
+    near = sales.where(silver.may_hold(silver.key_marks(wanted), F.col("vente_id")))
+    assert 2000 <= near.count() < 200_000 / 10
+    plan = final_plan(silver.returned(sales, wanted))
+    assert "SortMergeJoin" in plan and re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*Filter \(getbit", plan)
+    got = {r.retour_id: r.montant_retour for r in silver.retours(returns, sales).collect()}
+    assert got == {i: Decimal(i * 97) for i in range(2000)}
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 1000])
+def test_marks_forget_no_key(spark, n):
+    keys = spark.range(n).select((F.col("id") * 7 - 3).alias("k"))
+    marked = spark.range(-10, 8000).select(F.col("id").alias("k")).where(may_hold(key_marks(keys, most=1 << 12), F.col("k")))
+    assert {7 * i - 3 for i in range(n)} <= {r.k for r in marked.collect()}
+    assert n or marked.count() == 0
