@@ -5,17 +5,23 @@ shingles (five words; the whole sequence of a shorter text). Items are short and
 documents long, so the similarity of whole sets is near zero and says nothing;
 what counts is containment in the item.
 
-*Size partitions.* Items are partitioned by their number of shingles n. In
-partition of size n an item's MinHash sketch is its ``n - ceil(0.75 n) + 1``
-shingles of smallest hash, the fewest of which a containing document must hold
-one. A document's sketch are its shingles whose hash is at most the largest
-sketched one.
-
-*Search.* Sketches meet in one equality join on the hash: the items' side is
-broadcast if its counted rows are few, otherwise both are shuffled.
-
-*Verification.* Candidate documents are read again and all their shingles
-compared with all of the item's. Hashes of 64 bits stand for shingles.
+*Size partitions.* Items are partitioned by their number of shingles n, in
+powers of two. Each partition has its own number of agreeing positions that make
+a candidate: a fourth of its smallest n, one at least. An item's sketch are its
+``n - ceil(0.75 n) + agree`` first shingles in MinHash order, the fewest of which
+a containing document must hold ``agree``; so recall is 1. Shingles that are in
+many items come last in that order (by powers of two of their frequency among
+items, then by hash): a sentence that items share is in few sketches, and alone
+makes no candidate.
+
+*Search.* All shingles of the documents meet the sketches in one equality join
+on the hash: the items' side is broadcast if its counted rows are few. Otherwise
+both are shuffled, and of the documents only what marks of the sketches let pass.
+Agreements are counted by document and item.
+
+*Verification.* Candidates are joined with all shingles of their item, and these
+by document and shingle with the candidate documents, read again; no pair but a
+candidate is formed. Hashes of 64 bits stand for shingles.
 
 DataFrame functions only. Nulls: a null text, and one without a word, has no
 shingles, so it contains nothing and is contained nowhere. The filter judges
@@ -30,6 +36,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from comptoir.llm.common import column, fresh
+from comptoir.operators.lookups import lookup_join
+from comptoir.operators.marks import key_marks, may_hold
 from comptoir.sources.stores import written
 
 WORDS = 5
@@ -37,6 +45,8 @@ WORDS = 5
 LEAST = (3, 4)
 #: What separates words: anything but letters and digits.
 GAPS = r"[^\p{L}\p{N}]+"
+#: Agreeing positions of a partition: its smallest number of shingles, shifted right by so many bits.
+AGREE_SHIFT = 2
 #: Rows that may be broadcast (16 to 24 bytes each).
 BROADCAST_ROWS = 1_000_000
 
@@ -64,34 +74,51 @@ def _sized(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def item_shingles(items: DataFrame) -> DataFrame:
-    """item_id, hash, n (shingles of the item), needed (to contain it), rank by hash."""
+    """item_id, hash, n (shingles of the item), needed (to contain it), agree, rank in the order of sketches."""
     distinct = _shingles(items.select("item_id", "text"), "item_id").distinct()
-    of = Window.partitionBy("item_id")
+    shared = distinct.groupBy("hash").agg(F.count(F.lit(1)).alias("items"))
+    power = lambda c: F.length(F.bin(c))  # rises by one when the number doubles
+    order = Window.partitionBy("item_id").orderBy(power(F.col("items")), "hash")
+    sizes = distinct.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    same = F.col("item_id").eqNullSafe(F.col("of"))
+    sized = lookup_join(distinct, shared, "hash").join(sizes.withColumnRenamed("item_id", "of"), same).drop("of")
     up, down = LEAST
-    numbered = distinct.select("item_id", "hash", F.count(F.lit(1)).over(of).alias("n"), F.row_number().over(of.orderBy("hash")).alias("rank"))
-    return numbered.withColumn("needed", F.ceil(F.col("n") * up / down))
+    least_of_partition = F.shiftright(F.pow(F.lit(2), power(F.col("n")) - 1).cast("long"), AGREE_SHIFT)
+    return sized.select(
+        "item_id", "hash", "n", F.ceil(F.col("n") * up / down).alias("needed"),
+        F.greatest(least_of_partition, F.lit(1)).alias("agree"), F.row_number().over(order).alias("rank"))
+
+
+def _candidates(docs: DataFrame, every: DataFrame) -> DataFrame:
+    """doc, item: the pairs that agree in enough positions of the item's sketch."""
+    sketch = written(every.where("rank <= n - needed + agree").select("hash", F.col("item_id").alias("item"), "agree"), "item-sketches")
+    probes = _shingles(docs, "doc_id")
+    if sketch.count() <= BROADCAST_ROWS:
+        sketch = F.broadcast(sketch)
+    else:
+        probes = probes.where(may_hold(key_marks(sketch.select("hash")), F.col("hash")))
+    met = probes.join(sketch, "hash").groupBy(F.col("doc_id").alias("doc"), "item").agg(
+        F.count_distinct("hash").alias("agreeing"), F.max("agree").alias("agree"))
+    return met.where("agreeing >= agree").select("doc", "item")
 
 
 def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, n_item, n_shared, containment of every item in every document that holds it."""
     docs = docs.select("doc_id", "text")
-    all_shingles = written(item_shingles(items), "item-shingles")
-    sketch = all_shingles.where("rank <= n - needed + 1").select("hash", "item_id", "n", "needed")
-    bound = sketch.agg(F.max("hash")).scalar()  # the largest bound of all partitions
-    found = _shingles(docs, "doc_id").where(F.col("hash") <= bound)
-    candidates = found.join(_sized(sketch, "item-sketches"), "hash")
-    candidates = candidates.select(F.col("doc_id").alias("wanted"), F.col("item_id").alias("wanted_item")).distinct()
-    candidates = written(candidates, "leak-candidates")
-
-    ids = _sized(candidates.select("wanted").distinct(), "leak-documents")
-    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-    items_of = all_shingles.select("hash", "item_id", "n", "needed")
-    shared = _shingles(texts, "doc_id").join(_sized(items_of, "item-hashes"), "hash").distinct()
+    every = written(item_shingles(items), "item-shingles")
+    candidates = written(_candidates(docs, every), "leak-candidates")
+
+    ids = _sized(candidates.select("doc").distinct(), "leak-documents")
+    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi")
+    held = _shingles(texts, "doc_id").join(_sized(every.select("hash").distinct(), "item-hashes"), "hash", "left_semi").distinct()
+    wanted = candidates.join(every, F.col("item").eqNullSafe(F.col("item_id")))
+    wanted = wanted.select("doc", "item_id", F.col("hash").alias("of"), "n", "needed")
+    # Placed by document and shingle together, so neither a long document nor a common shingle is one task.
+    shared = wanted.join(held, (F.col("hash") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("doc")))
     counted = shared.groupBy("doc_id", "item_id").agg(
         F.max("n").alias("n_item"), F.max("needed").alias("needed"), F.count(F.lit(1)).alias("n_shared"))
-    same = F.col("doc_id").eqNullSafe(F.col("wanted")) & F.col("item_id").eqNullSafe(F.col("wanted_item"))
-    held = counted.join(candidates, same, "left_semi").where("n_shared >= needed")
-    return held.select("doc_id", "item_id", "n_item", "n_shared", (F.col("n_shared") / F.col("n_item")).alias("containment"))
+    whole = counted.where("n_shared >= needed")
+    return whole.select("doc_id", "item_id", "n_item", "n_shared", (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
 
 def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:

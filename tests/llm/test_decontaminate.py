@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import duckdb
+import pytest
 
 from comptoir.llm import decontaminate
 from llm.cases import frame, odd_rows, text, words
@@ -69,6 +70,43 @@ def test_null_and_repeated_ids(spark):
     assert {(12, 1), (None, None), (13, 2), (15, 2)} <= {(r.doc_id, r.item_id) for r in got}
 
 
+def test_a_sentence_that_items_share_forms_no_pairs(spark):
+    """Items and documents that all begin alike: candidates are the pairs that are right, and few others."""
+    opening = "once upon a time there was a very old king"
+    items = [(i, f"{opening} {text(5000 + i, 20 + i % 40)}") for i in range(300)]
+    rows = [(i, f"{opening} {text(9000 + i, 300)} {items[i][1] if i % 10 == 0 else ''}", "en", "x") for i in range(300)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    every = decontaminate.item_shingles(benchmark).cache()
+    candidates = decontaminate._candidates(frame(spark, rows), every)
+    assert {(r.doc, r.item) for r in candidates.collect()} == {(i, i) for i in range(0, 300, 10)}
+    got = decontaminate.contained_items(frame(spark, rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id): (r.n_item, r.n_shared) for r in got} == expected(rows, items)
+
+
+@pytest.mark.parametrize("limit", [0, decontaminate.BROADCAST_ROWS])
+def test_items_made_from_one_form(spark, monkeypatch, limit):
+    """Items that differ in some words, so that most sketches hold shared shingles; with and without broadcasts."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", limit)
+    form = words(77, 60)
+    items = [(i, " ".join(form[:10 + i % 20] + words(600 + i, i % 12) + form[10 + i % 20:25 + i])) for i in range(36)]
+    rows = [(1000 + i, f"{text(i, 50)} {items[i % 36][1]} {text(i + 1, 50)}", "en", "x") for i in range(80)] + odd_rows()
+    rows += [(500 + k, " ".join(form[:12 + 3 * k]), "en", "x") for k in range(16)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contained_items(frame(spark, rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id): (r.n_item, r.n_shared) for r in got} == expected(rows, items)
+    kept = decontaminate.without_items(frame(spark, rows), benchmark)
+    held = {i for i, _ in expected(rows, items)}
+    assert sorted(map(repr, (r.doc_id for r in kept.collect()))) == sorted(repr(i) for i, *_ in rows if i not in held)
+
+
+def test_each_partition_has_its_own_bound(spark):
+    """A containing document holds ``agree`` of a sketch even if it misses all the shingles that it may."""
+    items = spark.createDataFrame([(n, text(n, n + 4)) for n in range(1, 70)], "item_id long, text string")
+    for r in decontaminate.item_shingles(items).where("rank = 1").collect():
+        assert (r.n, r.needed) == (r.item_id, -(-3 * r.n // 4))
+        assert r.agree == max(1, 2 ** (r.n.bit_length() - 1) // 4) <= r.needed
+
+
 def test_empty_tables(spark):
     docs, items = frame(spark, odd_rows()), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert decontaminate.contained_items(docs.limit(0), items).count() == 0
