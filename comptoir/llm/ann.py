@@ -3,21 +3,24 @@
 Vectors are dealt by hash into shards of a bounded size; in a shard, vectors of
 similar length (by a factor of 2) form a graph of their own. A task builds the
 graph of its shard: points enter in batches, a greedy search from the entry
-point proposes neighbours, and robust pruning keeps a candidate only if no kept
+points proposes neighbours, and robust pruning keeps a candidate only if no kept
 one is closer to it by the factor ``ALPHA``, so edges stay diverse. Kept
 neighbours get the reverse edge and are pruned again when they have too many.
-Points to which no path leads in the end (far outliers) become further entries.
+Entry points are the middle, points far from all earlier ones, and random ones: where
+points form clusters, edges seldom lead from one to another, so a search begins
+at the nearest entries. Points to which no path leads in the end become further entries.
 The index (vectors, nodes, edges) is a table. A query visits every shard by
 beam search; queries come in blocks, so a task holds one shard and one block.
 
 Largest inner product becomes smallest distance by one more component,
 ``sqrt(M^2 - |x|^2)`` with M the graph's longest vector, and 0 in queries; that
-needs lengths that are alike. Beams are scored again on the original vectors in double precision.
+needs lengths that are alike. Graphs hold single precision, of vectors scaled by
+a power of two; beams are scored again on the original vectors in double precision.
 
 Vectors that are null, zero or hold null or non-finite components take no part,
 nor do rows without id. Equal vectors share a node, so copies cannot crowd it.
 Vectors are compared with those of their length only. A query leaves out rows
-with its own id. Empty tables give no rows; other columns are not read.
+with its own id; of rows that repeat an id the smallest vector asks. Empty tables give no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ QUERY_EVERY, NEAREST = 20, 20
 SHARD_ROWS, LEAST_SHARDS, QUERY_BLOCK = 8192, 8, 16384
 DEGREE, ALPHA = 32, 1.2
 BUILD_BEAM, SEARCH_BEAM = 64, 128
+#: Entries that are far from each other, and random ones.
+FAR_ENTRIES, RANDOM_ENTRIES = 64, 192
 #: Points that are searched or pruned together, and nodes that each expands at a time.
 TOGETHER, EXPANDED = 256, 4
 
@@ -43,17 +48,29 @@ class Graph:
         self.points = points.astype(np.float32)
         self.norms = np.einsum("ij,ij->i", self.points, self.points)
         if edges is None:
-            centre = self.points.mean(axis=0)
-            self.entries = np.array([(self.norms - 2 * (self.points @ centre)).argmin()])
+            self.entries = self._spread()
             self.edges = np.full((len(points), DEGREE), -1, np.int32)
             self._build()
             self._reach_all()
         else:
             self.edges, self.entries = edges, entries
 
+    def _spread(self) -> np.ndarray:
+        """The middle, then the point farthest from all chosen ones again and again, then random points."""
+        centre = self.points.mean(axis=0)
+        chosen = [int((self.norms - 2 * (self.points @ centre)).argmin())]
+        gap = np.full(len(self.points), np.inf, np.float32)
+        for _ in range(min(FAR_ENTRIES, len(self.points) - 1)):
+            last = chosen[-1]
+            gap = np.minimum(gap, self.norms - 2 * (self.points @ self.points[last]) + self.norms[last])
+            gap[last] = -np.inf
+            chosen.append(int(gap.argmax()))
+        some = np.random.default_rng(1).permutation(len(self.points))[:RANDOM_ENTRIES]
+        return np.array(list(dict.fromkeys([*chosen, *some.tolist()])))
+
     def _build(self) -> None:
         order = np.random.default_rng(len(self.points)).permutation(len(self.points))
-        order = order[order != self.entries[0]]
+        order = np.concatenate([self.entries, order[~np.isin(order, self.entries)]])
         done = 0
         while done < len(order):
             batch = order[done:done + min(TOGETHER, max(1, done))]
@@ -163,7 +180,13 @@ class Graph:
                 self.edges[some[over]] = self._pruned(some[over], wide[over], far[over])
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Times the power of two that brings the largest component to between a half and one; exact."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(initial=0))[1])
+
+
 def _augmented(vectors: np.ndarray) -> np.ndarray:
+    vectors = _scaled(vectors)
     longest = np.einsum("ij,ij->i", vectors, vectors)
     return np.hstack([vectors, np.sqrt(np.maximum(longest.max() - longest, 0))[:, None]])
 
@@ -193,10 +216,11 @@ def _searched(key: tuple, index: pd.DataFrame, queries: pd.DataFrame) -> pd.Data
         points = np.stack(lead["vector"].to_numpy())
         graph = Graph(_augmented(points), np.stack(lead["edges"].to_numpy()).astype(np.int32), lead["node"].to_numpy()[lead["entry"].to_numpy()])
         asked = np.stack(queries["vector"].to_numpy()).astype(np.float64)
+        pointed = np.vstack([_scaled(one[None]) for one in asked])  # a query's length changes no order
         names = queries["query_id"].to_numpy()
         for start in range(0, len(asked), TOGETHER):
             some = asked[start:start + TOGETHER]
-            found, _ = graph.search(np.hstack([some, np.zeros((len(some), 1))]), SEARCH_BEAM)
+            found, _ = graph.search(np.hstack([pointed[start:start + TOGETHER], np.zeros((len(some), 1))]), SEARCH_BEAM)
             for row, name in enumerate(names[start:start + TOGETHER]):
                 nodes = found[row][found[row] >= 0]
                 scores = points[nodes] @ some[row]
@@ -219,9 +243,14 @@ def usable(vectors: DataFrame) -> DataFrame:
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
     odd = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(F.col("vector").isNotNull() & ~odd).where(F.exists("vector", lambda x: x != 0))
-    squared = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
-    length = F.log2(F.least(F.greatest(squared, F.lit(1e-300)), F.lit(1e300))) / 2
-    return rows.select("*", F.size("vector").alias("dim"), F.floor(length + 0.5).cast("int").alias("band"))
+    # Through the exponent of the largest component, as squares may leave the range of doubles.
+    exponent = F.greatest(F.floor(F.log2(F.array_max(F.transform("vector", F.abs)))), F.lit(-1000))
+    rows = rows.withColumn("exponent", exponent.cast("int"))
+    half = F.pow(F.lit(2.0), -F.col("exponent") / 2)  # in two steps, each within the range
+    squared = F.aggregate("vector", F.lit(0.0), lambda total, x: total + (x * F.col("half") * F.col("half")) ** 2)
+    length = F.col("exponent") + F.log2(squared) / 2
+    return rows.withColumn("half", half).select(
+        "vec_id", "vector", F.size("vector").alias("dim"), F.floor(length + 0.5).cast("int").alias("band"))
 
 
 def build_index(rows: DataFrame) -> DataFrame:
@@ -252,5 +281,6 @@ def search(index: DataFrame, queries: DataFrame) -> DataFrame:
 def nearest_vectors(embeddings: DataFrame, every: int = QUERY_EVERY) -> DataFrame:
     """The nearest of every vector whose id is divisible by ``every``, among all others."""
     rows = written(usable(embeddings), "vectors")
-    queries = rows.where(F.col("vec_id") % every == 0).withColumnRenamed("vec_id", "query_id").dropDuplicates(["query_id"])
+    asking = rows.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id"))
+    queries = asking.agg(F.min(F.struct("vector", "dim")).alias("one")).select("query_id", "one.vector", "one.dim")
     return search(build_index(rows), queries)
