@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from comptoir.llm import url_filter
-from comptoir.llm.url_filter import ALLOW, BLOCK, DigestList
+from comptoir.llm.url_filter import ALLOW, BLOCK
 
 
 def parts(url):
@@ -63,32 +64,56 @@ def test_listed_hosts_are_these(spark):
     assert {r.host for r in got if r.verdict == ALLOW} == set(allowed)
 
 
-def test_random_lists(tmp_path):
+def judged(spark, urls, entries, **options):
+    known = url_filter.UrlList(spark.createDataFrame(entries, "host string, path string, verdict string"), **options)
+    frame = spark.createDataFrame([(i, h, p) for i, (h, p) in enumerate(urls)], "n long, host string, path string")
+    rows = sorted(known.judged(frame).collect(), key=lambda r: r.n)
+    return known, [r.found and tuple(r.found) for r in rows]
+
+
+@pytest.mark.parametrize("range_rows, asked_rows", [(1 << 16, 1 << 20), (5, 1 << 20), (7, 3)])
+def test_random_lists(spark, monkeypatch, range_rows, asked_rows):
+    """One range or many, one block or many."""
+    monkeypatch.setattr(url_filter, "ASKED_ROWS", asked_rows)
     pick = np.random.default_rng(6)
-    label = lambda: pick.choice(["a", "bb", "c-c", "d"])
+    label = lambda: str(pick.choice(["a", "bb", "c-c", "d", "é"]))
     host = lambda n: ".".join(label() for _ in range(pick.integers(1, n)))
     path = lambda: "".join("/" + label() for _ in range(pick.integers(0, 4)))
     entries = list({(h, p): (h, p, str(pick.choice([ALLOW, BLOCK]))) for h, p in [(host(4), path()) for _ in range(60)]}.values())
-    file = str(tmp_path / "list")
-    DigestList.write(entries, file)
-    known = DigestList(file)
-    assert isinstance(known.digests, np.memmap) and list(known.digests) == sorted(known.digests)
-    urls = [(host(6), path()) for _ in range(500)]
-    got = known.judge([h for h, _ in urls], [p for _, p in urls])
-    got += [None] * (len(urls) - len(got))
+    urls = [(host(6), path()) for _ in range(500)] + [("", "/a")]
+    known, got = judged(spark, urls, entries + entries[:9], range_rows=range_rows)
     assert got == [verdict(h, p, entries) for h, p in urls]
+    held = known.ranges.collect()
+    assert sum(len(r.digests) // 8 for r in held) == len(entries) and (len(held) > 4) == (range_rows < 10)
+    for r in held:
+        arrays = url_filter.DigestArrays(r.asDict())
+        assert isinstance(arrays.digests, np.memmap) and list(arrays.digests) == sorted(arrays.digests)
 
 
-def test_collisions_are_told_apart(tmp_path, monkeypatch):
+def test_collisions_are_told_apart():
     """With all digests equal only the stored texts decide."""
-    monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda key: 7)
-    file = str(tmp_path / "list")
-    DigestList.write([("a", "/", BLOCK), ("b", "/", ALLOW), ("b", "/", BLOCK)], file)
-    known = DigestList(file)
-    assert known.judge(["a", "b", "c"], ["/x", "/", "/"]) == [("a/", BLOCK), ("b/", BLOCK), None]
+    same = np.full(3, 7, np.uint64)
+    known = url_filter.DigestArrays(url_filter.DigestArrays.packed(same, [b"a", b"bb", b""], np.array([1, 0, 1])))
+    assert known.find(np.array([7, 7, 7, 7, 8], np.uint64), [b"bb", b"c", b"", b"a", b"a"]).tolist() == [1, -1, 2, 0, -1]
+
+
+def test_equal_entries_and_an_empty_list(spark):
+    urls = [("a", "/x"), ("b", "/"), ("c", "/"), ("", "")]
+    entries = [("a", "/", BLOCK), ("b", "/", ALLOW), ("b", "/", BLOCK), (None, "/", BLOCK), ("", "/", BLOCK), ("c", None, ALLOW)]
+    assert judged(spark, urls, entries)[1] == [("a/", BLOCK), ("b/", BLOCK), ("c", ALLOW), None]
+    assert judged(spark, urls, [])[1] == [None] * 4
+
+
+def test_a_list_of_half_the_hosts(spark):
+    """A list as large as the pages, given as a table; a host in a third of the rows."""
+    rows = [(i, f"https://h{0 if i % 3 == 0 else i}.example.org/p{i}") for i in range(20_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    listed = spark.range(0, 20_000, 2).selectExpr("concat('h', id, '.example.org') AS host", "'' AS path", "'block' AS verdict")
+    got = {r.page_id: r.verdict for r in url_filter.judged_pages(pages, listed).collect()}
+    assert got == {i: BLOCK if i % 3 == 0 or i % 2 == 0 else ALLOW for i in range(20_000)}
 
 
-def test_an_empty_list(tmp_path):
-    file = str(tmp_path / "list")
-    DigestList.write([], file)
-    assert not any(DigestList(file).judge(["a.com"], ["/"]))
+def test_hosts_under_a_listed_one_go(spark):
+    hosts = ["a.b.c", "b.c", "xb.c", "c.d", "e.c.d.e", "a.a.b.c", "d.e", "z", "z"]
+    frame = spark.createDataFrame([(h,) for h in hosts], "host string")
+    assert sorted(r.host for r in url_filter.without_subdomains(frame).collect()) == ["b.c", "c.d", "d.e", "xb.c", "z"]
