@@ -33,19 +33,20 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def numbered(df: DataFrame, keys: list[str], id_column: str, parts: int, name: str) -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], by: list[str], parts: int, name: str) -> DataFrame:
     """``df`` with ``name``, a number from 0 without gaps within each key.
 
     A key may hold any share of the rows: each key is dealt over ``parts`` hash
-    parts, the rows of a part are ranked in one task, and the parts' counts,
-    summed in order, shift the ranks. ``df`` is evaluated twice, so it should
-    be cheap. Rows with equal ids are numbered in any order.
+    parts of ``by``, the rows of a part are ranked in one task, and the parts'
+    counts, summed in order, shift the ranks. ``by`` must tell rows apart, or
+    those that are equal meet in one part. ``df`` is evaluated twice, so it
+    should be stored.
     """
     part = "_part"
-    dealt = df.withColumn(part, F.pmod(F.xxhash64(id_column), F.lit(parts)).cast("int"))
+    dealt = df.withColumn(part, F.pmod(F.xxhash64(*by), F.lit(parts)).cast("int"))
     counts = dealt.groupBy(*keys, part).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.select(*keys, part, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
-    rank = F.row_number().over(Window.partitionBy(*keys, part).orderBy(id_column)) - 1
+    rank = F.row_number().over(Window.partitionBy(*keys, part).orderBy(*by)) - 1
     joined = dealt.join(shifts, [*keys, part])
     return joined.withColumn(name, (rank + F.col("_shift")).cast("long")).drop(part, "_shift")

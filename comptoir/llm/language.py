@@ -30,8 +30,8 @@ DIMENSIONS = 1024
 N = 3
 UNKNOWN = "und"
 FOLDS = 5
-#: Characters that are bundled at a time, so that a batch's matrices stay small.
-CHUNK_CHARS = 100_000
+#: Characters, and texts, that are bundled at a time, so that a batch's matrices stay small.
+CHUNK_CHARS, CHUNK_TEXTS = 100_000, 256
 #: n-grams whose vectors are in memory at a time.
 BLOCK = 4096
 _UNIT = 1 << 20
@@ -70,7 +70,7 @@ def _chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
     first, size = 0, 0
     for i, text in enumerate(texts):
         size += len(text or "")
-        if size >= CHUNK_CHARS:
+        if size >= CHUNK_CHARS or i + 1 - first >= CHUNK_TEXTS:
             yield first, i + 1
             first, size = i + 1, 0
     if first < len(texts):
@@ -184,13 +184,18 @@ def document_languages(docs: DataFrame) -> DataFrame:
     return known.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
 
 
-#: A text with at least so many letters and a smaller cosine is in no learned language.
-SURE_LETTERS, LEAST_COSINE = 200, 0.15
+#: The cosine of vectors that have nothing in common varies by this much around 0, whatever the texts' lengths.
+NOISE = DIMENSIONS**-0.5
+#: A text whose cosine is no more than the noise may give is in no learned language.
+LEAST_COSINE = 3 * NOISE
 
 
 def in_known_language(docs: DataFrame) -> DataFrame:
     """The documents without those that no learned language resembles: texts without
-    a letter, and long texts of letters in an order that no prototype has. Short texts stay."""
-    found = fitted(docs).column(docs.sparkSession, F.col("text"))
-    letters = F.length(F.regexp_replace("text", r"[^\p{L}]+", ""))
-    return docs.where((found["lang"] != UNKNOWN) & ((letters < SURE_LETTERS) | (found["score"] >= LEAST_COSINE)))
+    a letter, and texts that have next to no n-gram in common with any prototype,
+    as those in an unknown script. If no language could be learned all stay."""
+    profiles = fitted(docs)
+    if not profiles.languages:
+        return docs
+    found = profiles.column(docs.sparkSession, F.col("text"))
+    return docs.where((found["lang"] != UNKNOWN) & (found["score"] >= LEAST_COSINE))

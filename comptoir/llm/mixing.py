@@ -7,8 +7,8 @@ seed, the document's id and its text: reruns agree, in any partitioning.
 DataFrame functions only.
 
 Nulls: a null source is a source of its own, last in order; a null text has no
-words, is emitted by the same rule and takes nothing. Repeated rows (same id
-and text) share one draw. A source without words has target 0 and rate 0. An
+words, is emitted by the same rule and takes nothing. Repeated rows (same
+source, id and text) are numbered, and each has a draw of its own. A source without words has target 0 and rate 0. An
 empty table gives an empty mix. Other columns pass through unchanged.
 """
 
@@ -16,7 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from comptoir.llm.common import column, fresh, word_count
+from comptoir.llm.common import column, fresh, numbered, word_count
+from comptoir.operators.lookups import lookup_join
 from comptoir.sources.stores import written
 
 WEIGHTS = (5, 2, 1)
@@ -26,12 +27,15 @@ SHARE = (3, 2)
 MOST = 2
 SEED = "mix-1"
 _DRAW_DIGITS = 12
+#: Tasks over which the copies of one row are numbered.
+COPY_PARTS = 256
 
 
-def draw(doc_id: Column, text: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) from the leading hex digits of an MD5."""
+def draw(doc_id: Column, text: Column, copy: Column | None = None, seed: str = SEED) -> Column:
+    """A number in [0, 1) from the leading hex digits of an MD5. ``copy`` counts repeated rows from 0."""
     part = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    digest = F.md5(F.concat(F.lit(seed), F.lit("/"), part(doc_id), F.lit("/"), part(text)))
+    again = F.lit("") if copy is None else F.when(copy > 0, F.concat(F.lit("/"), copy.cast("string"))).otherwise(F.lit(""))
+    digest = F.md5(F.concat(F.lit(seed), F.lit("/"), part(doc_id), F.lit("/"), part(text), again))
     return F.conv(F.substring(digest, 1, _DRAW_DIGITS), 16, 10).cast("double") / F.lit(float(16**_DRAW_DIGITS))
 
 
@@ -74,6 +78,15 @@ def copies(rate: Column, drawn: Column) -> Column:
     return (F.floor(rate) + F.when(drawn < rate - F.floor(rate), 1).otherwise(0)).cast("long")
 
 
+def _row_key() -> Column:
+    return F.xxhash64("source", "doc_id", F.col("text").isNull(), "text")
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """key, n of the keys that several rows have. Counted before the shuffle."""
+    return written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "mix-repeated")
+
+
 def plan(docs: DataFrame, **options) -> DataFrame:
     """doc_id, source, size, source_size, target, rate, copies: one row per document.
 
@@ -81,26 +94,48 @@ def plan(docs: DataFrame, **options) -> DataFrame:
     for the sums and again for the plan.
     """
     measured = docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"), draw(F.col("doc_id"), F.col("text")).alias("draw"))
+        "doc_id", "source", word_count(F.col("text")).alias("size"), draw(F.col("doc_id"), F.col("text")).alias("draw"), _row_key().alias("key"))
     stored = written(measured, "mix-sizes")
     sums = stored.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = written(source_targets(sums, **options), "mix-targets")  # its true size decides on a broadcast
-    joined = stored.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
+    repeated = _repeated(stored)
+    marked = lookup_join(stored, repeated, "key")
+    columns = ["doc_id", "source", "size", "draw"]
+    # Rows that occur once have their draw; the others are read again, numbered and drawn one by one.
+    again = docs.withColumn("key", _row_key()).join(repeated, "key", "left_semi").select(
+        "doc_id", "source", "text", "key", word_count(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row"))
+    again = numbered(written(again, "mix-copies"), ["key"], ["row"], COPY_PARTS, "copy")
+    drawn = marked.where("n IS NULL").select(*columns).unionAll(
+        again.select("doc_id", "source", "size", draw(F.col("doc_id"), F.col("text"), F.col("copy")).alias("draw")))
+    joined = drawn.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
     return joined.drop("of").withColumn("copies", copies(F.col("rate"), F.col("draw"))).drop("draw")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, whole, each as often as it is taken; columns as in ``docs``.
 
-    Two passes over the text: one for the sums, one that emits.
+    Two passes over the text: one for the sums, one that emits. Repeated rows
+    are stored before they are numbered.
     """
-    of, rate, drawn, one = fresh(docs, "_of", "_rate", "_drawn", "_one")
-    sums = docs.select("source", word_count(F.col("text")).alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
+    of, rate, one, key, row, copy = fresh(docs, "_of", "_rate", "_one", "key", "row", "_copy")
+    measured = written(docs.select("source", word_count(F.col("text")).alias("size"), _row_key().alias("key")), "mix-sizes")
+    sums = measured.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = written(source_targets(sums, **options), "mix-targets").select(F.col("source").alias(of), F.col("rate").alias(rate))
-    joined = docs.join(targets, F.col("source").eqNullSafe(column(of)))
-    times = copies(column(rate), draw(F.col("doc_id"), F.col("text"))).cast("int")
-    emitted = joined.withColumn(one, F.explode(F.array_repeat(F.lit(1), times)))
-    return emitted.select(*(column(c) for c in docs.columns))
+    repeated = _repeated(measured).select(F.col("key").alias(key))
+
+    def emitted(rows: DataFrame, drawn: Column) -> DataFrame:
+        joined = rows.join(targets, F.col("source").eqNullSafe(column(of)))
+        times = copies(column(rate), drawn).cast("int")
+        return joined.withColumn(one, F.explode(F.array_repeat(F.lit(1), times))).select(*(column(c) for c in docs.columns))
+
+    id_and_text = F.col("doc_id"), F.col("text")
+    if repeated.isEmpty():
+        return emitted(docs, draw(*id_and_text))
+    keyed = docs.withColumn(key, _row_key())
+    again = written(keyed.join(repeated, key, "left_semi").withColumn(row, F.monotonically_increasing_id()), "mix-copies")
+    counted = numbered(again, [key], [row], COPY_PARTS, copy)
+    once = keyed.join(repeated, key, "left_anti")
+    return emitted(once, draw(*id_and_text)).unionAll(emitted(counted, draw(*id_and_text, column(copy))))
 
 
 def mixed_words(docs: DataFrame) -> DataFrame:
@@ -113,9 +148,10 @@ MIXED_WORDS_SQL = f"""
 WITH measured AS (
   SELECT doc_id, source,
          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('{SEED}/' || coalesce(doc_id::VARCHAR, '') || '/' || coalesce(text, '')), 1, {_DRAW_DIGITS}))::BIGINT::DOUBLE
+         ('0x' || substr(md5('{SEED}/' || coalesce(doc_id::VARCHAR, '') || '/' || coalesce(text, '')
+             || CASE WHEN copy > 0 THEN '/' || copy::VARCHAR ELSE '' END), 1, {_DRAW_DIGITS}))::BIGINT::DOUBLE
            / {float(16**_DRAW_DIGITS)!r}::DOUBLE AS draw
-  FROM documents),
+  FROM (SELECT *, row_number() OVER (PARTITION BY source, doc_id, text) - 1 AS copy FROM documents)),
 sums AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          [5, 2, 1][(row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1] AS weight

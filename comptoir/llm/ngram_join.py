@@ -60,8 +60,8 @@ PART, LEAST_PARTS = 1 << 20, 16
 STORED_BYTES = 5
 #: A group with more sets is compared in blocks, not by pairs.
 GROUP = 64
-#: Sets on each side of a block.
-BLOCK = 1024
+#: Sets, and shingles, on each side of a block, about.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 LEFT, RIGHT, BOTH = 0, 1, 2
 #: Ids that may be broadcast to find the texts of candidates (8 bytes each); beyond, they are joined.
 BROADCAST_IDS = 2_000_000
@@ -378,8 +378,10 @@ def _pair_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _group_links(stars: DataFrame, sets: DataFrame) -> DataFrame:
     """Links among the sets of large groups: each connected part of the stars, in blocks of a bounded size."""
-    part = written(components(stars), "join-groups")
-    sizes = part.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    part = components(stars).join(sets.select("id", F.size("tokens").alias("n")), F.col("node") == F.col("id"))
+    part = written(part.select("component", "node", "n"), "join-groups")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = part.groupBy("component").agg(blocks.alias("blocks"))
     placed = part.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     placed = placed.join(sets, F.col("node") == F.col("id")).select("component", "blocks", "block", "id", "tokens")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")

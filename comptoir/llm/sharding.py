@@ -155,6 +155,7 @@ def best_fit_shards(docs: DataFrame, shards: int = SHARDS, grain: int = GRAIN, r
         (F.octet_length(text).cast("long") + row_bytes).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.when(F.col("text").isNull(), F.lit("")).otherwise(F.md5("text")).alias("digest"),
+        F.monotonically_increasing_id().alias("row"),  # stored, it tells equal rows apart from here on
     )
     stored = written(measured, "shard-sizes")
     totals = stored.agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
@@ -182,14 +183,14 @@ def best_fit_shards(docs: DataFrame, shards: int = SHARDS, grain: int = GRAIN, r
     big = groups.where(large).select("digest").where(F.lit(True))
     of = stored.join(F.broadcast(big.withColumn("_own", F.lit(True))), "digest", "left")
     of = of.withColumn("_item", F.when(F.col("_own"), F.col("digest")).otherwise(crate)).drop("_own")
-    in_one = of.join(F.broadcast(whole), "_item").select("doc_id", "size", "text_crc32", "shard")
+    in_one = of.join(F.broadcast(whole), "_item").select("doc_id", "size", "text_crc32", "row", "shard")
     split = of.join(F.broadcast(pieces), "digest")
     parts = max(16, -(-totals.rows // (shards * PART_ROWS)))
-    counted = numbered(split, ["digest"], "doc_id", max(parts, totals.rows // PART_ROWS), "copy")
+    counted = numbered(split, ["digest"], ["doc_id", "row"], max(parts, totals.rows // PART_ROWS), "copy")
     piece = F.filter("pieces", lambda p: (p["from_copy"] <= F.col("copy")) & (F.col("copy") < p["to_copy"]))
-    in_many = counted.select("doc_id", "size", "text_crc32", piece[0]["shard"].alias("shard"))
+    in_many = counted.select("doc_id", "size", "text_crc32", "row", piece[0]["shard"].alias("shard"))
     dealt = written(in_one.unionAll(in_many), "shard-places")
-    return numbered(dealt, ["shard"], "doc_id", parts, "slot")
+    return numbered(dealt, ["shard"], ["doc_id", "row"], parts, "slot").drop("row")
 
 
 def shard_of_documents(docs: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -81,12 +83,30 @@ def test_odd_rows(spark):
 
 
 def test_filter_keeps_clean_documents(spark):
-    noise = "".join(chr(0x4E00 + i) for i in range(300))
-    rows = made(150) + [(900, noise, "aa", "s"), (902, "!!!", "aa", "s"), (905, None, "aa", "s"), (906, "ab", "aa", "s")]
+    """Texts in scripts that no label teaches go at every length; those in a learned language stay."""
+    pick, clean = random.Random(2), made(150)
+    script = lambda first, n: "".join(chr(first + pick.randrange(24)) if pick.random() < 0.85 else " " for _ in range(n))
+    foreign = [(1000 + i, "x" + script((0x430, 0x3B1, 0x4E00, 0x5D0)[i % 4], 4 + 3 * i)[1:], None, "s") for i in range(200)]
+    rows = clean + foreign + [(902, "!!!", "aa", "s"), (905, None, "aa", "s")]
     kept = language.in_known_language(frame(spark, rows))
     assert kept.columns == frame(spark, rows).columns
     ids = {r.doc_id for r in kept.collect()}
-    assert {i for i, *_ in made(150)} | {906} <= ids and not {902, 905} & ids
+    assert {i for i, *_ in clean} <= ids and not {902, 905} & ids
+    stayed = [i for i, *_ in foreign if i in ids]
+    assert len(stayed) <= 0.03 * len(foreign), stayed
+
+
+def test_filter_keeps_all_if_nothing_was_learned(spark):
+    rows = [(i, t, None, s) for i, t, _, s in made(20)]
+    assert language.in_known_language(frame(spark, rows)).count() == 20
+
+
+def test_many_short_texts_take_little_memory():
+    texts = [None, "", *(f"{i:09}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(10_000))]
+    tracemalloc.start()
+    rows = language.bundles(texts)
+    assert rows.shape == (10_002, language.DIMENSIONS) and tracemalloc.get_traced_memory()[1] < 250e6
+    tracemalloc.stop()
 
 
 def test_no_labels_no_language(spark):

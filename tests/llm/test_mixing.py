@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import re
 
+import duckdb
+
 from comptoir.llm import mixing
 from llm.cases import frame, odd_rows, text
 
@@ -47,6 +49,29 @@ def test_targets_and_takes(spark):
     assert sorted(map(repr, got)) == sorted(map(repr, again))
 
 
+def test_repeated_rows_are_drawn_one_by_one(spark):
+    """1,000 rows of three texts without id: one draw for each text would miss the target by up to a third."""
+    rows = [(None, text(i % 3, 4), "en", "c") for i in range(1000)] + [(i, text(i, 9), "en", "ab"[i % 2]) for i in range(2000)]
+    rows += [(7, "one", "en", "c"), (7, "one", "en", None)] * 40
+    docs = frame(spark, rows)
+    got = mixing.mixed_words(docs).collect()
+    taken = sum(r.taken for r in got if r.source == "c")
+    target = next(r.target for r in got if r.source == "c")
+    assert len(got) == len(rows) and 1 < target / sizes_of(rows)["c"] < 2 and abs(taken - target) < 0.03 * target
+    again = mixing.mixed_words(frame(spark, rows[::-1]).repartition(3)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    planned = sorted(repr((r.doc_id, r.source, r["size"])) for r in mixing.plan(docs).collect() for _ in range(r.copies))
+    mixed = sorted(repr((r.doc_id, r.source, len(r.text.split()))) for r in mixing.mix(docs).collect())
+    assert planned == mixed
+
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(i, t, s) for i, t, _, s in rows])
+    result = connection.execute(mixing.MIXED_WORDS_SQL)
+    names = [c[0] for c in result.description]
+    assert sorted(repr([r[c] for c in names]) for r in got) == sorted(repr(list(row)) for row in result.fetchall())
+
+
 def test_emitted_documents_are_those_of_the_plan(spark):
     rows = odd_rows()
     docs = frame(spark, rows)

@@ -96,6 +96,24 @@ def test_random_near_copies(spark, monkeypatch, group, block):
     assert joined(frame(spark, rows)) == brute(rows)
 
 
+def test_blocks_are_cut_by_shingles_too(spark, monkeypatch):
+    """A connected part of few but long sets is compared in several blocks; the links are the same."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 6000)
+    calls = spark.sparkContext.accumulator(0)
+    real = ngram_join._block_links
+
+    def counted(sets):
+        calls.add(1)
+        assert sets["tokens"].map(len).sum() < 30_000
+        return real(sets)
+
+    monkeypatch.setattr(ngram_join, "_block_links", lambda sets: counted(sets))
+    base = words(4, 600)
+    rows = [(i, edited(base, [i * 5, i * 5 + 2]), "en", "x") for i in range(110)]
+    assert joined(frame(spark, rows)) == brute(rows)
+    assert calls.value > 10
+
+
 @pytest.mark.parametrize("segments", [1, 2, 3])
 def test_linked_sets_share_a_signature(segments, monkeypatch):
     """With very few segments most sets need deletions or the group for the rest."""

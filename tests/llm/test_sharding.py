@@ -3,7 +3,11 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from comptoir.llm import sharding
+from comptoir.llm.common import numbered
+from comptoir.sources.stores import written
 from llm.cases import frame, odd_rows, text
 
 
@@ -47,6 +51,17 @@ def test_a_group_larger_than_a_shard_is_divided(spark):
     assert len(held) == 40 and max(held.values()) < 1.05 * mean
 
 
+def test_rows_without_id_are_many_tasks(spark):
+    """Equal rows are dealt over the parts too: no part of a number holds them all."""
+    rows = [(None, "the same row", None, None)] * 3000 + [(i, text(i, 6), None, None) for i in range(1000)]
+    checked(rows, sharding.shard_of_documents(frame(spark, rows)).collect())
+    stored = written(spark.range(9000).selectExpr("1 AS k", "id AS row", "CAST(NULL AS BIGINT) AS doc_id"), "equal-rows")
+    counted = numbered(stored, ["k"], ["doc_id", "row"], 16, "n")
+    assert sorted(r.n for r in counted.collect()) == list(range(9000))
+    parts = stored.groupBy(F.pmod(F.xxhash64("doc_id", "row"), F.lit(16))).count().agg(F.max("count")).first()[0]
+    assert parts < 9000 / 8
+
+
 def test_tree_finds_the_tightest_bin():
     import random
 
