@@ -6,18 +6,21 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from comptoir.operators.sketches import estimated, sketched
+
 # A 64-bit value is read as high, middle and low bits, so a counting step never
 # has more than 2^24 (first) or 2^20 (later) groups per wanted quantile.
 SHIFTS = (40, 20, 0)
 
 
 def quantiles(
-    df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float], exact: bool = True
+    df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float], exact: bool = True, error: float = 0.01,
 ) -> DataFrame:
     """One row with, per name, the array of its quantiles as BIGINT.
 
     A quantile is the smallest value whose cumulative share reaches the
-    probability; nulls do not count. ``exact=False`` uses Spark's sketch.
+    probability; nulls do not count. ``exact=False`` estimates them within
+    ``error`` of rank in one pass.
 
     The exact form counts values by their leading bits, picks for each quantile
     the group that holds its rank, and repeats inside that group with the next
@@ -25,11 +28,8 @@ def quantiles(
     distinct values nor one very frequent value ends up in a single task.
     """
     if not exact:
-        arrays = [
-            F.percentile_approx(c.cast("long"), F.array(*map(F.lit, probs)), 10_000).alias(n)
-            for n, c in columns.items()
-        ]
-        return df.agg(*arrays)
+        whole = sketched(df, columns=columns, error=error)
+        return whole.select(*(estimated(n, probs).alias(n) for n in columns))
 
     pairs = [F.struct(F.lit(n).alias("name"), c.cast("long").alias("v")) for n, c in columns.items()]
     values = df.select(F.inline(F.array(*pairs))).where("v is not null")

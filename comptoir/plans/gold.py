@@ -24,6 +24,9 @@ RUPTURE, CRITIQUE, FAIBLE, NORMAL, SUR_STOCK = (
 CHAMPION, FIDELE, A_RISQUE, POTENTIEL, NOUVEAU, PERDU = (
     "💎 Champion", "⭐ Fidèle", "😴 A Risque", "📈 Potentiel", "🆕 Nouveau", "💤 Perdu")
 
+#: Error of rank of the quartiles where they are estimated.
+RFM_ERROR = 0.05
+
 PRODUCT = ["nom", "categorie", "marque"]
 CLIENT = ["nom", "prenom", "ville", "segment", "region"]
 
@@ -156,7 +159,7 @@ def rfm_cuts(per_client: DataFrame, exact: bool = True) -> Column:
     found = quantiles(
         per_client,
         {"backwards": backwards, "sales": F.col(t.SALES), "cents": F.round(t.AMOUNT, 2) * 100},
-        [0.25, 0.5, 0.75], exact)
+        [0.25, 0.5, 0.75], exact, RFM_ERROR)
     last_day = F.array(*(-F.col("backwards")[i] for i in (2, 1, 0))).alias("last_day")
     return found.select(F.struct(last_day, "sales", "cents")).scalar()
 

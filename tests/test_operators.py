@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from itertools import combinations
 
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 
 from comptoir.operators.dedup import one_per_key
 from comptoir.operators.lookups import lookup_join
-from comptoir.operators import pairs
+from comptoir.operators import pairs, sketches
 from comptoir.operators.pairs import item_counts, top_pairs
 from comptoir.operators.quantiles import quantiles
-from comptoir.sources.stores import balanced
+from comptoir.sources.stores import balanced, written
 from conftest import final_plan
 
 
@@ -42,6 +43,38 @@ def test_quantiles(spark, values):
     assert found.b == [brute_quantile([-v for v in known], p) for p in probs]
 
 
+def skewed_values(n):
+    """Most values small, a third equal, a long tail."""
+    pick = random.Random(n)
+    return [7 if pick.random() < 1 / 3 else int(pick.paretovariate(0.7) * 10) for _ in range(n)]
+
+
+@pytest.mark.parametrize("error", [0.01, 0.05])
+def test_sketches_keep_their_error(spark, error):
+    """Direct, and merged from 60 groups of uneven size, on skewed values."""
+    values, probs = skewed_values(60_000), [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
+    df = spark.createDataFrame([(int((i % 3600) ** 0.5), v) for i, v in enumerate(values)] + [(3, None)], "g long, v long").repartition(9)
+    groups = sketches.sketched(df, "g", columns={"v": F.col("v")}, error=error)
+    stored = written(groups, "sketches")
+    merged = sketches.merged(stored, names=["v"]).select(sketches.estimated("v", probs).alias("v"))
+    direct = quantiles(df, {"v": F.col("v")}, probs, exact=False, error=error)
+    ordered = sorted(values)
+    for found in (merged.first().v, direct.first().v):
+        for p, v in zip(probs, found):
+            low, high = bisect_left(ordered, v) / len(ordered), bisect_right(ordered, v) / len(ordered)
+            assert low - error <= p <= high + error
+    widest = stored.select(F.max(F.length("v"))).first()[0]
+    assert widest < 20 * sketches.size_for(error) + 1000
+
+
+def test_sketches_of_nothing(spark):
+    df = spark.createDataFrame([(None,)], "v long")
+    for rows in (df, df.limit(0)):
+        assert quantiles(rows, {"v": F.col("v")}, [0.5, 0.9], exact=False).first().v == [None, None]
+    with pytest.raises(ValueError):
+        sketches.size_for(0)
+
+
 def brute_pairs(rows, limit, at_least, distinct=False):
     groups: dict = {}
     for g, item, label in rows:
