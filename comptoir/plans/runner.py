@@ -27,12 +27,20 @@ PARTITION_BYTES = 128 * 1024 * 1024
 REPORT = "layer STRING, table STRING, status STRING, rows BIGINT, error STRING"
 
 
+def by_client(buckets: int) -> dict[tuple[str, str], tuple[str, int]]:
+    """Sales and clients stored by client, so that what is summed or joined by client needs no shuffle of the sales."""
+    return {("silver", "ventes"): ("client_id", buckets), ("silver", "clients"): ("client_id", buckets)}
+
+
 class Runner:
-    """``partition_by`` gives the partition column of (layer, table)."""
+    """``partition_by`` gives the partition column of (layer, table), ``bucket_by`` its bucket column and their number."""
 
-    def __init__(self, store: TableStore, partition_by: dict[tuple[str, str], str] = PARTITIONED):
+    def __init__(
+        self, store: TableStore, partition_by: dict[tuple[str, str], str] = PARTITIONED,
+        bucket_by: dict[tuple[str, str], tuple[str, int]] | None = None,
+    ):
         self.store = store
-        self._partition_by = partition_by
+        self._partition_by, self._bucket_by = partition_by, bucket_by or {}
         self._lines: list[tuple] = []
         self._cleaned: list[tuple] = []
 
@@ -40,7 +48,8 @@ class Runner:
         self, layer: str, name: str, build: Callable[[], DataFrame], source: str | None = None, watch: Watch | None = None,
     ) -> None:
         try:
-            rows = self.store.write(build(), layer, name, self._partition_by.get((layer, name)), source)
+            place = layer, name
+            rows = self.store.write(build(), layer, name, self._partition_by.get(place), source, self._bucket_by.get(place))
             self._lines.append((layer, name, "OK", rows, None))
             if watch:
                 self._cleaned.append(watch.line(rows))
@@ -98,11 +107,12 @@ class Runner:
 def run_pipeline(
     source, store: TableStore, files: dict[str, str] | None = None,
     partition_by: dict[tuple[str, str], str] = PARTITIONED, input_bytes: int | None = None,
+    bucket_by: dict[tuple[str, str], tuple[str, int]] | None = None,
 ) -> Runner:
     """Runs all layers; the runner has the reports. With ``input_bytes`` the shuffles are sized for that input first."""
     if input_bytes is not None:
         size_shuffles(store.spark, input_bytes)
-    runner = Runner(store, partition_by)
+    runner = Runner(store, partition_by, bucket_by)
     runner.bronze(source, files)
     runner.silver()
     runner.gold()
@@ -125,6 +135,7 @@ def main() -> None:
     arguments.add_argument("--format", default="iceberg", help="table format of the catalog")
     arguments.add_argument("--by-table", action="store_true", help="landing files lie in raw/{table}/")
     arguments.add_argument("--infer", action="store_true", help="infer column types from the CSV")
+    arguments.add_argument("--buckets-by-client", type=int, help="store sales and clients in so many buckets instead of by date")
     arguments.add_argument("--quarantine", action="store_true", help="keep lines that are no records in a table of their own")
     arguments.add_argument("--daily-by-date", action="store_true", help="partition the daily gold tables too")
     given = arguments.parse_args()
@@ -132,8 +143,11 @@ def main() -> None:
     spark = SparkSession.builder.appName("retail layers").getOrCreate()
     store = TableStore(spark, root=given.root, catalog=given.catalog, format=given.format)
     partition_by = PARTITIONED | DAILY_BY_DATE if given.daily_by_date else PARTITIONED
+    bucket_by = by_client(given.buckets_by_client) if given.buckets_by_client else {}
+    partition_by = {place: column for place, column in partition_by.items() if place not in bucket_by}
     source = LandingTables(spark, given.landing, RAW_FILES if given.by_table else FILES, given.infer, given.quarantine)
-    runner = run_pipeline(source, store, partition_by=partition_by, input_bytes=folder_bytes(spark, given.landing))
+    runner = run_pipeline(
+        source, store, partition_by=partition_by, input_bytes=folder_bytes(spark, given.landing), bucket_by=bucket_by)
     report = runner.report()
     report.show(100, truncate=False)
     runner.cleaning().show(truncate=False)

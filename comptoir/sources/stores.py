@@ -134,15 +134,25 @@ class TableStore:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}{place}")
 
     def write(self, df: DataFrame, layer: str, name: str, partition_by: str | None = None,
-              source: str | None = None) -> int:
-        """Replaces the table and returns its row count, taken during the write."""
+              source: str | None = None, bucket_by: tuple[str, int] | None = None) -> int:
+        """Replaces the table and returns its row count, taken during the write.
+
+        ``bucket_by`` (column, number) stores the rows by hash of the column, in
+        order of it: joins and aggregates on it then need no shuffle. A key that
+        holds much of the table is one task in those.
+        """
+        if bucket_by and (partition_by or self.catalog):
+            raise ValueError("buckets are for Parquet tables without partitions")
         if layer == "bronze" and "_source_file" in df.columns:
             stamped = df
         else:
             stamped = with_lineage(df, layer, source)
         seen = Observation()
         # Bronze is written as it was split for reading; other layers come out of shuffles of any size.
-        even = stamped if layer == "bronze" and not partition_by else balanced(stamped, partition_by)
+        if bucket_by:
+            even = stamped.repartition(bucket_by[1], bucket_by[0])  # a file per bucket
+        else:
+            even = stamped if layer == "bronze" and not partition_by else balanced(stamped, partition_by)
         rows = even.observe(seen, F.count(F.lit(1)).alias("rows"))
         self.create_database(layer)
         if self.catalog:
@@ -154,7 +164,7 @@ class TableStore:
                 writer = writer.partitionedBy(F.col(partition_by))
             writer.createOrReplace()
         else:
-            staged = {f"{layer}.{name}": self._stage(rows, layer, name, partition_by)}
+            staged = {f"{layer}.{name}": self._stage(rows, layer, name, partition_by, bucket_by)}
             if self._staged is None:
                 self._publish(staged)
             else:
@@ -179,11 +189,18 @@ class TableStore:
         if staged:
             self._publish(staged)
 
-    def _stage(self, rows: DataFrame, layer: str, name: str, partition_by: str | None) -> dict:
+    def _stage(
+        self, rows: DataFrame, layer: str, name: str, partition_by: str | None, bucket_by: tuple[str, int] | None,
+    ) -> dict:
         path = f"{self.root}/{layer}/{layer}_{name}/{uuid.uuid4().hex}"
         writer = rows.write.format("parquet").option("compression", COMPRESSION)
-        (writer.partitionBy(partition_by) if partition_by else writer).save(path)
-        return {"path": path, "partition_by": partition_by}
+        if bucket_by:  # only a table is written in buckets; its files stay when its name goes
+            draft = f"{self.database(layer)}.draft_{uuid.uuid4().hex}"
+            writer.bucketBy(bucket_by[1], bucket_by[0]).sortBy(bucket_by[0]).option("path", path).saveAsTable(draft)
+            self.spark.sql(f"DROP TABLE {draft}")
+        else:
+            (writer.partitionBy(partition_by) if partition_by else writer).save(path)
+        return {"path": path, "partition_by": partition_by, "bucket_by": bucket_by}
 
     def _publish(self, staged: dict[str, dict]) -> None:
         self._commit(self.manifest() | staged)
@@ -234,23 +251,33 @@ class TableStore:
         """
         table, path = self.table(layer, name), entry["path"]
         before = self._location(table)
-        if before and not entry["partition_by"]:
+        if before and not entry["partition_by"] and not entry["bucket_by"]:
             columns = [(f.name, f.dataType) for f in self.spark.read.parquet(path).schema]
-            if columns == [(f.name, f.dataType) for f in self.spark.table(table).schema]:
+            if columns == [(f.name, f.dataType) for f in self.spark.table(table).schema] and not (self._known(before) or entry)["bucket_by"]:
                 self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
                 self.spark.catalog.refreshTable(table)
                 return
         try:
-            self._create(table, path, entry["partition_by"])
+            self._create(table, entry)
         except Exception:
             if before:
-                self._create(table, before, entry["partition_by"])
+                self._create(table, self._known(before) or {**entry, "path": before})
             raise
 
-    def _create(self, table: str, path: str, partition_by: str | None) -> None:
+    def _known(self, path: str) -> dict | None:
+        """The entry of a version that one of the last manifests names."""
+        return next((e for m in reversed(self._manifests()) for e in self._load(m).values() if e["path"] == path), None)
+
+    def _create(self, table: str, entry: dict) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
-        if partition_by:
+        path, columns, buckets = entry["path"], "", ""
+        if entry["bucket_by"]:  # Spark asks for the columns of a table in buckets
+            by, number = entry["bucket_by"]
+            schema = self.spark.read.parquet(path).schema
+            columns = f"({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)})"
+            buckets = f"CLUSTERED BY (`{by}`) SORTED BY (`{by}`) INTO {number} BUCKETS"
+        self.spark.sql(f"CREATE TABLE {table} {columns} USING parquet {buckets} LOCATION '{path}'")
+        if entry["partition_by"]:
             self.spark.catalog.recoverPartitions(table)
 
     def recover(self) -> None:

@@ -9,10 +9,13 @@ import pytest
 from __spark_entry__ import queries
 from comptoir.plans.layers import BRONZE, GOLD, SILVER, register_views
 from comptoir.plans.rules import cleaning_report
-from comptoir.plans.runner import Runner, run_pipeline, size_shuffles
+from comptoir.operators.totals import roll_up
+from comptoir.plans import gold
+from comptoir.plans.runner import Runner, by_client, run_pipeline, size_shuffles
 from comptoir.plans.serving import REPORTS
 from comptoir.sources.landing import FILES, RAW_FILES, LandingTables, manifest, read_csv, rejects, split_csv
 from comptoir.sources.retail_tables import RetailTables
+from conftest import final_plan
 from comptoir.sources.stores import TableStore, _hadoop, intermediates, run_folder, written
 
 
@@ -148,6 +151,31 @@ def test_readers_keep_the_version_they_began_with(spark, tmp_path):
     assert begun.count() == 5 and store.read("silver", "x").count() == 7
 
 
+def test_sales_stored_by_client_are_not_shuffled(spark, folder, house, tmp_path, conf):
+    """With broadcasts off, the roll-up by client and its join read the stored sales without an exchange."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    runner = Runner(TableStore(spark, root=str(tmp_path), database_prefix="bucket_"), {}, by_client(8))
+    runner.bronze(RetailTables(spark, folder))
+    runner.silver()
+    assert runner.report().where("status <> 'OK'").count() == 0
+    silver = runner.stored("silver")
+    rolled = roll_up(silver.ventes, "client_id").join(silver.clients, "client_id", "left")
+    plan = final_plan(rolled)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+    basket = final_plan(gold.customer_basket(silver.ventes, silver.clients))
+    assert "SortMergeJoin" in basket and "Exchange" not in basket
+    for build in (gold.customer_basket, gold.sales_by_region):
+        assert sorted(map(repr, build(silver.ventes, silver.clients).collect())) == sorted(
+            map(repr, build(house.silver.ventes, house.silver.clients).collect()))
+    files = {p.name.split("_")[-1] for p in tmp_path.glob("silver/silver_ventes/*/part-*.parquet")}
+    assert len(files) == len(list(tmp_path.glob("silver/silver_ventes/*/part-*.parquet"))) == 8
+    # Replaced by a table without buckets and back.
+    runner.store.write(silver.clients, "silver", "clients")
+    assert runner.store.read("silver", "clients").count() == house.silver.clients.count()
+    with pytest.raises(ValueError):
+        runner.store.write(silver.clients, "silver", "x", "ville", bucket_by=("client_id", 2))
+
+
 class Stop(Exception):
     pass
 
