@@ -14,8 +14,12 @@ breaks in roles too, so no control string (``<|turn|>``, ``</s>``, ``[INST]``)
 can stand in them, and the output can be read back exactly.
 
 A turn's tokens are its words and punctuation marks, plus ``TURN_TOKENS``.
-DataFrame functions only. Running sums are taken in blocks of turns, so a
-conversation may hold any share of the rows.
+DataFrame functions only. Turns are range-partitioned in their order and running
+sums are taken by range, so a conversation may hold any share of the rows; only
+turns of one conversation that are equal in number, role and the first ``LEAD``
+code points are in one range. Windows are rows of their own. ``read_back``, which
+the query needs for its digests, puts a whole conversation in one row: its text
+must stay under the two gigabytes of a Spark value.
 
 Nulls: a null text or role is empty; a null turn comes before all others, a
 null conv_id is a conversation. Turns of equal number are ordered by role and
@@ -29,8 +33,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from comptoir.sources.stores import written
 
 SPAN, HISTORY, TURN_TOKENS = 384, 128, 4
-#: Turn numbers in a block of running sums.
-TURN_BLOCK = 1024
+#: Code points of a text that ranges of turns are cut by.
+LEAD = 32
 TURN, END = "<|turn|>", "<|end|>\n"
 ASSISTANT, SYSTEM = "assistant", "system"
 #: A conversation whose texts look like control strings.
@@ -61,14 +65,14 @@ def _placed(conversations: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     tokens = F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]")) + TURN_TOKENS
     turns = conversations.select(
-        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"),
-        tokens.cast("long").alias("tokens"), F.floor(F.col("turn") / TURN_BLOCK).alias("block"))
-    turns = written(turns, "chat-turns")
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"), tokens.cast("long").alias("tokens"))
+    ranged = turns.repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, LEAD))
+    turns = written(ranged.withColumn("block", F.spark_partition_id()), "chat-turns")
     sums = turns.groupBy("conv_id", "block").agg(F.sum("tokens").alias("sum"))
     earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sums.select("conv_id", "block", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("shift"))
     shifts = shifts.select(*(F.col(c).alias(f"_{c}") for c in shifts.columns))
-    same = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & F.col("block").eqNullSafe(F.col("_block"))
+    same = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & (F.col("block") == F.col("_block"))
     inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
     running = F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     joined = turns.join(shifts, same).select(
@@ -141,3 +145,33 @@ def read_back(formatted: DataFrame) -> DataFrame:
 def formatted_conversations(conversations: DataFrame) -> DataFrame:
     """Every conversation and the one of control strings, formatted and read back."""
     return read_back(written(windows(with_control_conversation(conversations)), "chat-windows"))
+
+
+_SHOWN_SQL = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')"
+FORMATTED_CONVERSATIONS_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT {CONTROL[0]}, 0, 'user', '{CONTROL[1]}' UNION ALL SELECT {CONTROL[0]}, 1, '{ASSISTANT}', '{CONTROL[1]}'),
+counted AS (
+  SELECT *, len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}\\x09-\\x0D\\x20]')) + {TURN_TOKENS} AS tokens,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+         {len(TURN) + 1 + len(END)} + length({_SHOWN_SQL.format('text')}) + length(replace({_SHOWN_SQL.format('role')}, chr(10), '&#10;')) AS shown
+  FROM turns),
+placed AS (SELECT *, (sum(tokens) OVER (PARTITION BY conv_id ORDER BY place) - tokens)::BIGINT AS before FROM counted),
+cut AS (SELECT *, before // {SPAN} AS span FROM placed),
+opened AS (SELECT DISTINCT conv_id, span FROM cut),  -- windows with new turns
+repeats AS (
+  SELECT c.conv_id, shown FROM cut c JOIN opened o ON c.conv_id IS NOT DISTINCT FROM o.conv_id AND o.span = c.span + 1
+  WHERE (c.span + 1) * {SPAN} - before <= {HISTORY}
+  UNION ALL SELECT c.conv_id, shown FROM cut c JOIN opened o ON c.conv_id IS NOT DISTINCT FROM o.conv_id AND o.span > 0
+  WHERE place = 1 AND role = '{SYSTEM}'),
+again AS (SELECT conv_id, sum(shown) AS shown FROM repeats GROUP BY conv_id),
+whole AS (
+  SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+         coalesce(sum(length(text)) FILTER (role = '{ASSISTANT}'), 0)::BIGINT AS loss_chars,
+         sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = '{ASSISTANT}'), '')) AS loss_sha256,
+         sum(shown) AS shown, count(DISTINCT span)::BIGINT AS n_windows
+  FROM cut GROUP BY conv_id)
+SELECT w.conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, (w.shown + coalesce(a.shown, 0))::BIGINT AS formatted_chars, n_windows
+FROM whole w LEFT JOIN again a ON w.conv_id IS NOT DISTINCT FROM a.conv_id
+"""

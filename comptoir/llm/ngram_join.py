@@ -485,3 +485,23 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     if again.isEmpty():
         return kept
     return met(kept, again, "left_anti").unionAll(met(kept, again, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+#: For small tables: all pairs that share a shingle, then all that can be reached from a document.
+JOIN_DOCUMENTS_SQL = """
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+classes AS (SELECT list_sort(s) AS s, min(r) AS c, min(doc_id) AS least, len(any_value(s)) AS n FROM shingles GROUP BY list_sort(s)),
+flat AS (SELECT c, n, unnest(s) AS t FROM classes),
+links AS (
+  SELECT a.c AS a, b.c AS b FROM flat a JOIN flat b ON a.t = b.t AND a.c <> b.c
+  GROUP BY a.c, b.c HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+reached AS (SELECT c AS a, c AS b FROM classes UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+components AS (SELECT a, min(least) AS least FROM reached JOIN classes ON b = c GROUP BY a)
+SELECT doc_id, n::BIGINT AS n_shingles, CASE WHEN n = 0 THEN doc_id ELSE coalesce(p.least, doc_id) END AS component_id
+FROM shingles x JOIN classes k ON list_sort(x.s) = k.s JOIN components p ON p.a = k.c
+"""

@@ -48,7 +48,9 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_mix_sources": mixing.MIXED_WORDS_SQL,
+        "op4_chat_format": chat.FORMATTED_CONVERSATIONS_SQL,
         "op6_decontamination": decontaminate.CONTAINED_ITEMS_SQL,
+        "op7_ngram_join": ngram_join.JOIN_DOCUMENTS_SQL,
         "op10_url_filter": url_filter.JUDGED_PAGES_SQL,
         "op11_line_dedup": line_dedup.LINE_REPORT_SQL,
     }
