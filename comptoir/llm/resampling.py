@@ -138,7 +138,10 @@ class NgramTable:
             slot[waiting] = (slot[waiting] + 1) & (size - 1)
         self.used = np.flatnonzero(self.holder >= 0)
         self.bucket = np.zeros(size, np.int64)
-        self.bucket[self.used] = [zlib.crc32(spans.of(i)) % BUCKETS for i in self.holder[self.used].tolist()]
+        first = spans.start[self.holder[self.used]]
+        bounds = zip(first.tolist(), (first + spans.length[self.holder[self.used]]).tolist())
+        text, crc = spans.buffer, zlib.crc32
+        self.bucket[self.used] = np.array([crc(text[a:b]) for a, b in bounds], np.int64) % BUCKETS
         self.count = np.bincount(self.slots, minlength=size)
 
 
