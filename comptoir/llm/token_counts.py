@@ -28,8 +28,10 @@ import tiktoken
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Ranks of a byte-level vocabulary, one base64 token and its id per line.
+#: Ranks of a byte-level vocabulary, one base64 token and its id per line: a path on the driver.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: The Spark setting that names another one.
+SETTING = "comptoir.vocabulary"
 #: Fixed value: the pattern that cuts a text before this vocabulary encodes it.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 RULES = ("majority", "first")
@@ -84,10 +86,11 @@ def allocated(first: np.ndarray, after: np.ndarray, starts: np.ndarray, length:
     return (np.bincount(section, minlength=len(starts)), np.bincount(section[crossing], minlength=len(starts)))
 
 
-def section_tokens(text: Column, spark: SparkSession, vocabulary: str = VOCABULARY, rule: str = "majority") -> Column:
+def section_tokens(text: Column, spark: SparkSession, vocabulary: str | None = None, rule: str = "majority") -> Column:
     """Array of (start, end, n_tokens, n_crossing), one element per section, in order."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
+    vocabulary = vocabulary or spark.conf.get(SETTING, VOCABULARY)
     spark.sparkContext.addFile(vocabulary)  # to every executor, once
     name = os.path.basename(vocabulary)
 
@@ -104,7 +107,7 @@ def section_tokens(text: Column, spark: SparkSession, vocabulary: str = VOCABULA
     return F.arrays_zip(*(found[c].alias(c) for c in ("start", "end", "n_tokens", "n_crossing")))
 
 
-def document_sections(docs: DataFrame, vocabulary: str = VOCABULARY, rule: str = "majority") -> DataFrame:
+def document_sections(docs: DataFrame, vocabulary: str | None = None, rule: str = "majority") -> DataFrame:
     """doc_id, section (from 0), start, end, n_tokens, n_crossing: one row per section of every text."""
     sections = section_tokens(F.col("text"), docs.sparkSession, vocabulary, rule)
     rows = docs.select("doc_id", sections.alias("found")).select("doc_id", F.posexplode("found").alias("section", "found"))
