@@ -43,6 +43,7 @@ class Runner:
         self._partition_by, self._bucket_by = partition_by, bucket_by or {}
         self._lines: list[tuple] = []
         self._cleaned: list[tuple] = []
+        self._rejected: list[tuple] = []
 
     def _attempt(
         self, layer: str, name: str, build: Callable[[], DataFrame], source: str | None = None, watch: Watch | None = None,
@@ -61,6 +62,8 @@ class Runner:
         with self._layer():
             for name in BRONZE:
                 self._attempt("bronze", name, lambda: getattr(source, name)(), (files or {}).get(name))
+                if self._lines[-1][2] == "OK" and hasattr(source, "rejected"):
+                    self._rejected += source.rejected(name)
             if getattr(source, "sets_aside", False):
                 self._attempt("bronze", "quarantine", source.quarantined)
 
@@ -95,6 +98,10 @@ class Runner:
     def stored(self, layer: str) -> Tables:
         return StoredTables(lambda name: self.store.read(layer, name))
 
+    def rejects(self) -> DataFrame:
+        """table, column, n: cells of the landing files that were not of their type, observed in the bronze jobs."""
+        return self.store.spark.createDataFrame(self._rejected, "table STRING, column STRING, n BIGINT")
+
     def cleaning(self) -> DataFrame:
         """What the rules did to each silver table, observed in the jobs that wrote it."""
         return self.store.spark.createDataFrame(self._cleaned, CLEANING)
@@ -151,8 +158,7 @@ def main() -> None:
     report = runner.report()
     report.show(100, truncate=False)
     runner.cleaning().show(truncate=False)
-    if not given.infer:
-        source.rejects().where("n > 0").show(100, truncate=False)
+    runner.rejects().where("n > 0").show(100, truncate=False)
     for line in report.where("status = 'OK' AND layer = 'bronze'").collect():
         store.read("bronze", line.table, lineage=True).printSchema()
     store.schemas().show(100, truncate=False)

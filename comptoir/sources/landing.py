@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from comptoir.sources.lineage import with_lineage
@@ -111,13 +111,22 @@ def declared(text: DataFrame, table: str, *kept: str) -> DataFrame:
     return text.select(*(_as_declared(c, type_of(table, c)).alias(c) for c in columns_of(table)), *kept)
 
 
+def _typed(table: str) -> list[str]:
+    return [c for c in columns_of(table) if type_of(table, c) != "STRING"]
+
+
+def _bad_cells(table: str) -> list[Column]:
+    """Per typed column, the number of cells that hold something else."""
+    bad = lambda c: (F.trim(F.col(f"`{c}`")) != "") & _as_declared(c, type_of(table, c)).isNull()
+    return [F.count_if(bad(c)).alias(c) for c in _typed(table)]
+
+
 def rejects(spark: SparkSession, path: str, table: str) -> DataFrame:
     """column, n: cells that hold something which is not of the declared type, by column."""
     text = _text(spark, path)
     _check_header(text, table)
-    columns = [c for c in columns_of(table) if type_of(table, c) != "STRING"]
-    bad = {c: (F.trim(F.col(f"`{c}`")) != "") & _as_declared(c, type_of(table, c)).isNull() for c in columns}
-    counted = text.agg(*(F.count_if(condition).alias(c) for c, condition in bad.items()))
+    columns = _typed(table)
+    counted = text.agg(*_bad_cells(table))
     return counted.select(F.explode(F.array(*(
         F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("n")) for c in columns))).alias("found")).select("found.*")
 
@@ -136,6 +145,7 @@ class LandingTables:
             raise ValueError("types are inferred from all lines; quarantine needs declared types")
         self._spark, self._folder, self._files = spark, folder, files
         self._infer, self._quarantine = infer, quarantine
+        self._seen: dict[str, Observation] = {}
 
     def __getattr__(self, table: str) -> Callable[[], DataFrame]:
         if table.startswith("_") or table not in self._files:
@@ -150,7 +160,9 @@ class LandingTables:
                 text = checked_lines(self._spark, path).where("_fault IS NULL")
             else:
                 text = _text(self._spark, path, F.col("_metadata.file_name").alias("_read_from"))
-            typed = declared(text, table, "_read_from")
+            _check_header(text, table)
+            self._seen[table] = Observation()
+            typed = declared(text.observe(self._seen[table], *_bad_cells(table)), table, "_read_from")
             return with_lineage(typed, "bronze", F.col("_read_from")).drop("_read_from")
 
         return load
@@ -164,8 +176,12 @@ class LandingTables:
         return reduce(DataFrame.unionAll, (
             split_csv(self._spark, f"{self._folder}/{file}", table)[1] for table, file in self._files.items()))
 
+    def rejected(self, table: str) -> list[tuple[str, str, int]]:
+        """(table, column, n) of a table whose frame has been evaluated, without reading it again."""
+        return [(table, c, n) for c, n in self._seen[table].get.items()] if table in self._seen else []
+
     def rejects(self) -> DataFrame:
-        """table, column, n over all landing files: what the types cost."""
+        """table, column, n over all landing files: what the types cost. Reads them."""
         each = [
             rejects(self._spark, f"{self._folder}/{file}", table).select(F.lit(table).alias("table"), "column", "n")
             for table, file in self._files.items()

@@ -330,6 +330,20 @@ def test_the_pipeline_keeps_a_quarantine_table(spark, folder, tmp_path):
     assert store.read("bronze", "canaux").where("canal_id >= 77").count() == 1
 
 
+def test_bad_cells_are_counted_while_bronze_is_written(spark, folder, tmp_path):
+    source = RetailTables(spark, folder)
+    for name in BRONZE:
+        getattr(source, name)().write.option("header", True).csv(f"{tmp_path}/landing/{FILES[name]}")
+    header = ",".join(f.name for f in source.ventes().schema)
+    (tmp_path / "landing" / FILES["ventes"] / "more.csv").write_text(f"{header}\n1,yesterday,2,3,4,five,6\n2,,x,,,,1.5\n")
+    landing = LandingTables(spark, f"{tmp_path}/landing")
+    runner = Runner(TableStore(spark, root=f"{tmp_path}/tables", database_prefix="cells_"))
+    runner.bronze(landing)
+    counted = {(r.table, r.column): r.n for r in runner.rejects().collect()}
+    assert {k: n for k, n in counted.items() if n} == {("ventes", "date_vente"): 1, ("ventes", "quantite"): 1, ("ventes", "client_id"): 1}
+    assert counted == {(r.table, r.column): r.n for r in landing.rejects().collect()}
+
+
 def test_a_later_file_with_another_header_is_an_error(spark, tmp_path):
     landed(tmp_path, "canaux.csv/a.csv", "canal_id,nom", "1,web")
     landed(tmp_path, "canaux.csv/b.csv", "nom,canal_id", "web,1")
