@@ -214,6 +214,10 @@ SELECTS["src_csv_quarantine"] = """
     FROM (SELECT *, vente_id % 97 AS kind, 6 + length(concat(vente_id, date_vente, client_id, produit_id, canal_id, quantite, montant)) AS whole
           FROM bronze_ventes)"""
 SELECTS["sink_overwrite_roundtrip"] = "SELECT *, 'silver' AS _layer FROM silver_clients"
+SELECTS["sink_published_set"] = """
+    SELECT 'client' AS kind, client_id AS id, nom FROM silver_clients
+    UNION ALL SELECT 'produit', produit_id, nom FROM silver_produits"""
+SELECTS["sink_bucketed_basket"] = SELECTS["gold_customer_basket"]
 SELECTS["sink_partitioned_pruned_read"] = """
     SELECT date_vente, count(*) AS n, CAST(sum(montant) AS DOUBLE) AS montant FROM silver_ventes
     WHERE date_vente >= DATE '1998-01-01' AND date_vente < DATE '1998-04-01' GROUP BY date_vente"""
