@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from comptoir.operators.lookups import lookup_join
 from comptoir.sources.stores import written
 
 
@@ -16,7 +17,7 @@ def _with_least(edges: DataFrame, own_counts: bool) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("least"))
     if own_counts:
         least = least.withColumn("least", F.least("a", "least"))
-    return edges.join(least.withColumnRenamed("a", "node"), F.col("a") == F.col("node")).drop("node")
+    return lookup_join(edges, least, "a", "inner")
 
 
 def _stars(edges: DataFrame) -> DataFrame:

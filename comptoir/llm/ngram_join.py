@@ -48,6 +48,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from comptoir.llm.components import components
 from comptoir.llm.shingles import mixed, shingle_sets
+from comptoir.operators.lookups import lookup_join
 from comptoir.sources.stores import written
 
 #: Shingles whose frequency is known to all tasks; others count as rare.
@@ -443,6 +444,10 @@ def _labelled(docs: DataFrame, key: Column | None = None) -> tuple[DataFrame, Da
     return known, written(labelled, "join-labels")
 
 
+def _class() -> Column:
+    return F.struct("id", "check").alias("class")
+
+
 def join_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per document.
 
@@ -450,8 +455,8 @@ def join_documents(docs: DataFrame) -> DataFrame:
     """
     known, labelled = _labelled(docs)
     least = labelled.groupBy("component").agg(F.min("rep").alias("component_id"))
-    placed = labelled.join(least, "component").select("id", "check", "component_id")
-    of = known.join(placed, ["id", "check"], "left")
+    placed = lookup_join(labelled, least, "component", "inner").select(_class(), "component_id")
+    of = lookup_join(known.withColumn("class", _class()), placed, "class")  # a class may hold any share of the rows
     return of.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -465,11 +470,11 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     """
     key = F.coalesce(F.md5("text"), F.lit(""))
     known, labelled = _labelled(docs, key)
-    rows = known.join(labelled.select("id", "check", "component"), ["id", "check"], "left")
+    rows = lookup_join(known.withColumn("class", _class()), labelled.select(_class(), "component"), "class")
     rows = written(rows.groupBy("doc_id", "key", "n", "id", "check", "component").agg(F.count(F.lit(1)).alias("times")), "join-rows")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "id", "check", "key")
     first = rows.where("n > 0").groupBy("component").agg(F.min(order).alias("first"))
-    placed = rows.where("n > 0").join(first, "component")
+    placed = lookup_join(rows.where("n > 0"), first, "component", "inner")
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
     names = lambda df: df.select(F.col("doc_id").alias("_of"), F.col("key").alias("_key"))
     away = written(names(placed.where(~stays)), "join-away")
