@@ -203,9 +203,14 @@ class TableStore:
         return {"path": path, "partition_by": partition_by, "bucket_by": bucket_by}
 
     def _publish(self, staged: dict[str, dict]) -> None:
+        files, unfinished = _hadoop(self.spark, f"{self.root}/_manifest/unfinished")
+        if files.exists(unfinished):  # else the versions that tables still point to would go
+            self.recover()
+        files.create(unfinished, True).close()
         self._commit(self.manifest() | staged)
         for key, entry in staged.items():
             self._point(*key.split(".", 1), entry)
+        files.delete(unfinished, False)
         self._forget_old()
 
     # The manifests are numbered files; the highest number is current.

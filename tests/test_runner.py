@@ -230,6 +230,23 @@ def test_a_failure_at_any_step_leaves_a_whole_set(spark, tmp_path, partition_by)
     assert not failed and seen == {10, 20}
 
 
+def test_tables_of_a_broken_publish_outlive_the_next_ones(spark, tmp_path):
+    store = TableStore(spark, root=str(tmp_path), database_prefix="next_")
+    with store.publishing():
+        for name in ("a", "b"):
+            store.write(spark.range(10), "silver", name)
+    with pytest.MonkeyPatch.context() as patch:
+        point = store._point
+        patch.setattr(store, "_point", lambda layer, name, entry: point(layer, name, entry) if name == "a" else (_ for _ in ()).throw(Stop()))
+        with pytest.raises(Stop), store.publishing():
+            for name in ("a", "b"):
+                store.write(spark.range(20), "silver", name)
+    assert store.read("silver", "b").count() == 10 and store.snapshot("silver", "b").count() == 20
+    for n in (30, 31, 32):
+        store.write(spark.range(n), "silver", "a")
+        assert (store.read("silver", "a").count(), store.read("silver", "b").count()) == (n, 20)
+
+
 def test_intermediates_go_with_their_block(spark, house):
     def left(folder):
         files, place = _hadoop(spark, folder)
