@@ -13,7 +13,9 @@ the driver.
 
 Nulls: a text that is null or has no letter is ``und`` with score 0, as is
 every text if no labelled text has a letter. Rows without language do not
-train. Ties go to the language first in order. Other columns are not read.
+train. Ties go to the language first in order. An empty table gives no rows.
+Other columns are not read. The prototypes are broadcast: four kilobytes for each
+distinct value of lang.
 """
 
 from __future__ import annotations

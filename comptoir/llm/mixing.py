@@ -9,7 +9,9 @@ DataFrame functions only.
 Nulls: a null source is a source of its own, last in order; a null text has no
 words, is emitted by the same rule and takes nothing. Repeated rows (same
 source, id and text) are numbered, and each has a draw of its own. A source without words has target 0 and rate 0. An
-empty table gives an empty mix. Other columns pass through unchanged.
+empty table gives an empty mix. Other columns pass through unchanged. Targets are
+set in one task over one small row per source: millions of sources (hosts, say) are
+a sort of millions of rows there, and a larger join, but not a limit.
 """
 
 from __future__ import annotations

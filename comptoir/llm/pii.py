@@ -17,7 +17,8 @@ anything rewritten is mapped back and added. Base spans always stay.
 
 Only texts with a sign of a disguise are rewritten. All steps take time in
 proportion to the text. A null text counts as empty; an empty text has no
-spans. Rows are judged one by one, so repeated rows repeat their result.
+spans. Rows are judged one by one, so repeated rows repeat their result; an
+empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ A character spelled by several tokens belongs to the span of each.
 
 Sections are lines, each with its line break, so they cover the text. The
 counts of a text's sections add up to its tokens. A null or empty text has one
-empty section without tokens. Rows are counted one by one; repeated rows repeat.
+empty section without tokens. Rows are counted one by one; repeated rows repeat,
+and an empty table gives no rows.
 """
 
 from __future__ import annotations
