@@ -64,11 +64,11 @@ class Bronze(Tables):
 
 
 class Silver(Tables):
-    """``watches`` has the observers of the tables that are to be observed."""
+    """``watches`` has the observers of the tables that are to be observed; ``many_returns`` see ``silver.retours``."""
 
-    def __init__(self, bronze: Tables, watches: dict[str, Watch] | None = None):
+    def __init__(self, bronze: Tables, watches: dict[str, Watch] | None = None, many_returns: bool = False):
         self._bronze = bronze
-        self._watches = watches or {}
+        self._watches, self._many_returns = watches or {}, many_returns
 
     @cached_property
     def clients(self) -> DataFrame:
@@ -88,7 +88,7 @@ class Silver(Tables):
 
     @cached_property
     def retours(self) -> DataFrame:
-        return silver.retours(self._bronze.retours, self._bronze.ventes, self._watches.get("retours"))
+        return silver.retours(self._bronze.retours, self._bronze.ventes, self._watches.get("retours"), self._many_returns)
 
     @cached_property
     def canaux(self) -> DataFrame:

@@ -24,6 +24,8 @@ DAILY_BY_DATE = {("gold", "ca_daily"): "date_vente", ("gold", "daily_trend"): "d
 # Shuffle partitions for an input size. AQE merges partitions that turn out small,
 # so too many cost little, while too few spill.
 PARTITION_BYTES = 128 * 1024 * 1024
+# Stored returns of more bytes have too many ids to be broadcast.
+MANY_RETURNS = 64 * 1024 * 1024
 REPORT = "layer STRING, table STRING, status STRING, rows BIGINT, error STRING"
 
 
@@ -69,7 +71,8 @@ class Runner:
 
     def silver(self) -> None:
         watches = {name: Watch(name) for name in SILVER}
-        tables = Silver(self.stored("bronze"), watches)
+        many = self.store.bytes("bronze", "retours") > MANY_RETURNS
+        tables = Silver(self.stored("bronze"), watches, many)
         with self._layer():
             for name in SILVER:
                 self._attempt("silver", name, lambda: tables[name], watch=watches[name])

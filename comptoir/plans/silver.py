@@ -103,17 +103,19 @@ def returns_without_lookups(bronze: DataFrame, watch: Watch | None = None) -> Da
     })
 
 
-def returned(bronze_ventes: DataFrame, wanted: DataFrame) -> DataFrame:
+def returned(bronze_ventes: DataFrame, wanted: DataFrame, many: bool = False) -> DataFrame:
     """The sales whose ``vente_id`` is among the wanted ones.
 
-    Most others go in the scan, by marks of the wanted ids, so that they are not
-    shuffled where the ids are too many to be broadcast.
+    Few ids are broadcast, so the others go in the scan. If they are too ``many``
+    for that, most others go there by marks of the ids, and are not shuffled.
     """
-    near = bronze_ventes.where(may_hold(key_marks(wanted), F.col("vente_id")))
+    near = bronze_ventes.where(may_hold(key_marks(wanted), F.col("vente_id"))) if many else bronze_ventes
     return near.join(wanted, "vente_id", "left_semi")
 
 
-def with_sale(retours: DataFrame, bronze_ventes: DataFrame, bronze_retours: DataFrame | None = None) -> DataFrame:
+def with_sale(
+    retours: DataFrame, bronze_ventes: DataFrame, bronze_retours: DataFrame | None = None, many: bool = False,
+) -> DataFrame:
     """The raw sale of each return, chosen as in silver_ventes when repeated.
 
     Few sales are returned, so the others go before the survivors are chosen;
@@ -122,7 +124,7 @@ def with_sale(retours: DataFrame, bronze_ventes: DataFrame, bronze_retours: Data
     already, so it needs no shuffle of the sales.
     """
     wanted = (retours if bronze_retours is None else bronze_retours).select("vente_id").dropna().distinct()
-    sold = survivors(returned(bronze_ventes, wanted), "ventes", "vente_id").select(
+    sold = survivors(returned(bronze_ventes, wanted, many), "ventes", "vente_id").select(
         "vente_id", F.col("montant").cast(MONEY).alias("montant_retour"), "canal_id", "client_id"
     )
     zero = F.lit(0).cast(MONEY)
@@ -130,8 +132,9 @@ def with_sale(retours: DataFrame, bronze_ventes: DataFrame, bronze_retours: Data
     return joined.select(*retours.columns, "montant_retour", "canal_id", "client_id")
 
 
-def retours(bronze: DataFrame, bronze_ventes: DataFrame, watch: Watch | None = None) -> DataFrame:
-    return with_sale(returns_without_lookups(bronze, watch), bronze_ventes, bronze)
+def retours(bronze: DataFrame, bronze_ventes: DataFrame, watch: Watch | None = None, many: bool = False) -> DataFrame:
+    """``many``: the returns are too many to be broadcast; it changes the plan only."""
+    return with_sale(returns_without_lookups(bronze, watch), bronze_ventes, bronze, many)
 
 
 def canaux(bronze: DataFrame, watch: Watch | None = None) -> DataFrame:

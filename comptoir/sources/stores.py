@@ -303,6 +303,14 @@ class TableStore:
                     remove(self.spark, entry["path"])
             remove(self.spark, manifest)
 
+    def bytes(self, layer: str, name: str) -> int:
+        """Size of the current version of a table under ``root``; 0 if there is none."""
+        entry = self.manifest().get(f"{layer}.{name}") if self.root else None
+        if not entry:
+            return 0
+        files, folder = _hadoop(self.spark, entry["path"])
+        return files.getContentSummary(folder).getLength()
+
     def snapshot(self, layer: str, name: str) -> DataFrame:
         """The table as the manifest has it: tables that were published together are read together."""
         entry = self.manifest()[f"{layer}.{name}"]

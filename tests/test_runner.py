@@ -10,7 +10,7 @@ from __spark_entry__ import queries
 from comptoir.plans.layers import BRONZE, GOLD, SILVER, register_views
 from comptoir.plans.rules import cleaning_report
 from comptoir.operators.totals import roll_up
-from comptoir.plans import gold
+from comptoir.plans import gold, runner as runner_module
 from comptoir.plans.runner import Runner, by_client, run_pipeline, size_shuffles
 from comptoir.plans.serving import REPORTS
 from comptoir.sources.landing import FILES, RAW_FILES, LandingTables, manifest, read_csv, rejects, split_csv
@@ -55,6 +55,17 @@ def test_cleaning_is_observed_during_the_write(done, house):
     assert all(written == read - duplicate - dropped for _, read, duplicate, _, _, dropped, written in observed)
 
 
+def test_many_returns_change_the_plan_only(spark, done, house, monkeypatch, tmp_path):
+    store, _, _ = done
+    assert store.bytes("bronze", "retours") > 0 and store.bytes("bronze", "none") == 0
+    monkeypatch.setattr(runner_module, "MANY_RETURNS", 0)
+    again = Runner(TableStore(spark, root=str(tmp_path), database_prefix="many_"))
+    for name in BRONZE:
+        again.store.write(store.read("bronze", name), "bronze", name)
+    again.silver()
+    assert sorted(map(repr, again.store.read("silver", "retours").collect())) == sorted(map(repr, house.silver.retours.collect()))
+
+
 def test_empty_tables_are_observed(spark, house):
     class Empty:
         def __getattr__(self, name):
