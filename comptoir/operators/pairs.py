@@ -23,10 +23,16 @@ reach the result are left out beforehand, exactly, by one plan at every size:
    cell under the bar are in no result; only the others are counted one by one.
 
 One item or group that dominates makes the bar high, so few items remain after
-step 3. Where items are evenly popular, step 3 prunes little but step 5 does:
-no large table of all pairs is shuffled or kept. Pairs are still formed, twice,
-from the items of each group. Step 5 changes the work, never the result; at
-fewer rows counting them outright is faster.
+step 3. Where items are evenly popular, step 3 prunes little; step 5 does as long
+as the bar is well above ``all scores / CELLS``. Step 5 changes the work, never
+the result; at fewer rows counting them outright is faster.
+
+Rows of pairs grow with the input while the bar of evenly popular items does not,
+so past some size all cells are full. ``top_pairs_by_item`` therefore shuffles no
+pairs: each item gets, from every group, the list of the items that follow it
+there, a number for each, and its pairs are formed and counted in the task that
+holds the lists. An item with very many partners is counted by several tasks, each
+with some of the partners.
 """
 
 from __future__ import annotations
@@ -35,14 +41,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from comptoir.operators.lookups import lookup_join
 from comptoir.operators.marks import cell_is_marked, marked_cells
+from comptoir.sources.stores import written
 
 #: Items whose pairs give the bar; more if the limit is larger.
 LEAST_SEEDS = 128
 BLOCK_ITEMS = 4096
 #: Sums of step 5; a power of two. The marks of the cells, a bit each, are what every task holds.
 CELLS = 1 << 24
-#: Rows of pairs that are counted without step 5.
-OUTRIGHT = 1 << 26
+#: Rows of pairs that are counted outright.
+OUTRIGHT = 1 << 24
+#: Rows of pairs that one task of ``top_pairs_by_item`` is to count, and items of a group that one list may have.
+TASK_PAIRS = 1 << 21
+LIST_ITEMS = 1024
 
 
 def item_counts(
@@ -86,11 +96,85 @@ def top_pairs(
     return _best(_summed(pairs), limit, at_least)
 
 
-def cells_for(counts: DataFrame) -> int | None:
-    """``CELLS`` if the items of the groups form so many pairs that step 5 pays; one small job."""
+def rows_of_pairs(counts: DataFrame) -> float:
+    """How many rows of pairs the items of the groups form; one small job."""
     size = F.col("n").cast("double")
-    most = counts.groupBy("g").agg(F.count("*").alias("n")).agg(F.sum(size * (size - 1) / 2)).first()[0]
-    return CELLS if (most or 0) > OUTRIGHT else None
+    return counts.groupBy("g").agg(F.count("*").alias("n")).agg(F.sum(size * (size - 1) / 2)).first()[0] or 0
+
+
+def cells_for(counts: DataFrame) -> int | None:
+    """``CELLS`` if the items of the groups form so many pairs that step 5 pays."""
+    return CELLS if rows_of_pairs(counts) > OUTRIGHT else None
+
+
+def top_pairs_by_item(
+    counts: DataFrame, limit: int = 100, at_least: int = 2, task_pairs: int = TASK_PAIRS, list_items: int = LIST_ITEMS,
+) -> DataFrame:
+    """As ``top_pairs``, for any number of pairs. Writes its lists first, so ``counts`` should be a stored table."""
+    items = _items(counts)
+    found = counts.sparkSession.range(1).select(_bar(counts, items, limit, at_least).alias("bar")).first().bar
+    level = found.score if found else at_least - 1
+    load = F.col("load").cast("double")
+    above, all_loads = items.agg(F.sum(F.when(F.col("bound") > level, load)), F.sum(load)).first()
+    follows = lambda a, b: b > a
+    if pruned := (above or 0) < 0.75 * (all_loads or 0):  # else leaving items out costs more than it saves
+        marked = items.where(F.col("bound") >= level).select("item", (F.col("bound") > level).alias("above"))
+        counts = written(lookup_join(counts, marked, "item", "inner").select(*counts.columns, "above"), "pair-kept")
+        items = _items(counts)
+        all_loads = items.agg(F.sum(load)).first()[0]
+        upto = lambda a, b: (a < found.a) | ((a == found.a) & (b <= found.b)) if found else F.lit(False)
+        follows = lambda a, b: (b > a) & ((F.col("above_a") & F.col("above_b")) | upto(a, b))
+    tasks = int((all_loads or 0) / 2 // task_pairs) + 1
+    lists = written(_lists(counts if pruned else counts.withColumn("above", F.lit(True)), items, list_items, tasks), "pair-lists")
+    every_part = lists.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    left, right = (
+        _side(side.drop("parts"), name, ("g", "part")).repartition(tasks, "g", "part") for side, name in ((lists, "a"), (every_part, "b")))
+    met = left.join(right, ["g", "part"]).withColumn("a", F.explode("ids_a"))
+    partners = F.filter("ids_b", lambda b: follows(F.col("a"), b))
+    lines = met.select("a", "v_a", "v_b", (F.col("k_a") * F.col("k_b")).alias("k"), partners.alias("partners"))
+    placed = _in_shares(lines, items, task_pairs).where(F.size("partners") > 0).repartition(tasks, "a", "share")
+    pairs = placed.select("a", "share", "v_a", F.explode("partners").alias("b"), "v_b", "k")
+    scored = pairs.groupBy("a", "share", "b", "v_a", "v_b").agg(F.sum("k").alias("score"))
+    best = scored.where(F.col("score") >= at_least).orderBy(F.desc("score"), "a", "b", "v_a", "v_b").limit(limit)
+    for side in "ab":
+        names = items.select(F.col("item.id").alias(side), F.col("v").alias(f"v_{side}"), F.col("item.label").alias(f"label_{side}"))
+        best = names.join(F.broadcast(best), [side, f"v_{side}"])
+    return best.select("a", "label_a", "b", "label_b", "score").orderBy(*_result_order())
+
+
+def _items(counts: DataFrame) -> DataFrame:
+    """item, bound, load (the items of its groups) and v, which tells the labels of one id apart; stored."""
+    groups = counts.groupBy("g").agg(F.max("k").alias("largest"), F.count("*").alias("items")).where("items > 1")
+    items = lookup_join(counts, groups, "g", "inner").groupBy("item").agg(
+        F.sum(F.col("k") * F.col("largest")).alias("bound"), F.sum("items").alias("load"))
+    labels = Window.partitionBy("item.id").orderBy(F.asc_nulls_last("item.label"))
+    return written(items.withColumn("v", F.row_number().over(labels) - 1), "pair-items")
+
+
+def _lists(counts: DataFrame, items: DataFrame, list_items: int, tasks: int) -> DataFrame:
+    """g, part, k, v, above, parts, ids: a group's items of one k, label and flag, in ``parts`` parts by the id."""
+    sizes = counts.groupBy("g").agg(F.count("*").alias("items")).where(F.col("items") > list_items)
+    parts = written(sizes.select("g", F.ceil(F.col("items") / list_items).cast("int").alias("parts")).coalesce(1), "pair-parts")
+    further = items.where("v > 0")
+    v = F.lit(0)
+    if not further.isEmpty():
+        counts, v = lookup_join(counts, further.select("item", "v"), "item"), F.coalesce("v", F.lit(0))
+    known = lookup_join(counts.withColumn("v", v), parts, "g").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    part = F.pmod(F.xxhash64("item.id"), F.col("parts")).cast("int")
+    flat = known.select("g", part.alias("part"), "k", "v", "above", "parts", F.col("item.id").alias("id"))
+    together = flat.repartition(tasks, "g", "part")
+    return together.groupBy("g", "part", "k", "v", "above", "parts").agg(F.collect_list("id").alias("ids"))
+
+
+def _in_shares(lines: DataFrame, items: DataFrame, task_pairs: int) -> DataFrame:
+    """``lines`` with a column ``share``; those of an item with very many partners are cut into shares by partner."""
+    loads = items.groupBy(F.col("item.id").alias("a")).agg(F.sum("load").alias("load"))
+    heavy = loads.where(F.col("load") > 2 * task_pairs).select("a", F.ceil(F.col("load") / task_pairs).cast("int").alias("shares"))
+    # At most as many rows as there are tasks.
+    cut = lines.join(written(heavy.coalesce(1), "pair-shares"), "a", "left")
+    cut = cut.withColumn("share", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1)))
+    own = F.filter("partners", lambda b: F.pmod(F.xxhash64(b), F.col("shares")) == F.col("share"))
+    return cut.withColumn("partners", F.when(F.col("shares").isNull(), F.col("partners")).otherwise(own)).drop("shares")
 
 
 def _in_full_cells(pairs: DataFrame, level: Column, cells: int) -> DataFrame:

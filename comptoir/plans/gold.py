@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from comptoir.functions.calendar import month_columns, month_start, week_columns
 from comptoir.functions.numbers import money, percent, ratio
 from comptoir.operators import totals as t
-from comptoir.operators.pairs import cells_for, item_counts, top_pairs
+from comptoir.operators.pairs import OUTRIGHT, item_counts, rows_of_pairs, top_pairs, top_pairs_by_item
 from comptoir.operators.quantiles import quantiles
 from comptoir.sources.stores import written
 
@@ -264,7 +264,8 @@ def product_affinity(ventes: DataFrame, distinct_clients: bool = False) -> DataF
     Counts pairs of sales; ``distinct_clients=True`` counts clients.
     """
     counts = written(item_counts(ventes, "client_id", "produit_id", "categorie_produit", distinct_clients), "pair-counts")
-    pairs = top_pairs(counts, limit=100, at_least=2, cells=cells_for(counts))
+    pairs_of = top_pairs_by_item if rows_of_pairs(counts) > OUTRIGHT else top_pairs
+    pairs = pairs_of(counts, limit=100, at_least=2)
     return pairs.select(
         F.col("a").alias("produit_a"), F.col("label_a").alias("categorie_a"),
         F.col("b").alias("produit_b"), F.col("label_b").alias("categorie_b"),

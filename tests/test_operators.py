@@ -18,6 +18,7 @@ from comptoir.operators.lookups import lookup_join
 from comptoir.operators import pairs, sketches
 from comptoir.operators.pairs import item_counts, top_pairs
 from comptoir.operators.quantiles import quantiles
+from comptoir.plans import gold
 from comptoir.sources.stores import balanced, written
 from conftest import final_plan
 
@@ -171,6 +172,46 @@ def test_cells_are_used_where_pairs_are_many(spark, monkeypatch):
     assert pairs.cells_for(counts) == pairs.CELLS
 
 
+@pytest.mark.parametrize("case, distinct", [*((case, False) for case in CASES), ("hot both", True), ("two labels", True)])
+def test_pairs_by_item(spark, case, distinct):
+    """With groups in many lists and items in many shares."""
+    counts = item_counts(spark.createDataFrame(CASES[case], "g long, i long, l string"), "g", "i", "l", distinct).cache()
+    found = pairs.top_pairs_by_item(counts, task_pairs=500, list_items=7)
+    assert [tuple(r) for r in found.collect()] == brute_pairs(CASES[case], 100, 2, distinct)
+
+
+def test_pairs_by_item_of_texts_and_missing_labels(spark):
+    rows = [(g, f"i{i}", None if (g + i) % 3 == 0 else "x") for g in range(8) for i in range(12)]
+    counts = item_counts(spark.createDataFrame(rows, "g long, i string, l string"), "g", "i", "l").cache()
+    key = lambda r: (-r[4], r[0], r[2], r[1] is None, r[1] or "", r[3] is None, r[3] or "")
+    score: Counter = Counter()
+    for g in range(8):
+        for x, y in combinations([r[1:] for r in rows if r[0] == g], 2):
+            score[(*min(x, y, key=lambda i: i[0]), *max(x, y, key=lambda i: i[0]))] += 1
+    expected = sorted(((*pair, n) for pair, n in score.items() if n >= 2), key=key)[:100]
+    assert [tuple(r) for r in pairs.top_pairs_by_item(counts, task_pairs=200).collect()] == expected
+
+
+def test_the_shuffle_of_evenly_popular_pairs_is_a_number_each(spark):
+    """No item stands out; lists of items are shuffled, no rows of pairs."""
+    pick = random.Random(9)
+    rows = [(g, i, "a label that need not travel with each pair") for g in range(1500) for i in pick.sample(range(3000), 30)]
+    counts = item_counts(spark.createDataFrame(rows, "g long, i long, l string"), "g", "i", "l").cache()
+    found = pairs.top_pairs_by_item(counts, task_pairs=100_000)
+    plan = final_plan(found).partition("Initial Plan")[0]
+    assert [tuple(r) for r in found.collect()] == brute_pairs(rows, 100, 2, False)
+    assert plan.count("REPARTITION_BY_NUM") == 3 and "Exchange hashpartitioning(item_a" not in plan
+    after = plan[:plan.index("REPARTITION_BY_NUM")]
+    assert "hashpartitioning(a" in after and after.count("Exchange hashpartitioning") == 1
+
+
+def test_affinity_of_many_pairs_goes_by_item(spark, house, monkeypatch):
+    expected = [tuple(r) for r in gold.product_affinity(house.silver.ventes).collect()]
+    monkeypatch.setattr(gold, "OUTRIGHT", 1000)
+    monkeypatch.setattr(gold, "top_pairs", None)
+    assert expected and [tuple(r) for r in gold.product_affinity(house.silver.ventes).collect()] == expected
+
+
 def test_building_the_pairs_runs_nothing(spark):
     counts = item_counts(spark.createDataFrame([(1, 1, "a"), (1, 2, "b")] * 2, "g long, i long, l string"), "g", "i", "l")
     tracker = spark.sparkContext.statusTracker()
