@@ -411,3 +411,9 @@ def test_shuffle_partitions_follow_the_input(spark, conf):
     assert size_shuffles(spark, 1000) == spark.sparkContext.defaultParallelism
     assert size_shuffles(spark, 100 * 1024**3) == 800
     assert size_shuffles(spark, 100 * 1024**4) == 819_200
+
+
+def test_counted_tables_are_not_dealt_out_again(spark, folder, monkeypatch):
+    """The tables of catalog_tables go as soon as they are counted, so their files need not be even."""
+    monkeypatch.setattr("comptoir.sources.stores.balanced", None)
+    assert {r.table for r in queries()["catalog_tables"](spark, folder).collect()} == {f"silver_{name}" for name in SILVER}
