@@ -35,6 +35,10 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def counted(self, name: str) -> DataFrame:
+        """A frame with as many rows as the table."""
+        return self[name]
+
 
 class StoredTables(Tables):
     """Frames read back through a function from table name to DataFrame."""
@@ -70,6 +74,9 @@ class Silver(Tables):
         self._bronze = bronze
         self._watches, self._many_returns = watches or {}, many_returns
 
+    def counted(self, name: str) -> DataFrame:
+        return silver.counted_sales(self._bronze.ventes) if name == "ventes" else self[name]
+
     @cached_property
     def clients(self) -> DataFrame:
         return silver.clients(self._bronze.clients, self._watches.get("clients"))

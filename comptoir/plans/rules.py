@@ -90,7 +90,7 @@ def row_counts(bronze: Tables, silver_tables: Tables) -> DataFrame:
     """Rows before and after cleaning, per table."""
     def counted(name: str) -> DataFrame:
         before = bronze[name].select(F.lit(1).alias("before"), F.lit(0).alias("after"))
-        after = silver_tables[name].select(F.lit(0), F.lit(1))
+        after = silver_tables.counted(name).select(F.lit(0), F.lit(1))
         sums = before.unionAll(after).agg(F.sum("before").alias("bronze"), F.sum("after").alias("silver"))
         return sums.select(
             F.lit(name).alias("table"), "bronze", "silver", (F.col("bronze") - F.col("silver")).alias("removed"))

@@ -68,6 +68,17 @@ def sales_without_lookups(bronze: DataFrame, watch: Watch | None = None) -> Data
     return repaired.dropna(subset=["date_vente", "client_id", "produit_id"])
 
 
+def counted_sales(bronze: DataFrame) -> DataFrame:
+    """A row per row of silver_ventes, with only the columns that decide which sales are kept.
+
+    Copies are compared by these columns first, so the others, which would be
+    sorted with them, cannot change what the copy that is kept has here.
+    """
+    decisive = REQUIRED["ventes"]
+    kept = survivors(bronze.select("vente_id", *decisive), "ventes", "vente_id")
+    return kept.withColumn("date_vente", to_day(F.col("date_vente"))).dropna(subset=list(decisive))
+
+
 def with_channel(ventes: DataFrame, bronze_canaux: DataFrame) -> DataFrame:
     known = survivors(bronze_canaux, "canaux", "canal_id")
     names = known.select("canal_id", capitals(F.col("nom")).alias("nom_canal"))

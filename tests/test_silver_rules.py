@@ -16,6 +16,8 @@ from comptoir.functions.text import or_default
 from comptoir.operators.dedup import one_per_key
 from comptoir.operators.marks import key_marks, may_hold
 from comptoir.plans import silver
+from comptoir.plans.layers import Silver
+from comptoir.plans.rules import row_counts
 from comptoir.sources.schemas import SCHEMAS
 from conftest import final_plan
 
@@ -197,3 +199,26 @@ def test_marks_forget_no_key(spark, n):
     marked = spark.range(-10, 8000).select(F.col("id").alias("k")).where(may_hold(key_marks(keys, most=1 << 12), F.col("k")))
     assert {7 * i - 3 for i in range(n)} <= {r.k for r in marked.collect()}
     assert n or marked.count() == 0
+
+
+def test_sales_are_counted_by_the_columns_that_decide(spark):
+    """Copies with gaps and with texts that are no dates; the count has the rows of silver_ventes and sorts no amounts."""
+    head = "vente_id long, date_vente string, client_id long, produit_id long, canal_id int, quantite int, montant decimal(18,2)"
+    rows = [(i % 40 if i % 9 else None, (None, "2024-01-02", "no date", "2024-03-05")[i * 7 % 4], None if i % 5 == 0 else i % 3,
+             None if i % 11 == 0 else i % 4, i % 6, -i if i % 4 else None, None) for i in range(200)]
+    bronze = spark.createDataFrame(rows, head)
+    goods = spark.createDataFrame([], "produit_id long, nom string, categorie string, prix decimal(18,2), marque string")
+    whole = silver.ventes(bronze, spark.createDataFrame([], "canal_id int, nom string"), goods)
+    counted = silver.counted_sales(bronze)
+    key = ["vente_id", "date_vente", "client_id", "produit_id"]
+    assert sorted(map(str, counted.select(key).collect())) == sorted(map(str, whole.select(key).collect()))
+    assert 0 < counted.count() < bronze.select("vente_id").distinct().count()
+    aggregates = [line for line in counted._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate" in line]
+    assert aggregates and "montant" not in "".join(aggregates)
+
+
+def test_row_counts_of_sales_build_no_whole_sales(house, monkeypatch):
+    expected = house.silver.ventes.count()
+    monkeypatch.setattr(silver, "ventes", None)
+    counted = {r.table: r.silver for r in row_counts(house.bronze, Silver(house.bronze)).collect()}
+    assert counted["ventes"] == expected
