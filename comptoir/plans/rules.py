@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from comptoir.functions import calendar, numbers, text
 from comptoir.functions.geography import region_of
@@ -99,13 +99,15 @@ def row_counts(bronze: Tables, silver_tables: Tables) -> DataFrame:
 
 
 def cleaning_report(bronze: Tables) -> DataFrame:
-    """What the rules did to each silver table, observed in one evaluation of each."""
+    """What the rules did to each silver table, observed while its rows are counted.
+
+    Lookups that are left joined by a unique key change no count, so Catalyst drops them.
+    """
     lines = []
     for name in SILVER:
-        watch, seen = Watch(name), Observation()
-        table = Silver(bronze, {name: watch})[name].observe(seen, F.count(F.lit(1)).alias("rows"))
-        table.write.format("noop").mode("overwrite").save()
-        lines.append(watch.line(seen.get["rows"]))
+        watch = Watch(name)
+        rows = Silver(bronze, {name: watch})[name].agg(F.count(F.lit(1))).collect()[0][0]
+        lines.append(watch.line(rows))
     return bronze.ventes.sparkSession.createDataFrame(lines, REPORT)
 
 

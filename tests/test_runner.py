@@ -417,3 +417,11 @@ def test_counted_tables_are_not_dealt_out_again(spark, folder, monkeypatch):
     """The tables of catalog_tables go as soon as they are counted, so their files need not be even."""
     monkeypatch.setattr("comptoir.sources.stores.balanced", None)
     assert {r.table for r in queries()["catalog_tables"](spark, folder).collect()} == {f"silver_{name}" for name in SILVER}
+
+
+def test_cleaning_report_evaluates_no_lookups(spark, house, monkeypatch):
+    """Rows are counted, and no whole table is written to be forgotten."""
+    expected = {name: house.silver[name].count() for name in SILVER}
+    monkeypatch.setattr(type(spark.range(1)), "write", None)
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, lines, schema: lines)
+    assert {line[0]: line[-1] for line in cleaning_report(house.bronze)} == expected
